@@ -8,10 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreline.operators.changes import latest_per_key
-
 _COPIES = "_source_copies"
 _IN_SOURCE = "_in_source"
+_SOURCE_VERSION = "_source_version"
 
 
 def _all(conditions: Iterable[Column]) -> Column:
@@ -91,98 +90,113 @@ def upsert(
         source = _one_per_key(source, match, null_safe)
     elif on_duplicate not in ("error", "trust"):
         raise ValueError(f"unknown on_duplicate: {on_duplicate}")
-    guard_copies = on_duplicate == "error"
+    counted = on_duplicate == "error"
 
     missing = [c for c in target.columns if c not in source.columns]
     if guard is not None and missing:
         raise ValueError(f"guard needs a source with all target columns; missing: {missing}")
+    kept = _kept(target, source, match, null_safe, counted, guard)
     if guard is not None:
-        merged = _merge_newer(target, source, match, guard, null_safe)
+        written = _newer(target, source, match, null_safe, guard)
     elif missing:
-        merged = _merge_wide(target, source, match, missing, null_safe, guard_copies)
+        written = _carry(target, source, match, missing, null_safe)
     else:
-        kept = _unmatched(target, source, match, null_safe, guard_copies)
-        merged = kept.unionByName(source, allowMissingColumns=True)
+        written = source
+    merged = kept.unionByName(written, allowMissingColumns=True)
 
     if delete_when is not None:
         merged = merged.filter(~F.coalesce(F.col("_delete"), F.lit(False))).drop("_delete")
     return merged.select(*target.columns, *extra)
 
 
-def _source_keys(source: DataFrame, match: Sequence[str], null_safe: bool, counted: bool) -> DataFrame:
-    """Key columns of the source as ``_k0, _k1, ...``, optionally with row counts."""
+def _source_keys(
+    source: DataFrame, match: Sequence[str], null_safe: bool, counted: bool = False, version: str | None = None
+) -> DataFrame:
+    """Key columns of the source as ``_k0, _k1, ...``, with row counts or the
+    version on request."""
     keys = source if null_safe else source.filter(~_any_null(match))
-    keys = keys.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(match)])
+    names = [F.col(c).alias(f"_k{i}") for i, c in enumerate(match)]
+    extra = [F.col(version).alias(_SOURCE_VERSION)] if version else []
+    keys = keys.select(*names, *extra)
     if counted:
-        keys = keys.groupBy(*keys.columns).agg(F.count(F.lit(1)).alias(_COPIES))
+        newest = [F.max(_SOURCE_VERSION).alias(_SOURCE_VERSION)] if version else []
+        keys = keys.groupBy(*[f"_k{i}" for i in range(len(match))]).agg(
+            F.count(F.lit(1)).alias(_COPIES), *newest
+        )
     return keys
 
 
+def _on_keys(match: Sequence[str], null_safe: bool) -> Column:
+    return _all(
+        F.col(c).eqNullSafe(F.col(f"_k{i}")) if null_safe else F.col(c) == F.col(f"_k{i}")
+        for i, c in enumerate(match)
+    )
+
+
 def _ambiguous() -> Column:
     return F.raise_error(F.lit("several source rows match the same target row")).cast("boolean")
 
 
-def _unmatched(target: DataFrame, source: DataFrame, match: Sequence[str], null_safe: bool, guard: bool) -> DataFrame:
-    """Target rows that no source row matches.
+def _not_older(version: str) -> Column:
+    """Whether a target row's version holds against the matching source row's."""
+    return F.col(_SOURCE_VERSION).isNull() | F.coalesce(F.col(version) >= F.col(_SOURCE_VERSION), F.lit(False))
+
+
+def _kept(
+    target: DataFrame,
+    source: DataFrame,
+    match: Sequence[str],
+    null_safe: bool,
+    counted: bool,
+    version: str | None,
+) -> DataFrame:
+    """Target rows that no source row replaces.
 
     Only the source's keys take part, so for a small source they are broadcast
     and the target is neither shuffled nor sorted. Target rows with a NULL key
     cannot match: they bypass the join, which would send them to one partition.
     """
-    keys = _source_keys(source, match, null_safe, guard)
+    keys = _source_keys(source, match, null_safe, counted, version)
     candidates = target if null_safe else target.filter(~_any_null(match))
-    on = _all(
-        F.col(c).eqNullSafe(F.col(f"_k{i}")) if null_safe else F.col(c) == F.col(f"_k{i}")
-        for i, c in enumerate(match)
-    )
-    if guard:
-        copies = F.col(_COPIES)
-        kept = (
-            candidates.join(keys, on, "left")
-            .filter(F.when(copies > 1, _ambiguous()).otherwise(copies.isNull()))
-            .select(*target.columns)
-        )
+    on = _on_keys(match, null_safe)
+    if counted or version:
+        keys = keys.withColumn(_IN_SOURCE, F.lit(True))
+        stays = F.col(_IN_SOURCE).isNull()
+        if version:
+            stays = stays | _not_older(version)
+        if counted:
+            stays = F.when(F.col(_COPIES) > 1, _ambiguous()).otherwise(stays)
+        kept = candidates.join(keys, on, "left").filter(stays).select(*target.columns)
     else:
         kept = candidates.join(keys, on, "left_anti")
-    return kept if null_safe else kept.unionByName(target.filter(_any_null(match)))
+    # NULL branch first: a union only reports the partitioning its children share
+    # (which spares a bucketed table its shuffle) if the first child's key is
+    # nullable like the union's own.
+    return kept if null_safe else target.filter(_any_null(match)).unionByName(kept)
 
 
-def _merge_wide(
-    target: DataFrame,
-    source: DataFrame,
-    match: Sequence[str],
-    missing: Sequence[str],
-    null_safe: bool,
-    guard: bool,
-) -> DataFrame:
-    """Merge when the target has columns the source lacks; matched rows keep them."""
-    kept = _unmatched(target, source, match, null_safe, guard)
-    t, s = target.select(*match, *missing).alias("t"), source.alias("s")
-    on = _all(
-        F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}")) if null_safe else F.col(f"s.{c}") == F.col(f"t.{c}")
-        for c in match
-    )
-    written = s.join(t, on, "left").select(
-        *[F.col(f"s.{c}") for c in source.columns],
-        *[F.col(f"t.{c}") for c in missing],
+def _newer(target: DataFrame, source: DataFrame, match: Sequence[str], null_safe: bool, version: str) -> DataFrame:
+    """Source rows that no target row of the same or a higher version holds off.
+
+    Looked up from the target's side (keys and version only), so that the source
+    is what gets broadcast when it is small.
+    """
+    versions = _source_keys(source, match, null_safe, version=version)
+    holds = (
+        target.select(*match, version)
+        .join(versions, _on_keys(match, null_safe), "inner")
+        .filter(_not_older(version))
     )
-    return kept.unionByName(written, allowMissingColumns=True)
+    stale = holds.select(*[F.col(f"_k{i}") for i in range(len(match))])
+    return source.join(stale, _on_keys(match, null_safe), "left_anti")
 
 
-def _merge_newer(
-    target: DataFrame,
-    source: DataFrame,
-    match: Sequence[str],
-    guard: str,
-    null_safe: bool,
+def _carry(
+    target: DataFrame, source: DataFrame, match: Sequence[str], missing: Sequence[str], null_safe: bool
 ) -> DataFrame:
-    """Merge where the higher ``guard`` wins and a tie keeps the target row."""
-    both = target.withColumn(_IN_SOURCE, F.lit(False)).unionByName(
-        source.withColumn(_IN_SOURCE, F.lit(True)), allowMissingColumns=True
+    """Source rows, with the columns only the target has taken from the matched row."""
+    t = target.select(
+        *[F.col(c).alias(f"_k{i}") for i, c in enumerate(match)], *[F.col(c).alias(f"_t_{c}") for c in missing]
     )
-    newest_first = [F.desc(guard), F.asc(_IN_SOURCE)]
-    if null_safe:
-        return latest_per_key(both, match, newest_first).drop(_IN_SOURCE)
-    nulls = _any_null(match)
-    merged = latest_per_key(both.filter(~nulls), match, newest_first)
-    return merged.unionByName(both.filter(nulls)).drop(_IN_SOURCE)
+    carried = source.join(t, _on_keys(match, null_safe), "left")
+    return carried.select(*source.columns, *[F.col(f"_t_{c}").alias(c) for c in missing])

@@ -95,6 +95,7 @@ def build_silver(
         on_duplicate="trust" if layout.fmt == "parquet" else "error",
         guard=VERSION if guard else None,
         delete_when=F.col("_op") == "d" if deletes == "apply" else None,
+        buckets=entity.buckets,
         fmt=layout.fmt,
     )
     logger.info("silver %s, %s to %s: %d keys", entity.name, start, end, merged)

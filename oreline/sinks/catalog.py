@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from oreline import paths
 from oreline.sources.tables import current_path
 from oreline.spec import TableSpec
 
@@ -19,6 +20,8 @@ def create_table_sql(spec: TableSpec, location: str | None = None) -> str:
     parts = [f"CREATE TABLE IF NOT EXISTS {spec.qualified} ({columns}) USING {spec.fmt}"]
     if spec.partition_by:
         parts.append(f"PARTITIONED BY ({', '.join(f'`{c}`' for c in spec.partition_by)})")
+    if spec.buckets:
+        parts.append(f"CLUSTERED BY ({', '.join(f'`{c}`' for c in spec.bucket_by)}) INTO {spec.buckets} BUCKETS")
     parts.append(f"LOCATION {_quoted(location or spec.path)}")
     if spec.properties:
         pairs = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in spec.properties.items())
@@ -41,7 +44,7 @@ def ensure_table(spark: SparkSession, spec: TableSpec) -> None:
         return
     if existed and location != spec.path:
         spark.sql(f"ALTER TABLE {spec.qualified} SET LOCATION {_quoted(location)}")
-    if spec.partition_by:
+    if spec.partition_by and paths.exists(spark, spec.path):
         # SYNC also forgets partitions that compaction has folded away.
         spark.sql(f"MSCK REPAIR TABLE {spec.qualified} SYNC PARTITIONS")
     spark.catalog.refreshTable(spec.qualified)

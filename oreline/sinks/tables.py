@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
@@ -11,7 +12,17 @@ from pyspark.sql.types import StructType
 
 from oreline import paths
 from oreline.operators.upsert import check_not_null, upsert
-from oreline.sources.tables import SNAPSHOT, read_table, snapshots, table_exists
+from oreline.sinks.catalog import create_table_sql
+from oreline.sources.tables import (
+    current_path,
+    read_table,
+    snapshot_buckets,
+    snapshot_name,
+    snapshot_number,
+    snapshots,
+    table_exists,
+)
+from oreline.spec import TableSpec
 
 KEEP_SNAPSHOTS = 2
 
@@ -41,22 +52,60 @@ def write_table(
     writer.save(path)
 
 
-def write_snapshot(df: DataFrame, path: str) -> str:
+def _next_snapshot(spark: SparkSession, path: str, buckets: int = 0) -> str:
+    taken = [snapshot_number(name) or 0 for name in paths.child_dirs(spark, path)]
+    return f"{path}/{snapshot_name(max(taken, default=0) + 1, buckets)}"
+
+
+def write_snapshot(df: DataFrame, path: str, bucket_by: Sequence[str] = (), buckets: int = 0) -> str:
     """Write the whole table as its next snapshot.
 
     Readers switch when the commit marker appears. Those that are still on the
     previous snapshot keep their files: the last ``KEEP_SNAPSHOTS`` stay.
     """
     spark = df.sparkSession
-    taken = [n for n in paths.child_dirs(spark, path) if n.startswith(SNAPSHOT)]
-    number = int(taken[-1].removeprefix(SNAPSHOT)) + 1 if taken else 1
-    target = f"{path}/{SNAPSHOT}{number:08d}"
-    write_table(df, target, mode="error")
+    target = _next_snapshot(spark, path, buckets)
+    if buckets:
+        # No shuffle if df comes out of a merge into a table bucketed alike.
+        aligned = df.repartition(buckets, *bucket_by)
+        name = _passing_name()
+        aligned.write.bucketBy(buckets, *bucket_by).option("path", target).mode("error").saveAsTable(name)
+        spark.sql(f"DROP TABLE {name}")
+    else:
+        write_table(df, target, mode="error")
     for old in snapshots(spark, path)[:-KEEP_SNAPSHOTS]:
         paths.delete(spark, old)
     return target
 
 
+def _passing_name() -> str:
+    return f"oreline_{uuid.uuid4().hex}"
+
+
+@contextmanager
+def bucketed(spark: SparkSession, path: str, schema: StructType, bucket_by: Sequence[str]) -> Iterator[DataFrame]:
+    """A bucketed snapshot, read so that the planner knows its distribution.
+
+    Bucketing is known to the catalog only, so the files get a passing external
+    table. Every scan of it must keep its buckets: the planner would drop them
+    from a scan that needs none itself, and with that the alignment of the union
+    the scan is part of.
+    """
+    option = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    before = spark.conf.get(option)
+    database = spark.catalog.currentDatabase()
+    spec = TableSpec(
+        database, _passing_name(), schema, path, bucket_by=tuple(bucket_by), buckets=snapshot_buckets(path)
+    )
+    spark.sql(create_table_sql(spec))
+    spark.conf.set(option, "false")
+    try:
+        yield spark.table(spec.qualified)
+    finally:
+        spark.conf.set(option, before)
+        spark.sql(f"DROP TABLE {spec.qualified}")
+
+
 @contextmanager
 def staged(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> Iterator[DataFrame]:
     """``df`` computed once, as files in the shared folder.
@@ -87,6 +136,7 @@ def upsert_table(
     evolve: bool = False,
     guard: str | None = None,
     delete_when: Column | None = None,
+    buckets: int = 0,
     fmt: str = "parquet",
 ) -> int:
     """Merge ``source`` into the table at ``path``; returns the source row count.
@@ -94,7 +144,9 @@ def upsert_table(
     An empty source changes nothing. See ``upsert`` for the row semantics. An
     unpartitioned table gets a new snapshot; in a table partitioned by a column
     of the match condition only the partitions the source touches are rewritten.
-    One writer per table at a time.
+    ``buckets`` keeps an unpartitioned table hash-bucketed by ``keys``: a merge
+    then moves the source to the buckets and leaves the table where it is. One
+    writer per table at a time.
     """
     if fmt != "parquet":
         if null_safe or evolve or guard or delete_when is not None or on_duplicate != "error":
@@ -102,27 +154,51 @@ def upsert_table(
         return _merge_into(source, f"{fmt}.`{path}`", [*keys, *match_also])
     if partition_by and partition_by not in [*keys, *match_also]:
         raise ValueError("partition_by must be part of the match condition")
+    if partition_by and buckets:
+        raise ValueError("a table is either partitioned or bucketed")
+    if partition_by and delete_when is not None:
+        # Overwriting partitions cannot remove one that loses its last row.
+        raise ValueError("delete_when is not available for a partitioned table")
 
+    options = {
+        "keys": keys,
+        "match_also": match_also,
+        "on_duplicate": on_duplicate,
+        "null_safe": null_safe,
+        "evolve": evolve,
+        "guard": guard,
+        "delete_when": delete_when,
+    }
     with staged(source, "upsert-source") as rows:
-        count = rows.count()  # answered from the file footers
-        if count == 0:
-            return 0
-
-        options = {
-            "keys": keys,
-            "match_also": match_also,
-            "on_duplicate": on_duplicate,
-            "null_safe": null_safe,
-            "evolve": evolve,
-            "guard": guard,
-            "delete_when": delete_when,
-        }
         if partition_by:
-            _upsert_partitions(spark, path, rows, partition_by, schema, not_null, options)
-        else:
-            target = _target(spark, path, rows, schema, delete_when)
-            write_snapshot(check_not_null(upsert(target, rows, **options), not_null), path)
-    return count
+            return _upsert_partitions(spark, path, rows, partition_by, schema, not_null, options)
+        count = rows.count()  # answered from the file footers
+        if count:
+            if buckets:
+                rows = rows.repartition(buckets, *keys)
+            with _current(spark, path, rows, schema, delete_when, keys, buckets) as target:
+                merged = check_not_null(upsert(target, rows, **options), not_null)
+                write_snapshot(merged, path, keys, buckets)
+        return count
+
+
+@contextmanager
+def _current(
+    spark: SparkSession,
+    path: str,
+    rows: DataFrame,
+    schema: StructType | None,
+    delete_when: Column | None,
+    keys: Sequence[str],
+    buckets: int,
+) -> Iterator[DataFrame]:
+    target = _target(spark, path, rows, schema, delete_when)
+    now = current_path(spark, path)
+    if buckets and snapshot_buckets(now) == buckets:
+        with bucketed(spark, now, target.schema, keys) as aligned:
+            yield aligned
+    else:
+        yield target
 
 
 def _target(
@@ -146,14 +222,18 @@ def _upsert_partitions(
     schema: StructType | None,
     not_null: Sequence[str],
     options: dict,
-) -> None:
+) -> int:
     partition = F.col(partition_by)
+    low, high, dated_count, count = rows.agg(
+        F.min(partition), F.max(partition), F.count(partition), F.count(F.lit(1))
+    ).first()
+    if count == 0:
+        return 0
     dated, undated = rows.filter(partition.isNotNull()), rows.filter(partition.isNull())
     matchable = rows if options["null_safe"] else dated
-    low, high = dated.agg(F.min(partition), F.max(partition)).first()
 
     target = _target(spark, path, rows, schema, options["delete_when"])
-    if low is not None or options["null_safe"]:
+    if dated_count or options["null_safe"]:
         # Two literals prune the partition listing; the semi join then leaves
         # exactly the touched partitions, however many there are.
         in_range = F.lit(False) if low is None else partition.between(F.lit(low), F.lit(high))
@@ -168,13 +248,10 @@ def _upsert_partitions(
         with staged(merged.hint("rebalance", partition_by), "upsert-merged", [partition_by]) as complete:
             write_table(complete, path, "overwrite_partitions", [partition_by])
 
-    if not options["null_safe"]:
+    if count > dated_count and not options["null_safe"]:
         # NULL equals nothing: these rows are inserts whatever the table holds.
-        fresh = check_not_null(undated, not_null)
-        if options["delete_when"] is not None:
-            fresh = fresh.filter(~F.coalesce(options["delete_when"], F.lit(False))).drop("_op")
-        if not fresh.isEmpty():
-            write_table(fresh, path, "append", [partition_by])
+        write_table(check_not_null(undated, not_null), path, "append", [partition_by])
+    return count
 
 
 def _merge_into(source: DataFrame, table: str, match: Sequence[str]) -> int:

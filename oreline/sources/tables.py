@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from oreline import paths
 
-SNAPSHOT = "snapshot-"
+_SNAPSHOT = re.compile(r"snapshot-(\d+)(?:-b(\d+))?$")
+
+
+def snapshot_name(number: int, buckets: int = 0) -> str:
+    return f"snapshot-{number:08d}" + (f"-b{buckets}" if buckets else "")
+
+
+def snapshot_number(path: str) -> int | None:
+    found = _SNAPSHOT.search(path)
+    return int(found[1]) if found else None
+
+
+def snapshot_buckets(path: str) -> int:
+    """How many buckets a snapshot was written in; 0 for none."""
+    found = _SNAPSHOT.search(path)
+    return int(found[2] or 0) if found else 0
 
 
 def snapshots(spark: SparkSession, path: str) -> list[str]:
@@ -19,7 +36,7 @@ def snapshots(spark: SparkSession, path: str) -> list[str]:
     return [
         f"{path}/{name}"
         for name in paths.child_dirs(spark, path)
-        if name.startswith(SNAPSHOT) and paths.exists(spark, f"{path}/{name}/_SUCCESS")
+        if snapshot_number(name) is not None and paths.exists(spark, f"{path}/{name}/_SUCCESS")
     ]
 
 

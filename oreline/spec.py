@@ -75,7 +75,9 @@ class EntitySpec:
 
     ``meta`` lists the envelope fields kept in bronze. ``before_key`` also keeps
     the key of the ``before`` image, which is the only place a delete event
-    carries its key; it is needed for ``deletes="apply"``.
+    carries its key; it is needed for ``deletes="apply"``. ``buckets`` stores
+    silver hash-bucketed by the key, so that merging into it shuffles the changes
+    but never the table; worth it once the table outgrows memory.
     """
 
     name: str
@@ -83,6 +85,7 @@ class EntitySpec:
     key: str = "id"
     meta: tuple[str, ...] = ("op", "ts_ms")
     before_key: bool = False
+    buckets: int = 0
     max_per_trigger: int = 50_000
     trigger: str = "60 seconds"
     starting_offsets: str = "earliest"
@@ -135,6 +138,8 @@ class TableSpec:
     schema: T.StructType
     path: str
     partition_by: tuple[str, ...] = ()
+    bucket_by: tuple[str, ...] = ()
+    buckets: int = 0
     fmt: str = "parquet"
     properties: dict[str, str] = field(default_factory=dict, hash=False)
 
@@ -267,6 +272,8 @@ class Layout:
             self.table_prefix + entity.name,
             entity.silver_schema,
             self.silver_path(entity),
+            bucket_by=(entity.key,) if entity.buckets else (),
+            buckets=entity.buckets,
             fmt=self.fmt,
             properties={
                 "description": f"Silver current state: {entity.description or entity.name}",
