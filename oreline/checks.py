@@ -267,6 +267,7 @@ def upsert_update(spark, sf_dir):
         _event_state(spark, sf_dir, "2024-01-01", "2024-01-15"),
         _event_state(spark, sf_dir, "2024-01-16", "2024-01-31"),
         ["id"],
+        null_keys=False,
     )
 
 
@@ -280,6 +281,7 @@ def upsert_daily_runs(spark, sf_dir):
         _event_state(spark, sf_dir, "2024-01-10", "2024-01-11"),
         _event_state(spark, sf_dir, "2024-01-12", "2024-01-12"),
         ["id"],
+        null_keys=False,
     )
 
 
@@ -300,6 +302,7 @@ def upsert_apply_deletes(spark, sf_dir):
         _event_state(spark, sf_dir, "2024-01-16", "2024-01-31", deletes="apply"),
         ["id"],
         delete_when=F.col("_op") == "d",
+        null_keys=False,
     )
 
 
@@ -321,7 +324,7 @@ def _orders_sql(span: tuple[str, str]) -> str:
 def upsert_insert(spark, sf_dir):
     """Newest order per customer, in two runs: updates, inserts and untouched rows."""
     return upsert(
-        _order_changes(spark, sf_dir, *OLD_ORDERS), _order_changes(spark, sf_dir, *NEW_ORDERS), ["id"]
+        _order_changes(spark, sf_dir, *OLD_ORDERS), _order_changes(spark, sf_dir, *NEW_ORDERS), ["id"], null_keys=False
     )
 
 
@@ -329,7 +332,7 @@ def upsert_insert(spark, sf_dir):
 def late_event_rerun(spark, sf_dir):
     """Re-running an older window puts older images back: there is no version check."""
     return upsert(
-        _order_changes(spark, sf_dir, *NEW_ORDERS), _order_changes(spark, sf_dir, *OLD_ORDERS), ["id"]
+        _order_changes(spark, sf_dir, *NEW_ORDERS), _order_changes(spark, sf_dir, *OLD_ORDERS), ["id"], null_keys=False
     )
 
 
@@ -341,6 +344,7 @@ def upsert_guarded(spark, sf_dir):
         _order_changes(spark, sf_dir, *OLD_ORDERS, keep_version=True),
         ["id"],
         guard=VERSION,
+        null_keys=False,
     )
 
 
@@ -356,7 +360,7 @@ def upsert_keeps_target_columns(spark, sf_dir):
     """A target column the source lacks keeps its value on matched rows."""
     old = _order_changes(spark, sf_dir, *OLD_ORDERS)
     return upsert(
-        old.withColumn("first_total", F.col("total")), _order_changes(spark, sf_dir, *NEW_ORDERS), ["id"]
+        old.withColumn("first_total", F.col("total")), _order_changes(spark, sf_dir, *NEW_ORDERS), ["id"], null_keys=False
     )
 
 
@@ -374,6 +378,7 @@ def upsert_evolve(spark, sf_dir):
         _order_changes(spark, sf_dir, *NEW_ORDERS, keep_version=True),
         ["id"],
         evolve=True,
+        null_keys=False,
     )
 
 

@@ -59,6 +59,7 @@ def upsert(
     evolve: bool = False,
     guard: str | None = None,
     delete_when: Column | None = None,
+    null_keys: bool = True,
 ) -> DataFrame:
     """The rows ``target`` holds after ``source`` has been merged into it.
 
@@ -73,6 +74,9 @@ def upsert(
     version column: a target row is replaced only by a newer source row.
     ``delete_when`` is a condition on source rows: those remove their key.
 
+    ``null_keys=False`` says that the target has no NULL keys to speak of. It is
+    a hint about skew, not a promise: the result is the same either way.
+
     The source is read twice (its keys, then its rows); stage it first if it is
     costly, as ``upsert_table`` does.
     """
@@ -95,7 +99,7 @@ def upsert(
     missing = [c for c in target.columns if c not in source.columns]
     if guard is not None and missing:
         raise ValueError(f"guard needs a source with all target columns; missing: {missing}")
-    kept = _kept(target, source, match, null_safe, counted, guard)
+    kept = _kept(target, source, match, null_safe, counted, guard, null_keys and not null_safe)
     if guard is not None:
         written = _newer(target, source, match, null_safe, guard)
     elif missing:
@@ -149,15 +153,18 @@ def _kept(
     null_safe: bool,
     counted: bool,
     version: str | None,
+    bypass: bool,
 ) -> DataFrame:
     """Target rows that no source row replaces.
 
     Only the source's keys take part, so for a small source they are broadcast
-    and the target is neither shuffled nor sorted. Target rows with a NULL key
-    cannot match: they bypass the join, which would send them to one partition.
+    and the target is neither shuffled nor sorted. With ``bypass`` target rows
+    that have a NULL key go around the join, which would send all of them to one
+    partition; that reads the target twice, the second time pruned to the row
+    groups that have such rows.
     """
     keys = _source_keys(source, match, null_safe, counted, version)
-    candidates = target if null_safe else target.filter(~_any_null(match))
+    candidates = target.filter(~_any_null(match)) if bypass else target
     on = _on_keys(match, null_safe)
     if counted or version:
         keys = keys.withColumn(_IN_SOURCE, F.lit(True))
@@ -172,7 +179,7 @@ def _kept(
     # NULL branch first: a union only reports the partitioning its children share
     # (which spares a bucketed table its shuffle) if the first child's key is
     # nullable like the union's own.
-    return kept if null_safe else target.filter(_any_null(match)).unionByName(kept)
+    return target.filter(_any_null(match)).unionByName(kept) if bypass else kept
 
 
 def _newer(target: DataFrame, source: DataFrame, match: Sequence[str], null_safe: bool, version: str) -> DataFrame:

@@ -13,9 +13,9 @@ from pyspark.sql.streaming import StreamingQuery
 from oreline.functions.dates import YYYYMMDD, as_date
 from oreline.functions.envelope import stamp, to_bronze
 from oreline.operators.changes import read_changes, silver_changes
-from oreline.plans.report import student_session_report
+from oreline.plans.report import booking_report, session_details
 from oreline.sinks.catalog import ensure_table
-from oreline.sinks.tables import upsert_table
+from oreline.sinks.tables import staged, upsert_table
 from oreline.sources.streams import read_cdc_stream
 from oreline.sources.tables import read_table
 from oreline.spec import ENTITIES, REPORT_KEYS, REPORT_PARTITION, REPORT_STATUSES, VERSION, EntitySpec, Layout
@@ -132,31 +132,33 @@ def build_gold_report(
     start, end = run_window(start, end)
     if null_dates not in ("keep", "drop"):
         raise ValueError(f"unknown null_dates mode: {null_dates}")
-    report = student_session_report(
-        read_silver(spark, ENTITIES["class_regular_session_student"], layout),
+    details = session_details(
         read_silver(spark, ENTITIES["class_regular_session"], layout),
         read_silver(spark, ENTITIES["study_program"], layout),
         start,
         end,
-        statuses=statuses,
-        date_filter=date_filter,
-        date_encoding=date_encoding,
+        date_encoding,
     )
-    if null_dates == "drop":
-        report = report.filter(F.col(REPORT_PARTITION).isNotNull())
+    bookings = read_silver(spark, ENTITIES["class_regular_session_student"], layout)
     table = layout.report_table()
-    merged = upsert_table(
-        spark,
-        table.path,
-        stamp(report, "_gold_updated_at"),
-        REPORT_KEYS,
-        match_also=[REPORT_PARTITION],
-        partition_by=REPORT_PARTITION,
-        schema=table.schema,
-        on_duplicate=on_duplicate,
-        null_safe=null_safe,
-        fmt=layout.fmt,
-    )
+    # A few days of sessions out of years: once they are written their size is a
+    # fact, and if it is small the bookings are joined without being shuffled.
+    with staged(details, "session-details") as sized:
+        report = booking_report(bookings, sized, statuses, date_filter)
+        if null_dates == "drop":
+            report = report.filter(F.col(REPORT_PARTITION).isNotNull())
+        merged = upsert_table(
+            spark,
+            table.path,
+            stamp(report, "_gold_updated_at"),
+            REPORT_KEYS,
+            match_also=[REPORT_PARTITION],
+            partition_by=REPORT_PARTITION,
+            schema=table.schema,
+            on_duplicate=on_duplicate,
+            null_safe=null_safe,
+            fmt=layout.fmt,
+        )
     logger.info("gold report, %s to %s: %d rows", start, end, merged)
     if register:
         ensure_table(spark, table)

@@ -30,51 +30,57 @@ def sessions_between(
     return decoded.filter(F.col("learn_date").between(F.lit(as_date(start)), F.lit(as_date(end))))
 
 
-def student_session_report(
-    session_student: DataFrame,
+def session_details(
     session: DataFrame,
     study_program: DataFrame,
     start: str | dt.date,
     end: str | dt.date,
-    statuses: Sequence[str] = REPORT_STATUSES,
-    date_filter: str = "pre_join",
     date_encoding: str = YYYYMMDD,
     grade: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per reported booking: date, student, session, program.
-
-    ``date_filter="pre_join"`` narrows the sessions before the outer join, so a
-    booking whose session is out of range stays, with NULL date and program.
-    ``"where"`` keeps only bookings whose session is in range. ``grade`` adds
-    ``grade_code`` and ``grade_program``.
+    """What the report says about a session: date, program, optionally grade.
 
     Program and grade hang off the session, so they are joined to the (date
-    filtered) sessions first. The bookings, by far the largest input, are then
-    joined once, on their own key; joining the program to them afterwards would
-    shuffle them again on a key that is NULL for every out-of-range booking.
+    filtered) sessions before the bookings are. Joined to the bookings
+    afterwards they would shuffle the largest input a second time, on a key that
+    is NULL for every booking out of range.
     """
-    if date_filter not in ("pre_join", "where"):
-        raise ValueError(f"unknown date_filter: {date_filter}")
-
     program = study_program.select(F.col("id").alias("program_id"), F.col("name").alias("study_program"))
-    details = sessions_between(session, start, end, date_encoding)
     columns = ["id", "learn_date", "study_program_id"] + (["grade_id"] if grade is not None else [])
     details = (
-        details.select(*columns)
+        sessions_between(session, start, end, date_encoding)
+        .select(*columns)
         .withColumnRenamed("id", "session_id")
         .join(program, F.col("study_program_id") == F.col("program_id"), "left")
     )
+    if grade is None:
+        return details.select("session_id", "learn_date", "study_program")
+    grades = grade.select(
+        F.col("id").alias("_grade_id"),
+        F.col("code").alias("grade_code"),
+        F.col("value").alias("grade_value"),
+    )
+    details = details.join(grades, F.col("grade_id") == F.col("_grade_id"), "left")
+    return details.select("session_id", "learn_date", "study_program", "grade_code", "grade_value")
+
+
+def booking_report(
+    session_student: DataFrame,
+    details: DataFrame,
+    statuses: Sequence[str] = REPORT_STATUSES,
+    date_filter: str = "pre_join",
+) -> DataFrame:
+    """Bookings of the given statuses with the details of their session.
+
+    ``date_filter="pre_join"`` keeps a booking whose session is not among the
+    details, with NULL date and program; ``"where"`` leaves it out.
+    """
+    if date_filter not in ("pre_join", "where"):
+        raise ValueError(f"unknown date_filter: {date_filter}")
     labels = []
-    if grade is not None:
-        grades = grade.select(
-            F.col("id").alias("_grade_id"),
-            F.col("code").alias("grade_code"),
-            F.col("value").alias("_grade_value"),
-        )
-        details = details.join(grades, F.col("grade_id") == F.col("_grade_id"), "left")
+    if "grade_code" in details.columns:
         # Banded after the outer join: a booking without a session is "other" too.
-        labels = [F.col("grade_code"), grade_band(F.col("_grade_value")).alias("grade_program")]
-
+        labels = [F.col("grade_code"), grade_band(F.col("grade_value")).alias("grade_program")]
     bookings = attended(session_student, statuses).select("student_id", "class_regular_session_id")
     joined = bookings.join(
         details,
@@ -88,3 +94,22 @@ def student_session_report(
         F.col("study_program"),
         *labels,
     )
+
+
+def student_session_report(
+    session_student: DataFrame,
+    session: DataFrame,
+    study_program: DataFrame,
+    start: str | dt.date,
+    end: str | dt.date,
+    statuses: Sequence[str] = REPORT_STATUSES,
+    date_filter: str = "pre_join",
+    date_encoding: str = YYYYMMDD,
+    grade: DataFrame | None = None,
+) -> DataFrame:
+    """One row per reported booking: date, student, session, program.
+
+    ``grade`` adds ``grade_code`` and ``grade_program``.
+    """
+    details = session_details(session, study_program, start, end, date_encoding, grade)
+    return booking_report(session_student, details, statuses, date_filter)

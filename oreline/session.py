@@ -12,6 +12,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Staged inputs have exact sizes; below this one goes to every executor
+    # instead of the other side being shuffled.
+    "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.ui.enabled": "false",
 }
 

@@ -40,7 +40,7 @@ def compact(
         return
     if predicate is not None:
         df = df.filter(predicate)
-    with staged(df.hint("rebalance", *partition_by), "compact", partition_by) as packed:
+    with staged(df.hint("rebalance", *partition_by), "compact", partition_by, keep_on_error=True) as packed:
         write_table(packed, path, "overwrite_partitions", partition_by)
 
 
@@ -92,7 +92,7 @@ def compact_log(
             selected = selected | (batch.startswith(f"{run}-") & (batch < last))
     rows = in_window(read_table(spark, path, schema=entity.bronze_schema), start, end).filter(selected)
     folded = rows.dropDuplicates(list(RECORD_ID)).withColumn(BATCH, F.lit(COMPACTED)).hint("rebalance", EVENT_DATE)
-    with staged(folded, "compact-log", [EVENT_DATE, BATCH]) as packed:
+    with staged(folded, "compact-log", [EVENT_DATE, BATCH], keep_on_error=True) as packed:
         write_table(packed, path, "overwrite_partitions", [EVENT_DATE, BATCH])
     for day, folder in old:
         paths.delete(spark, f"{path}/{day}/{folder}")

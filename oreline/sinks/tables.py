@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -24,6 +25,8 @@ from oreline.sources.tables import (
 )
 from oreline.spec import TableSpec
 
+logger = logging.getLogger("oreline.tables")
+
 KEEP_SNAPSHOTS = 2
 
 
@@ -107,19 +110,30 @@ def bucketed(spark: SparkSession, path: str, schema: StructType, bucket_by: Sequ
 
 
 @contextmanager
-def staged(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> Iterator[DataFrame]:
+def staged(
+    df: DataFrame, label: str, partition_by: Sequence[str] = (), keep_on_error: bool = False
+) -> Iterator[DataFrame]:
     """``df`` computed once, as files in the shared folder.
 
     A written table rather than a cache: it survives lost executors, cuts the
     lineage, and its size is known to the planner of whatever reads it next.
+    ``keep_on_error`` is for rows about to replace the only other copy: if that
+    fails half-way, the files stay and can be written again.
     """
     spark = df.sparkSession
     path = paths.scratch_path(spark, label)
+    written = False
     try:
         write_table(df, path, mode="error", partition_by=partition_by)
+        written = True
         yield spark.read.schema(df.schema).parquet(path)
-    finally:
-        paths.delete(spark, path)
+    except Exception:
+        if keep_on_error and written:
+            logger.error("the complete rows are kept in %s", path)
+        else:
+            paths.delete(spark, path)
+        raise
+    paths.delete(spark, path)
 
 
 def upsert_table(
@@ -174,11 +188,13 @@ def upsert_table(
             return _upsert_partitions(spark, path, rows, partition_by, schema, not_null, options)
         count = rows.count()  # answered from the file footers
         if count:
+            # What the table holds has passed this check when it was a source.
+            rows = check_not_null(rows, not_null)
             if buckets:
                 rows = rows.repartition(buckets, *keys)
             with _current(spark, path, rows, schema, delete_when, keys, buckets) as target:
-                merged = check_not_null(upsert(target, rows, **options), not_null)
-                write_snapshot(merged, path, keys, buckets)
+                null_keys = not set(keys) <= set(not_null)
+                write_snapshot(upsert(target, rows, null_keys=null_keys, **options), path, keys, buckets)
         return count
 
 
@@ -229,6 +245,7 @@ def _upsert_partitions(
     ).first()
     if count == 0:
         return 0
+    rows = check_not_null(rows, not_null)
     dated, undated = rows.filter(partition.isNotNull()), rows.filter(partition.isNull())
     matchable = rows if options["null_safe"] else dated
 
@@ -242,15 +259,15 @@ def _upsert_partitions(
         touched = matchable.select(partition.alias("_touched")).distinct()
         same = partition.eqNullSafe(F.col("_touched")) if options["null_safe"] else partition == F.col("_touched")
         current = target.filter(in_range).join(touched, same, "left_semi")
-        merged = check_not_null(upsert(current, matchable, **options), not_null)
+        merged = upsert(current, matchable, **options)
         # The merged partitions are complete in the shared folder before the
         # first old file goes away, so no job reads what it replaces.
-        with staged(merged.hint("rebalance", partition_by), "upsert-merged", [partition_by]) as complete:
+        with staged(merged.hint("rebalance", partition_by), "upsert-merged", [partition_by], True) as complete:
             write_table(complete, path, "overwrite_partitions", [partition_by])
 
     if count > dated_count and not options["null_safe"]:
         # NULL equals nothing: these rows are inserts whatever the table holds.
-        write_table(check_not_null(undated, not_null), path, "append", [partition_by])
+        write_table(undated, path, "append", [partition_by])
     return count
 
 

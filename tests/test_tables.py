@@ -153,6 +153,27 @@ def test_invalid_table_options(spark, tmp_path):
         upsert_table(spark, path, source, ["id"], guard="v", fmt="delta")
 
 
+@pytest.mark.parametrize("options", [{}, {"not_null": ["id"], "on_duplicate": "trust"}, {"guard": "v"}])
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_bucketed_table_job_shuffles_only_the_source(spark, tmp_path, monkeypatch, threshold, options):
+    from oreline.sinks import tables
+
+    path = str(tmp_path / "t")
+    upsert_table(spark, path, frame(spark, [(str(i), 1) for i in range(100)]), ["id"], buckets=4, **options)
+    plans, write = [], tables.write_snapshot
+    monkeypatch.setattr(
+        tables, "write_snapshot", lambda df, *a: (plans.append(plan_of(df.repartition(4, "id"))), write(df, *a))
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        upsert_table(spark, path, frame(spark, [(str(i), 2) for i in range(50, 150)]), ["id"], buckets=4, **options)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    (plan,) = plans
+    assert plan.splitlines()[1].startswith("+- Union"), plan
+    assert read_table(spark, path).groupBy("v").count().orderBy("v").collect() == [(1, 50), (2, 100)]
+
+
 @pytest.mark.parametrize("threshold", ["10MB", "-1"])
 def test_bucketed_merge_never_shuffles_the_table(spark, tmp_path, threshold):
     path = str(tmp_path / "t")
@@ -160,7 +181,6 @@ def test_bucketed_merge_never_shuffles_the_table(spark, tmp_path, threshold):
         F.col("id").cast("string").alias("id"), F.lit(v).cast("int").alias("v")
     )
     upsert_table(spark, path, keyed(0, 1000, 1), ["id"], buckets=4)
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
         with bucketed(spark, current_path(spark, path), SCHEMA, ["id"]) as table:
@@ -174,7 +194,7 @@ def test_bucketed_merge_never_shuffles_the_table(spark, tmp_path, threshold):
                 assert "Bucketed: false" not in plan
         upsert_table(spark, path, keyed(500, 1500, 2), ["id"], buckets=4)
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     got = read_table(spark, path)
     assert got.groupBy("v").count().orderBy("v").collect() == [(1, 500), (2, 1000)]
     assert len(part_files(current_path(spark, path))) == 4
@@ -216,6 +236,19 @@ def test_added_column_reads_as_null(spark, tmp_path):
     assert rows_of(read_table(spark, path, schema=wider)) == expected
 
 
+def test_a_failed_swap_keeps_the_complete_rows(spark, tmp_path):
+    from oreline.sinks.tables import staged
+
+    folder = paths.shared_dir(spark) + "/oreline"
+    with pytest.raises(RuntimeError), staged(frame(spark, [("a", 1)]), "swap-test", keep_on_error=True):
+        raise RuntimeError
+    (kept,) = [d for d in paths.child_dirs(spark, folder) if d.startswith("swap-test")]
+    assert rows_of(spark.read.parquet(f"{folder}/{kept}")) == [("a", 1)]
+    with pytest.raises(RuntimeError), staged(frame(spark, [("a", 1)]), "gone-test"):
+        raise RuntimeError
+    assert not [d for d in paths.child_dirs(spark, folder) if d.startswith("gone-test")]
+
+
 def test_write_options(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = frame(spark, [(str(i), i) for i in range(10)]).coalesce(1)
