@@ -5,6 +5,8 @@ from __future__ import annotations
 import argparse
 import logging
 
+from pyspark.sql import SparkSession
+
 from oreline.plans.jobs import build_gold_report, build_silver, ingest_bronze
 from oreline.session import build_session
 from oreline.sinks.catalog import ensure_table
@@ -35,26 +37,30 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+def run_job(spark: SparkSession, args: argparse.Namespace) -> None:
+    layout = Layout(args.root, fmt=args.format)
+    if args.job == "bronze":
+        entity = ENTITIES[args.entity]
+        if args.hive:
+            ensure_table(spark, layout.bronze_table(entity))
+        query = ingest_bronze(
+            spark, entity, layout, args.trigger, args.source, args.source_path, args.bootstrap_servers
+        )
+        run_until_stopped(query)
+        if args.hive:
+            ensure_table(spark, layout.bronze_table(entity))
+    elif args.job == "silver":
+        build_silver(spark, ENTITIES[args.entity], layout, args.start_date, args.end_date, register=args.hive)
+    else:
+        build_gold_report(spark, layout, args.start_date, args.end_date, register=args.hive)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s - %(message)s")
     spark = build_session(f"oreline-{args.job}", hive=args.hive)
-    layout = Layout(args.root, fmt=args.format)
     try:
-        if args.job == "bronze":
-            entity = ENTITIES[args.entity]
-            if args.hive:
-                ensure_table(spark, layout.bronze_table(entity))
-            query = ingest_bronze(
-                spark, entity, layout, args.trigger, args.source, args.source_path, args.bootstrap_servers
-            )
-            run_until_stopped(query)
-            if args.hive:
-                ensure_table(spark, layout.bronze_table(entity))
-        elif args.job == "silver":
-            build_silver(spark, ENTITIES[args.entity], layout, args.start_date, args.end_date, register=args.hive)
-        else:
-            build_gold_report(spark, layout, args.start_date, args.end_date, register=args.hive)
+        run_job(spark, args)
     finally:
         spark.stop()
 

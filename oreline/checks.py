@@ -68,7 +68,7 @@ _BUILT: dict[tuple, str] = {}
 def _once(spark: SparkSession, sf_dir: str, label: str, build: Callable[[str], None]) -> str:
     """Path of a table that several queries read, written by the first of them."""
     key = (spark.sparkContext.applicationId, sf_dir, label)
-    if key not in _BUILT:
+    if key not in _BUILT or not paths.exists(spark, f"{_BUILT[key]}/_SUCCESS"):
         path = paths.scratch_path(spark, label)
         build(path)
         _BUILT[key] = path

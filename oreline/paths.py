@@ -48,6 +48,11 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder for staged data; safe to delete once it has ended."""
+    return f"{shared_dir(spark).rstrip('/')}/oreline/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/oreline/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"

@@ -12,7 +12,7 @@ from oreline import paths
 from oreline.functions.dates import as_date
 from oreline.operators.changes import in_window
 from oreline.sinks.tables import staged, write_snapshot, write_table
-from oreline.sources.tables import read_table, snapshots
+from oreline.sources.tables import current_path, read_table, snapshot_buckets, snapshots
 from oreline.spec import BATCH, EVENT_DATE, EntitySpec
 
 COMPACTED = "compacted"
@@ -32,12 +32,16 @@ def compact(
     AQE sizes the files: it merges small pieces and splits an oversized
     partition. An unpartitioned snapshot table is rewritten as a new snapshot.
     """
-    df = read_table(spark, path)
     if not partition_by:
         if not snapshots(spark, path):
             raise ValueError("an unpartitioned table must be in snapshots to be compacted in place")
-        write_snapshot(df.hint("rebalance"), path)
+        now = current_path(spark, path)
+        if snapshot_buckets(now):
+            raise ValueError("a bucketed table has one file per bucket already")
+        write_snapshot(read_table(spark, path).hint("rebalance"), path)
         return
+
+    df = read_table(spark, path, merge_schema=True, text_partitions=True)
     if predicate is not None:
         df = df.filter(predicate)
     with staged(df.hint("rebalance", *partition_by), "compact", partition_by, keep_on_error=True) as packed:

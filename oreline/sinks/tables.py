@@ -158,10 +158,14 @@ def upsert_table(
     An empty source changes nothing. See ``upsert`` for the row semantics. An
     unpartitioned table gets a new snapshot; in a table partitioned by a column
     of the match condition only the partitions the source touches are rewritten.
+    ``schema`` declares the table's columns; without it they are collected from
+    the footers of all files.
     ``buckets`` keeps an unpartitioned table hash-bucketed by ``keys``: a merge
     then moves the source to the buckets and leaves the table where it is. One
     writer per table at a time.
     """
+    if evolve:
+        schema = None  # the table may have columns its declaration does not
     if fmt != "parquet":
         if null_safe or evolve or guard or delete_when is not None or on_duplicate != "error":
             raise ValueError(f"only the plain merge is available for format {fmt}")
@@ -218,10 +222,20 @@ def _current(
 
 
 def _target(
-    spark: SparkSession, path: str, rows: DataFrame, schema: StructType | None, delete_when: Column | None
+    spark: SparkSession,
+    path: str,
+    rows: DataFrame,
+    schema: StructType | None,
+    delete_when: Column | None,
+    partition_by: str | None = None,
 ) -> DataFrame:
     if table_exists(spark, path):
-        return read_table(spark, path, schema=schema)
+        # Undeclared, the schema is that of all files: what is not read here
+        # would be missing from the rewritten files.
+        target = read_table(spark, path, "parquet", schema, merge_schema=schema is None, text_partitions=True)
+        if partition_by:
+            target = target.withColumn(partition_by, F.col(partition_by).cast(rows.schema[partition_by].dataType))
+        return target
     if schema is None:
         schema = rows.schema
         if delete_when is not None:
@@ -249,7 +263,7 @@ def _upsert_partitions(
     dated, undated = rows.filter(partition.isNotNull()), rows.filter(partition.isNull())
     matchable = rows if options["null_safe"] else dated
 
-    target = _target(spark, path, rows, schema, options["delete_when"])
+    target = _target(spark, path, rows, schema, None, partition_by)
     if dated_count or options["null_safe"]:
         # Two literals prune the partition listing; the semi join then leaves
         # exactly the touched partitions, however many there are.

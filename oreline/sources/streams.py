@@ -7,6 +7,25 @@ from pyspark.sql import DataFrame, SparkSession
 from oreline.spec import STREAM_RECORD, EntitySpec
 
 
+def kafka_options(entity: EntitySpec, bootstrap_servers: str | None) -> dict[str, str]:
+    """Options of the Kafka source; the entity's own options come last and win.
+
+    A batch is decoded by one task per topic partition. Where a topic has fewer
+    partitions than the cluster has cores, put ``minPartitions`` there.
+    """
+    if not bootstrap_servers:
+        raise ValueError("bootstrap_servers is required for the kafka source")
+    return {
+        "kafka.bootstrap.servers": bootstrap_servers,
+        "subscribe": entity.topic,
+        "groupIdPrefix": f"bronze-{entity.name}",
+        "startingOffsets": entity.starting_offsets,
+        "maxOffsetsPerTrigger": str(entity.max_per_trigger),
+        "failOnDataLoss": str(entity.fail_on_data_loss).lower(),
+        **entity.options,
+    }
+
+
 def read_cdc_stream(
     spark: SparkSession,
     entity: EntitySpec,
@@ -22,18 +41,7 @@ def read_cdc_stream(
     stand-in used by the tests); its intake is limited in files, not offsets.
     """
     if fmt == "kafka":
-        options = {
-            "kafka.bootstrap.servers": bootstrap_servers,
-            "subscribe": entity.topic,
-            "groupIdPrefix": f"bronze-{entity.name}",
-            "startingOffsets": entity.starting_offsets,
-            "maxOffsetsPerTrigger": str(entity.max_per_trigger),
-            "failOnDataLoss": str(entity.fail_on_data_loss).lower(),
-            **entity.options,
-        }
-        if not bootstrap_servers:
-            raise ValueError("bootstrap_servers is required for the kafka source")
-        return spark.readStream.format("kafka").options(**options).load()
+        return spark.readStream.format("kafka").options(**kafka_options(entity, bootstrap_servers)).load()
 
     if not path:
         raise ValueError(f"path is required for the {fmt} source")

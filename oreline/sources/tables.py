@@ -61,20 +61,29 @@ def read_table(
     fmt: str = "parquet",
     schema: StructType | None = None,
     merge_schema: bool = False,
+    text_partitions: bool = False,
 ) -> DataFrame:
     """Read a table by path.
 
     Give ``schema`` where it is known: files written before a column existed
     then read it as NULL without any footer being opened for inference.
     ``merge_schema=True`` finds the union of all file schemas instead, which
-    opens every footer.
+    opens every footer. ``text_partitions=True`` takes partition values as they
+    are in the path, where inference would turn ``01`` into the number 1: what is
+    rewritten must go back to the partition it came from.
     """
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
     if merge_schema:
         reader = reader.option("mergeSchema", "true")
-    return reader.load(current_path(spark, path) if fmt == "parquet" else path)
+    inference = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(inference)
+    spark.conf.set(inference, str(not text_partitions).lower())
+    try:
+        return reader.load(current_path(spark, path) if fmt == "parquet" else path)
+    finally:
+        spark.conf.set(inference, before)
 
 
 def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:

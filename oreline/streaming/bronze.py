@@ -25,6 +25,7 @@ def append_bronze(
     trigger: str = "60 seconds",
     name: str | None = None,
     fmt: str = "parquet",
+    rebalance: bool = True,
 ) -> StreamingQuery:
     """Start appending a stream to the table at ``path``.
 
@@ -32,7 +33,9 @@ def append_bronze(
     wrote: every batch owns the partitions labelled with the query's id (kept in
     the checkpoint, so a restart has the same one) and its batch number.
     ``trigger`` is a processing-time interval, or ``"available_now"`` to take in
-    what is there and stop.
+    what is there and stop. ``rebalance`` shuffles each batch into well-sized
+    files per partition; without it every task writes a file of its own, which is
+    the cheaper way once a task's share of a batch fills a file.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -51,7 +54,9 @@ def append_bronze(
             )
         else:
             label = f"{run}-{batch_id:010d}"
-            rows = batch.withColumn(BATCH, F.lit(label)).hint("rebalance", *partition_by)
+            rows = batch.withColumn(BATCH, F.lit(label))
+            if rebalance:
+                rows = rows.hint("rebalance", *partition_by)
             # Counted in the writing stage: the batch is read from its source
             # once, and an empty one writes no file.
             rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))

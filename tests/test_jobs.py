@@ -7,13 +7,14 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from oreline import paths
-from oreline.__main__ import parse_args
+from oreline.__main__ import parse_args, run_job
 from oreline.functions import to_bronze
 from oreline.plans import build_gold_report, build_silver, ingest_bronze, run_window, student_session_report
 from oreline.plans.jobs import read_silver
 from oreline.plans.report import sessions_between
 from oreline.sinks import compact_log, ensure_table
 from oreline.sources import read_cdc_stream, read_table
+from oreline.sources.streams import kafka_options
 from oreline.spec import BATCH, ENTITIES, STREAM_RECORD, EntitySpec, Layout
 from oreline.streaming import append_bronze, run_until_stopped
 
@@ -138,6 +139,21 @@ def test_sources_need_an_address(spark):
         read_cdc_stream(spark, THING, "parquet")
 
 
+def test_kafka_options():
+    options = kafka_options(ENTITIES["class_regular_session"], "broker:9092")
+    assert options == {
+        "kafka.bootstrap.servers": "broker:9092",
+        "subscribe": "cdc.class_regular_session",
+        "groupIdPrefix": "bronze-class_regular_session",
+        "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "50000",
+        "failOnDataLoss": "false",
+        "kafka.session.timeout.ms": "45000",
+        "kafka.request.timeout.ms": "60000",
+    }
+    assert kafka_options(ENTITIES["class_regular_session_student"], "b")["maxOffsetsPerTrigger"] == "200000"
+
+
 def test_log_compaction(spark, lake, topic):
     for i in range(4):
         topic.send(message("c", 0, f"a{i}", i), message("c", 1, f"b{i}", i), message("c", 9, f"z{i}", i), "garbage")
@@ -334,3 +350,45 @@ def test_command_line():
     args = parse_args(["--root", "/lake", "bronze", "study_program", "--source", "json", "--source-path", "/in"])
     assert (args.source, args.source_path, args.trigger) == ("json", "/in", None)
     assert parse_args(["--root", "/lake", "gold"]).job == "gold"
+
+
+def test_command_line_jobs_end_to_end(spark, tmp_path):
+    """JSON topics of the real entities -> bronze -> silver -> gold -> SQL."""
+    root = str(tmp_path / "lake3")
+
+    def run(*argv):
+        run_job(spark, parse_args(["--root", root, "--hive", *argv]))
+
+    def event(op, day, image):
+        return json.dumps({"payload": {"op": op, "ts_ms": DAY_0 + day * DAY, "before": None, "after": image}})
+
+    topics = {
+        "class_regular_session": [
+            event("c", 0, {"id": "s1", "learn_date": 20240105, "study_program_id": "p1"}),
+            event("u", 1, {"id": "s1", "learn_date": 20240106, "study_program_id": "p1"}),
+            event("c", 1, {"id": "s2", "learn_date": 20240301, "study_program_id": "p1"}),
+        ],
+        "class_regular_session_student": [
+            event("c", 0, {"id": "1", "class_regular_session_id": "s1", "student_id": 7, "status": "BOOKED"}),
+            event("u", 1, {"id": "1", "class_regular_session_id": "s1", "student_id": 7, "status": "SUCCESS"}),
+            event("c", 1, {"id": "2", "class_regular_session_id": "s2", "student_id": 7, "status": "SUCCESS"}),
+            event("c", 1, {"id": "3", "class_regular_session_id": "s1", "student_id": 8, "status": "ABSENT"}),
+        ],
+        "study_program": [event("r", 0, {"id": "p1", "name": "Maths"}), None, "garbage"],
+    }
+    for name, values in topics.items():
+        folder = tmp_path / name
+        folder.mkdir()
+        records = [
+            {"topic": f"cdc.{name}", "partition": 0, "offset": i, "timestamp": "2024-01-02T00:00:00Z", "value": v}
+            for i, v in enumerate(values)
+        ]
+        (folder / "records.json").write_text("\n".join(json.dumps(r) for r in records))
+        run("bronze", name, "--source", "json", "--source-path", str(folder), "--trigger", "available_now")
+        run("silver", name, "--start-date", "2024-01-01", "--end-date", "2024-01-31")
+    run("gold", "--start-date", "2024-01-01", "--end-date", "2024-01-31")
+
+    report = spark.sql("select learn_date, student_id, class_regular_session_id, study_program from gold.student_session_report")
+    assert rows_of(report) == sorted([(dt.date(2024, 1, 6), 7, "s1", "Maths"), (None, 7, "s2", None)], key=repr)
+    assert spark.sql("select count(*) from bronze.study_program").first()[0] == 3
+    assert spark.sql("select count(*) from silver.study_program").first()[0] == 1

@@ -67,7 +67,7 @@ def test_upsert_table(spark, tmp_path):
     with pytest.raises(PySparkException, match="NOT NULL"):
         upsert_table(spark, path, frame(spark, [(None, 1)]), ["id"], not_null=["id"])
     assert rows_of(read_table(spark, path)) == [("a", 1), ("b", 20), ("c", 30)]
-    scratch = paths.child_dirs(spark, paths.shared_dir(spark) + "/oreline")
+    scratch = paths.child_dirs(spark, paths.scratch_root(spark))
     assert not [d for d in scratch if d.startswith("upsert-")]
 
 
@@ -226,6 +226,27 @@ def test_compaction(spark, tmp_path):
         compact(spark, path)
 
 
+def test_compaction_keeps_partition_values_and_late_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for part, schema, row in (("01", "v int, p string", (1, "01")), ("01", "v int, w string, p string", (2, "x", "01"))):
+        write_table(spark.createDataFrame([row], schema), path, partition_by=["p"])
+    compact(spark, path, ["p"])
+    assert os.path.isdir(f"{path}/p=01") and not os.path.isdir(f"{path}/p=1")
+    got = read_table(spark, path, schema=struct("v int, w string, p string"))
+    assert rows_of(got) == [(1, None, "01"), (2, "x", "01")]
+
+
+def test_partitioned_upsert_without_a_declared_schema(spark, tmp_path):
+    path = str(tmp_path / "t")
+    options = {"match_also": ["p"], "partition_by": "p"}
+    upsert_table(spark, path, frame(spark, [("a", 1, "01"), ("b", 1, "02")], struct("id string, v int, p string")), ["id"], **options)
+    wider = struct("id string, v int, w string, p string")
+    upsert_table(spark, path, frame(spark, [("a", 2, "x", "01")], wider), ["id"], evolve=True, **options)
+    upsert_table(spark, path, frame(spark, [("b", 3, "02"), ("c", 3, "01")], struct("id string, v int, p string")), ["id"], **options)
+    got = read_table(spark, path, schema=wider)
+    assert rows_of(got) == [("a", 2, "x", "01"), ("b", 3, None, "02"), ("c", 3, None, "01")]
+
+
 def test_added_column_reads_as_null(spark, tmp_path):
     path = str(tmp_path / "t")
     write_table(frame(spark, [("a", 1)]), path)
@@ -239,7 +260,7 @@ def test_added_column_reads_as_null(spark, tmp_path):
 def test_a_failed_swap_keeps_the_complete_rows(spark, tmp_path):
     from oreline.sinks.tables import staged
 
-    folder = paths.shared_dir(spark) + "/oreline"
+    folder = paths.scratch_root(spark)
     with pytest.raises(RuntimeError), staged(frame(spark, [("a", 1)]), "swap-test", keep_on_error=True):
         raise RuntimeError
     (kept,) = [d for d in paths.child_dirs(spark, folder) if d.startswith("swap-test")]
