@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from oreline.functions.dates import as_date
-from oreline.sources.tables import read_table
+from oreline.sources.tables import read_date_range, read_table
 from oreline.spec import BEFORE_KEY, BRONZE_META, EVENT_DATE, VERSION, EntitySpec
 
 # Millisecond timestamps tie; a stream position does not, so the newest change
@@ -32,6 +32,8 @@ def read_changes(
     fmt: str = "parquet",
 ) -> DataFrame:
     """Bronze rows of a range of event dates; only those partitions are read."""
+    if fmt == "parquet":
+        return read_date_range(spark, path, EVENT_DATE, start, end, schema)
     return in_window(read_table(spark, path, fmt, schema), start, end)
 
 

@@ -10,13 +10,12 @@ from pyspark.sql import functions as F
 
 from oreline import paths
 from oreline.functions.dates import as_date
-from oreline.operators.changes import in_window
+from oreline.operators.changes import read_changes
 from oreline.sinks.tables import staged, write_snapshot, write_table
-from oreline.sources.tables import current_path, read_table, snapshot_buckets, snapshots
+from oreline.sources.tables import UNDATED, current_path, read_table, snapshot_buckets, snapshots
 from oreline.spec import BATCH, EVENT_DATE, EntitySpec
 
 COMPACTED = "compacted"
-UNDATED = f"{EVENT_DATE}=__HIVE_DEFAULT_PARTITION__"
 RECORD_ID = ("_kafka_topic", "_kafka_partition", "_kafka_offset")
 
 
@@ -50,11 +49,12 @@ def compact(
 
 def _batch_folders(spark: SparkSession, path: str, start: dt.date, end: dt.date) -> list[tuple[str, str]]:
     """(event date, batch) folder names of the window."""
-    dated = [d for d in paths.child_dirs(spark, path) if d.startswith(f"{EVENT_DATE}=") and d != UNDATED]
+    prefix = f"{EVENT_DATE}="
+    days = [n for n in paths.child_dirs(spark, path) if n.startswith(prefix) and n != prefix + UNDATED]
     return [
         (day, batch)
-        for day in dated
-        if start <= as_date(day.partition("=")[2]) <= end
+        for day in days
+        if start <= as_date(day.removeprefix(prefix)) <= end
         for batch in paths.child_dirs(spark, f"{path}/{day}")
     ]
 
@@ -94,7 +94,7 @@ def compact_log(
     for run, last in newest.items():
         if run:
             selected = selected | (batch.startswith(f"{run}-") & (batch < last))
-    rows = in_window(read_table(spark, path, schema=entity.bronze_schema), start, end).filter(selected)
+    rows = read_changes(spark, path, start, end, entity.bronze_schema).filter(selected)
     folded = rows.dropDuplicates(list(RECORD_ID)).withColumn(BATCH, F.lit(COMPACTED)).hint("rebalance", EVENT_DATE)
     with staged(folded, "compact-log", [EVENT_DATE, BATCH], keep_on_error=True) as packed:
         write_table(packed, path, "overwrite_partitions", [EVENT_DATE, BATCH])

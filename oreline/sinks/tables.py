@@ -9,13 +9,14 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructType
 
 from oreline import paths
 from oreline.operators.upsert import check_not_null, upsert
 from oreline.sinks.catalog import create_table_sql
 from oreline.sources.tables import (
     current_path,
+    read_date_range,
     read_table,
     snapshot_buckets,
     snapshot_name,
@@ -28,6 +29,7 @@ from oreline.spec import TableSpec
 logger = logging.getLogger("oreline.tables")
 
 KEEP_SNAPSHOTS = 2
+_DATED = "_dated"
 
 
 def write_table(
@@ -187,9 +189,13 @@ def upsert_table(
         "guard": guard,
         "delete_when": delete_when,
     }
-    with staged(source, "upsert-source") as rows:
-        if partition_by:
+    if partition_by:
+        # Dated and undated rows go separate ways; staged apart, none of the
+        # passes over the one reads the other.
+        flagged = source.withColumn(_DATED, F.col(partition_by).isNotNull())
+        with staged(flagged, "upsert-source", [_DATED]) as rows:
             return _upsert_partitions(spark, path, rows, partition_by, schema, not_null, options)
+    with staged(source, "upsert-source") as rows:
         count = rows.count()  # answered from the file footers
         if count:
             # What the table holds has passed this check when it was a source.
@@ -227,15 +233,24 @@ def _target(
     rows: DataFrame,
     schema: StructType | None,
     delete_when: Column | None,
-    partition_by: str | None = None,
+    within: tuple | None = None,
 ) -> DataFrame:
+    """The table as it is; an empty one if it is yet to be made. ``within`` is a
+    partition column with the range of it that matters."""
     if table_exists(spark, path):
         # Undeclared, the schema is that of all files: what is not read here
         # would be missing from the rewritten files.
-        target = read_table(spark, path, "parquet", schema, merge_schema=schema is None, text_partitions=True)
-        if partition_by:
-            target = target.withColumn(partition_by, F.col(partition_by).cast(rows.schema[partition_by].dataType))
-        return target
+        options = {"schema": schema, "merge_schema": schema is None, "text_partitions": True}
+        if within is None:
+            return read_table(spark, path, **options)
+        column, low, high, with_null = within
+        kind = rows.schema[column].dataType
+        if isinstance(kind, DateType) and low is not None:
+            target = read_date_range(spark, path, column, low, high, with_undated=with_null, **options)
+            return target.withColumn(column, F.col(column).cast(kind))
+        target = read_table(spark, path, **options).withColumn(column, F.col(column).cast(kind))
+        in_range = F.lit(False) if low is None else F.col(column).between(F.lit(low), F.lit(high))
+        return target.filter(in_range | F.col(column).isNull() if with_null else in_range)
     if schema is None:
         schema = rows.schema
         if delete_when is not None:
@@ -260,26 +275,23 @@ def _upsert_partitions(
     if count == 0:
         return 0
     rows = check_not_null(rows, not_null)
-    dated, undated = rows.filter(partition.isNotNull()), rows.filter(partition.isNull())
-    matchable = rows if options["null_safe"] else dated
-
-    target = _target(spark, path, rows, schema, None, partition_by)
-    if dated_count or options["null_safe"]:
-        # Two literals prune the partition listing; the semi join then leaves
-        # exactly the touched partitions, however many there are.
-        in_range = F.lit(False) if low is None else partition.between(F.lit(low), F.lit(high))
-        if options["null_safe"]:
-            in_range = F.coalesce(in_range, F.lit(True))
+    dated, undated = rows.filter(_DATED).drop(_DATED), rows.filter(~F.col(_DATED)).drop(_DATED)
+    null_safe = options["null_safe"]
+    matchable = rows.drop(_DATED) if null_safe else dated
+
+    if dated_count or null_safe:
+        # Two values prune the target's folders; the semi join then leaves exactly
+        # the touched partitions, however many there are.
+        in_range = _target(spark, path, matchable, schema, None, (partition_by, low, high, null_safe))
         touched = matchable.select(partition.alias("_touched")).distinct()
-        same = partition.eqNullSafe(F.col("_touched")) if options["null_safe"] else partition == F.col("_touched")
-        current = target.filter(in_range).join(touched, same, "left_semi")
-        merged = upsert(current, matchable, **options)
+        same = partition.eqNullSafe(F.col("_touched")) if null_safe else partition == F.col("_touched")
+        merged = upsert(in_range.join(touched, same, "left_semi"), matchable, **options)
         # The merged partitions are complete in the shared folder before the
         # first old file goes away, so no job reads what it replaces.
         with staged(merged.hint("rebalance", partition_by), "upsert-merged", [partition_by], True) as complete:
             write_table(complete, path, "overwrite_partitions", [partition_by])
 
-    if count > dated_count and not options["null_safe"]:
+    if count > dated_count and not null_safe:
         # NULL equals nothing: these rows are inserts whatever the table holds.
         write_table(undated, path, "append", [partition_by])
     return count

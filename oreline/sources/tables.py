@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from oreline import paths
+from oreline.functions.dates import as_date
+
+UNDATED = "__HIVE_DEFAULT_PARTITION__"
 
 _SNAPSHOT = re.compile(r"snapshot-(\d+)(?:-b(\d+))?$")
 
@@ -62,6 +67,7 @@ def read_table(
     schema: StructType | None = None,
     merge_schema: bool = False,
     text_partitions: bool = False,
+    folders: list[str] | None = None,
 ) -> DataFrame:
     """Read a table by path.
 
@@ -70,7 +76,8 @@ def read_table(
     ``merge_schema=True`` finds the union of all file schemas instead, which
     opens every footer. ``text_partitions=True`` takes partition values as they
     are in the path, where inference would turn ``01`` into the number 1: what is
-    rewritten must go back to the partition it came from.
+    rewritten must go back to the partition it came from. ``folders`` limits the
+    read to some partition folders of the table.
     """
     reader = spark.read.format(fmt)
     if schema is not None:
@@ -81,11 +88,42 @@ def read_table(
     before = spark.conf.get(inference)
     spark.conf.set(inference, str(not text_partitions).lower())
     try:
+        if folders:
+            return reader.option("basePath", path).load(folders)
         return reader.load(current_path(spark, path) if fmt == "parquet" else path)
     finally:
         spark.conf.set(inference, before)
 
 
+def read_date_range(
+    spark: SparkSession,
+    path: str,
+    column: str,
+    start: str | dt.date,
+    end: str | dt.date,
+    schema: StructType | None = None,
+    with_undated: bool = False,
+    **options,
+) -> DataFrame:
+    """Rows of a date-partitioned table with ``start <= column <= end``.
+
+    Reading the table and filtering would prune the files, but only after every
+    folder of every date (and of every batch below it) had been listed. Here one
+    listing of the top level picks the dates, and only those are listed further.
+    """
+    start, end = as_date(start), as_date(end)
+    wanted = F.col(column).between(F.lit(start), F.lit(end))
+    if with_undated:
+        wanted = wanted | F.col(column).isNull()
+    prefix = f"{column}="
+    values = [n.removeprefix(prefix) for n in paths.child_dirs(spark, path) if n.startswith(prefix)]
+    picked = [v for v in values if (with_undated if v == UNDATED else start <= as_date(v) <= end)]
+    if not picked or len(picked) == len(values):
+        return read_table(spark, path, schema=schema, **options).filter(wanted)
+    folders = [f"{path}/{prefix}{v}" for v in picked]
+    return read_table(spark, path, schema=schema, folders=folders, **options).filter(wanted)
+
+
 def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
     """Make tables available to ``spark.sql`` under the given names."""
     for name, df in tables.items():

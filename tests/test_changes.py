@@ -94,3 +94,14 @@ def test_only_the_window_is_read(spark, tmp_path):
     plan = plan_of(df)
     partition_filters = plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
     assert "_event_date" in partition_filters
+    # Other dates are not even listed.
+    assert len(df.inputFiles()) == 2
+
+
+def test_window_without_any_partition(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = log(spark, [("u", t, None, "a", t) for t in range(3)])
+    undated = rows.limit(1).withColumn("_event_date", F.lit(None).cast("date"))
+    write_table(rows.unionByName(undated), path, partition_by=["_event_date"])
+    assert read_changes(spark, path, "2025-01-01", "2025-01-31").count() == 0
+    assert read_changes(spark, path, "2020-01-01", "2030-01-31").count() == 3
