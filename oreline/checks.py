@@ -405,11 +405,11 @@ def report_of_year(spark, sf_dir) -> DataFrame:
     return _report(spark, sf_dir)
 
 
-def _report_sql(window, columns="", joins="", where="") -> str:
+def _report_sql(window, columns="", joins="", where="", lines="lineitem") -> str:
     return f"""(
   select b.learn_date, l_suppkey as student_id, l_orderkey as class_regular_session_id,
          c.c_name as study_program{columns}
-  from lineitem
+  from {lines}
   left join (select o_orderkey, o_custkey, cast(o_orderdate as date) as learn_date from orders
              where cast(o_orderdate as date) between date '{window[0]}' and date '{window[1]}') b
     on b.o_orderkey = l_orderkey
@@ -604,14 +604,11 @@ def compact_preserves_rows(spark, sf_dir):
     layout, _ = _landed(spark, sf_dir)
     path = layout.bronze_path(samples.EVENTS)
     compact_log(spark, path, samples.EVENTS, "2024-01-01", "2024-01-31")
-    compact(spark, path, [EVENT_DATE, BATCH], in_window_predicate("2024-01-01", "2024-01-31"))
+    month = F.col(EVENT_DATE).between(F.to_date(F.lit("2024-01-01")), F.to_date(F.lit("2024-01-31")))
+    compact(spark, path, [EVENT_DATE, BATCH], month)
     return _landed_log(spark, layout)
 
 
-def in_window_predicate(start: str, end: str):
-    return F.col(EVENT_DATE).between(F.to_date(F.lit(start)), F.to_date(F.lit(end)))
-
-
 @query(
     """
 select event_id, event_type, value, case when ts >= timestamp '2024-01-16' then props end as props
@@ -670,6 +667,30 @@ def gold_job(spark, sf_dir):
     return read_table(spark, table.path, schema=table.schema).drop("_gold_updated_at")
 
 
+@query(
+    f"""
+select learn_date, student_id, cast(class_regular_session_id as varchar) as class_regular_session_id, study_program
+from {_report_sql(JANUARY, lines="(select distinct * from lineitem)")}"""
+)
+def snapshot_to_report(spark, sf_dir):
+    """All three jobs on the declared entities: their initial snapshots arrive as
+    streams and end up in the report of a month."""
+    layout = Layout(paths.scratch_path(spark, "lake"))
+    for name, feed in samples.report_snapshots(spark, sf_dir).items():
+        topic = paths.scratch_path(spark, f"topic-{name}")
+        write_table(feed, topic)
+        entity = ENTITIES[name]
+        run_until_stopped(
+            ingest_bronze(
+                spark, entity, layout, trigger=AVAILABLE_NOW, source_fmt="parquet", source_path=topic
+            )
+        )
+        build_silver(spark, entity, layout, "2024-01-01", "2024-01-01")
+    build_gold_report(spark, layout, *JANUARY)
+    table = layout.report_table()
+    return read_table(spark, table.path, schema=table.schema).drop("_gold_updated_at")
+
+
 @query(
     FEED_SQL
     + f"""

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreline.spec import EntitySpec
+from oreline.spec import ENTITIES, REPORT_STATUSES, EntitySpec
 
 EVENTS = EntitySpec("events", "id string, event_type string, value double, props string")
 EVENTS_WITH_BEFORE = EntitySpec("events", EVENTS.columns, before_key=True)
@@ -75,6 +75,47 @@ def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(*_record("cdc.orders", F.col("o_orderkey"), ts, value))
 
 
+SNAPSHOT_TIME = "2024-01-01 06:00:00"
+
+
+def snapshot_feed(entity: EntitySpec, rows: DataFrame, number: Column) -> DataFrame:
+    """``rows`` as the initial snapshot of ``entity``: one ``r`` record per row, all
+    taken at one moment. Columns the rows lack are NULL in the image."""
+    ts = F.lit(SNAPSHOT_TIME).cast("timestamp")
+    image = F.struct(
+        *[
+            (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in entity.after_schema.fields
+        ]
+    )
+    value = _message(F.when(F.lit(False), image), image, F.lit("r"), ts)
+    return rows.select(*_record(entity.topic, number, ts, value))
+
+
+def report_snapshots(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Snapshot feeds of the report's three entities, by entity name."""
+    lines = table(spark, sf_dir, "lineitem")
+    # No column set of lineitem is a key: a booking is identified by all of them.
+    booking = lines.select(
+        F.sha2(F.concat_ws("|", *lines.columns), 256).alias("id"),
+        F.col("l_suppkey").alias("student_id"),
+        F.col("l_orderkey").alias("class_regular_session_id"),
+        F.when(F.col("l_returnflag") == "A", REPORT_STATUSES[0])
+        .when(F.col("l_returnflag") == "R", REPORT_STATUSES[1])
+        .otherwise("BOOKED")
+        .alias("status"),
+    )
+    session, program = sessions(spark, sf_dir), study_programs(spark, sf_dir)
+    number = F.col("id").cast("long")
+    return {
+        "class_regular_session_student": snapshot_feed(
+            ENTITIES["class_regular_session_student"], booking, F.abs(F.xxhash64("id") % 1_000_000_007)
+        ),
+        "class_regular_session": snapshot_feed(ENTITIES["class_regular_session"], session, number),
+        "study_program": snapshot_feed(ENTITIES["study_program"], program, number),
+    }
+
+
 def session_students(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("student_id"),

@@ -287,6 +287,35 @@ def test_report_with_a_session_that_holds_most_bookings(spark):
     assert report.filter("study_program = 'Maths'").count() == 5001
 
 
+def test_hot_session_is_split_when_it_cannot_be_broadcast(spark, tmp_path):
+    _, sessions, programs, _ = star(spark)
+    hot = spark.range(60_000).select(
+        F.col("id").alias("student_id"),
+        F.when(F.col("id") % 3 == 0, "s1").otherwise(F.concat(F.lit("x"), F.col("id"))).alias("class_regular_session_id"),
+        F.lit("SUCCESS").alias("status"),
+    )
+    hot.repartition(8).write.parquet(str(tmp_path / "hot"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        students = spark.read.parquet(str(tmp_path / "hot"))
+        report = student_session_report(students, sessions, programs, "2026-04-02", "2026-04-03")
+        rows = report.collect()
+        plan = report._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert "skew=true" in plan
+    assert len(rows) == 60_000
+    assert sum(r.study_program == "Maths" for r in rows) == 20_000
+
+
 def test_session_dates_are_filtered_in_the_scan(spark, lake):
     put_star(spark, lake)
     sessions = read_silver(spark, ENTITIES["class_regular_session"], lake)
