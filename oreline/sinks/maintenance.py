@@ -12,7 +12,14 @@ from oreline import paths
 from oreline.functions.dates import as_date
 from oreline.operators.changes import read_changes
 from oreline.sinks.tables import staged, write_snapshot, write_table
-from oreline.sources.tables import UNDATED, current_path, read_table, snapshot_buckets, snapshots
+from oreline.sources.tables import (
+    current_path,
+    date_in_range,
+    partition_values,
+    read_table,
+    snapshot_buckets,
+    snapshots,
+)
 from oreline.spec import BATCH, EVENT_DATE, EntitySpec
 
 COMPACTED = "compacted"
@@ -49,13 +56,11 @@ def compact(
 
 def _batch_folders(spark: SparkSession, path: str, start: dt.date, end: dt.date) -> list[tuple[str, str]]:
     """(event date, batch) folder names of the window."""
-    prefix = f"{EVENT_DATE}="
-    days = [n for n in paths.child_dirs(spark, path) if n.startswith(prefix) and n != prefix + UNDATED]
     return [
-        (day, batch)
-        for day in days
-        if start <= as_date(day.removeprefix(prefix)) <= end
-        for batch in paths.child_dirs(spark, f"{path}/{day}")
+        (f"{EVENT_DATE}={day}", batch)
+        for day in partition_values(spark, path, EVENT_DATE)
+        if date_in_range(day, start, end)
+        for batch in paths.child_dirs(spark, f"{path}/{EVENT_DATE}={day}")
     ]
 
 

@@ -161,8 +161,7 @@ def upsert_table(
     unpartitioned table gets a new snapshot; in a table partitioned by a column
     of the match condition only the partitions the source touches are rewritten.
     ``schema`` declares the table's columns; without it they are collected from
-    the footers of all files.
-    ``buckets`` keeps an unpartitioned table hash-bucketed by ``keys``: a merge
+    the footers of all files. ``buckets`` keeps an unpartitioned table hash-bucketed by ``keys``: a merge
     then moves the source to the buckets and leaves the table where it is. One
     writer per table at a time.
     """
@@ -171,7 +170,11 @@ def upsert_table(
     if fmt != "parquet":
         if null_safe or evolve or guard or delete_when is not None or on_duplicate != "error":
             raise ValueError(f"only the plain merge is available for format {fmt}")
-        return _merge_into(source, f"{fmt}.`{path}`", [*keys, *match_also])
+        with staged(source, "upsert-source") as rows:
+            count = rows.count()
+            if count:
+                _merge_into(rows, f"{fmt}.`{path}`", [*keys, *match_also])
+            return count
     if partition_by and partition_by not in [*keys, *match_also]:
         raise ValueError("partition_by must be part of the match condition")
     if partition_by and buckets:
@@ -239,15 +242,15 @@ def _target(
     partition column with the range of it that matters."""
     if table_exists(spark, path):
         # Undeclared, the schema is that of all files: what is not read here
-        # would be missing from the rewritten files.
-        options = {"schema": schema, "merge_schema": schema is None, "text_partitions": True}
+        # would be missing from the rewritten ones. Files of a snapshot are alike.
+        mixed = schema is None and not snapshots(spark, path)
+        options = {"schema": schema, "merge_schema": mixed, "text_partitions": True}
         if within is None:
             return read_table(spark, path, **options)
         column, low, high, with_null = within
         kind = rows.schema[column].dataType
-        if isinstance(kind, DateType) and low is not None:
-            target = read_date_range(spark, path, column, low, high, with_undated=with_null, **options)
-            return target.withColumn(column, F.col(column).cast(kind))
+        if isinstance(kind, DateType) and low is not None and not mixed:
+            return read_date_range(spark, path, column, low, high, with_undated=with_null, **options)
         target = read_table(spark, path, **options).withColumn(column, F.col(column).cast(kind))
         in_range = F.lit(False) if low is None else F.col(column).between(F.lit(low), F.lit(high))
         return target.filter(in_range | F.col(column).isNull() if with_null else in_range)
@@ -297,14 +300,11 @@ def _upsert_partitions(
     return count
 
 
-def _merge_into(source: DataFrame, table: str, match: Sequence[str]) -> int:
+def _merge_into(rows: DataFrame, table: str, match: Sequence[str]) -> None:
     """MERGE in a table format that has row-level operations of its own."""
-    count = source.count()
-    if count:
-        on = " AND ".join(f"target.{c} = source.{c}" for c in match)
-        source.createOrReplaceTempView("_upsert_source")
-        source.sparkSession.sql(
-            f"MERGE INTO {table} AS target USING _upsert_source AS source ON {on} "
-            "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
-        )
-    return count
+    on = " AND ".join(f"target.{c} = source.{c}" for c in match)
+    rows.createOrReplaceTempView("_upsert_source")
+    rows.sparkSession.sql(
+        f"MERGE INTO {table} AS target USING _upsert_source AS source ON {on} "
+        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+    )

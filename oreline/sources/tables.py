@@ -95,6 +95,21 @@ def read_table(
         spark.conf.set(inference, before)
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of the first-level partition column, as they are in the folder names."""
+    prefix = f"{column}="
+    return [n.removeprefix(prefix) for n in paths.child_dirs(spark, path) if n.startswith(prefix)]
+
+
+def date_in_range(value: str, start: dt.date, end: dt.date) -> bool:
+    """Whether a partition value is a date in the range. A corrupt event time can
+    make a folder of the year 50000 (or of no date): that is in no range."""
+    try:
+        return start <= as_date(value) <= end
+    except ValueError:
+        return False
+
+
 def read_date_range(
     spark: SparkSession,
     path: str,
@@ -115,12 +130,12 @@ def read_date_range(
     wanted = F.col(column).between(F.lit(start), F.lit(end))
     if with_undated:
         wanted = wanted | F.col(column).isNull()
-    prefix = f"{column}="
-    values = [n.removeprefix(prefix) for n in paths.child_dirs(spark, path) if n.startswith(prefix)]
-    picked = [v for v in values if (with_undated if v == UNDATED else start <= as_date(v) <= end)]
-    if not picked or len(picked) == len(values):
+    values = partition_values(spark, path, column)
+    picked = [v for v in values if date_in_range(v, start, end) or (with_undated and v == UNDATED)]
+    if len(picked) == len(values):
         return read_table(spark, path, schema=schema, **options).filter(wanted)
-    folders = [f"{path}/{prefix}{v}" for v in picked]
+    # An empty window still needs some folder to take the columns from.
+    folders = [f"{path}/{column}={v}" for v in picked or values[:1]]
     return read_table(spark, path, schema=schema, folders=folders, **options).filter(wanted)
 
 

@@ -110,6 +110,19 @@ def test_new_checkpoint_does_not_overwrite_earlier_batches(spark, lake, topic, t
     assert rows_of(bronze(spark, lake), "id") == [("a",), ("b",)]
 
 
+def test_corrupt_event_times_do_not_break_later_jobs(spark, lake, topic):
+    micros = json.dumps({"payload": {"op": "c", "ts_ms": DAY_0 * 1000, "after": {"id": "far"}}})
+    negative = json.dumps({"payload": {"op": "c", "ts_ms": -(2**62), "after": {"id": "none"}}})
+    topic.send(message("c", 0, "a", 1), micros, negative)
+    topic.send(message("c", 0, "b", 1))
+    topic.send(message("c", 0, "c", 1))
+    ingest(spark, lake, topic, files_per_trigger=1)
+    assert bronze(spark, lake).count() == 5
+    assert build_silver(spark, THING, lake, "2024-01-01", "2024-01-02") == 3
+    assert compact_log(spark, lake.bronze_path(THING), THING, "2024-01-01", "2024-01-02") == 2
+    assert rows_of(bronze(spark, lake), "id") == [("a",), ("b",), ("c",), ("far",), ("none",)]
+
+
 def test_rate_limit(spark, lake, topic):
     for i in range(5):
         topic.send(message("c", 0, f"k{i}", i))
