@@ -157,6 +157,32 @@ def _decode_envelope(spark, sf_dir):
     return decoded.drop("_kafka_timestamp", "_kafka_topic")
 
 
+@query(
+    """
+select case event_type when 'error' then 'd' when 'signup' then 'c' else 'u' end as _op,
+       case when event_type = 'error' then cast(user_id as varchar) end as _before_key,
+       case when event_type = 'error' then event_type end as before_type,
+       case when event_type = 'error' then value end as before_value,
+       case when event_type <> 'error' then value end as value
+from events"""
+)
+def decode_before_image(spark, sf_dir):
+    decoded = decode_envelope(
+        samples.event_feed(spark, sf_dir),
+        samples.EVENTS.after_schema,
+        columns=["value"],
+        before_key="id",
+        before_image=True,
+    )
+    return decoded.select(
+        "_op",
+        "_before_key",
+        F.col("_before.event_type").alias("before_type"),
+        F.col("_before.value").alias("before_value"),
+        "value",
+    )
+
+
 @query(
     FEED_SQL
     + "select _kafka_topic, _kafka_partition, _kafka_offset, epoch_us(ts) as _kafka_timestamp_us from bronze"

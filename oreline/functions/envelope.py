@@ -14,14 +14,14 @@ _KAFKA_COLUMNS = ("topic", "partition", "offset", "timestamp")
 _MS_PER_DAY = 86_400_000
 
 
-def _message_schema(after: T.StructType, meta: Sequence[str], before_key: str | None) -> T.StructType:
+def _message_schema(after: T.StructType, meta: Sequence[str], before: T.StructType | None) -> T.StructType:
     # Only what is selected is declared: the JSON reader skips undeclared
     # members without building them, so the unused "before" image (half of
     # most messages) costs a token skip instead of a row.
     payload = [T.StructField("after", after)]
     payload += [T.StructField(name, ENVELOPE_META[name]) for name in meta]
-    if before_key:
-        payload.append(T.StructField("before", T.StructType([after[before_key]])))
+    if before is not None:
+        payload.append(T.StructField("before", before))
     return T.StructType([T.StructField("payload", T.StructType(payload))])
 
 
@@ -31,22 +31,28 @@ def decode_envelope(
     columns: Sequence[str] | None = None,
     meta: Sequence[str] = ("op", "ts_ms"),
     before_key: str | None = None,
+    before_image: bool = False,
 ) -> DataFrame:
     """Parse ``value`` and flatten it.
 
     ``columns=None`` takes every field of the ``after`` image in schema order; a
     list takes just those (and parses just those). Envelope fields named in
     ``meta`` come out with a leading underscore, stream columns with a
-    ``_kafka_`` prefix. A value that is not a decodable envelope yields a row
+    ``_kafka_`` prefix. The ``before`` image is skipped unless asked for:
+    ``before_key`` keeps one field of it as ``_before_key``, ``before_image`` all of
+    it as the struct ``_before``. A value that is not a decodable envelope yields a row
     whose decoded columns are all NULL; nothing is dropped here.
     """
     after = after_schema if columns is None else T.StructType([after_schema[c] for c in columns])
-    schema = _message_schema(after, meta, before_key)
+    before = after_schema if before_image else T.StructType([after_schema[before_key]]) if before_key else None
+    schema = _message_schema(after, meta, before)
     parsed = df.select(
         *[F.col(c).alias(f"_kafka_{c}") for c in _KAFKA_COLUMNS],
         F.from_json(F.col("value").cast("string"), schema).alias("msg"),
     )
     extra = [F.col(f"msg.payload.before.{before_key}").alias(BEFORE_KEY)] if before_key else []
+    if before_image:
+        extra.append(F.col("msg.payload.before").alias("_before"))
     return parsed.select(
         *[F.col(f"msg.payload.{m}").alias(f"_{m}") for m in meta],
         *[F.col(f"_kafka_{c}") for c in _KAFKA_COLUMNS],

@@ -41,6 +41,14 @@ def test_before_key_is_kept_on_request(records):
     assert live["_before_key"] is None and live["id"] == "b"
 
 
+def test_before_image_is_kept_on_request(records):
+    before = {"id": "a", "n": 1, "label": "x"}
+    (row,) = decode(records, message("u", {"id": "a", "n": 2}, before), columns=["n"], before_image=True)
+    assert row["_before"].asDict() == before and row["n"] == 2
+    (plain,) = decode(records, message("u", {"id": "a", "n": 2}, before))
+    assert "_before" not in plain
+
+
 @pytest.mark.parametrize("value", [None, "garbage", "", "[1]", "{}"])
 def test_undecodable_values_give_null_columns(records, value):
     df = to_bronze(records([value]), THING)

@@ -86,6 +86,29 @@ def test_stream_appends_and_resumes(spark, lake, topic):
     assert rows_of(bronze(spark, lake).filter("id = 'a'"), "n") == [(1,), (3,)]
 
 
+@pytest.mark.parametrize("rebalance", [True, False])
+def test_interval_trigger_keeps_running(spark, lake, topic, rebalance):
+    topic.send(message("c", 0, "a", 1))
+    stream = to_bronze(read_cdc_stream(spark, THING, "parquet", topic.path), THING)
+    query = append_bronze(
+        stream,
+        lake.bronze_path(THING),
+        lake.checkpoint_path(THING),
+        trigger="1 seconds",
+        name=f"interval_{rebalance}",
+        rebalance=rebalance,
+    )
+    try:
+        query.processAllAvailable()
+        topic.send(message("c", 0, "b", 2))
+        query.processAllAvailable()
+        assert not run_until_stopped(query, timeout=1)
+    finally:
+        query.stop()
+    assert run_until_stopped(query)
+    assert rows_of(bronze(spark, lake), "id") == [("a",), ("b",)]
+
+
 def test_replayed_batch_is_not_appended_twice(spark, lake, topic):
     topic.send(message("c", 0, "a", 1))
     topic.send(message("c", 0, "b", 2))
