@@ -704,7 +704,8 @@ def snapshot_to_report(spark, sf_dir):
     layout = Layout(paths.scratch_path(spark, "lake"))
     for name, feed in samples.report_snapshots(spark, sf_dir).items():
         topic = paths.scratch_path(spark, f"topic-{name}")
-        write_table(feed, topic)
+        # One file per core, as a topic would have partitions to be read side by side.
+        write_table(feed.repartition(spark.sparkContext.defaultParallelism, "offset"), topic)
         entity = ENTITIES[name]
         run_until_stopped(
             ingest_bronze(
