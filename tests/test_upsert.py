@@ -94,6 +94,14 @@ def test_deletes_remove_their_key(spark):
     assert rows_of(got) == [("b", 20)]
 
 
+def test_an_old_delete_does_not_remove_a_newer_row(spark):
+    schema = "id string, v int, _op string"
+    target = frame(spark, [("a", 5), ("b", 5)])
+    source = frame(spark, [("a", 4, "d"), ("b", 6, "d"), ("c", 1, "u")], schema)
+    got = upsert(target, source, ["id"], guard="v", delete_when=F.col("_op") == "d")
+    assert rows_of(got) == [("a", 5), ("c", 1)]
+
+
 def test_source_derived_from_the_target(spark):
     target = frame(spark, [("a", 1), ("b", 2), (None, 9)])
     source = target.filter("v = 1").withColumn("v", F.col("v") * 10)
