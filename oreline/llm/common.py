@@ -2,11 +2,39 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreline.paths import scratch_path
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the executors' Python workers, once per application.
+
+    What ``--py-files`` does, for sessions started without it. The archive lies in the shared folder.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    path = f"{scratch_path(spark, 'package')}/{root.name}-package.zip"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).create(hadoop)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)
+
 #: Bits of the pre-filter of ``sift``. It goes to every executor, so its size is fixed: 2^24 bits
 #: are at most 2^18 rows of two longs, whatever the input.
 SIFT_BITS = 24
