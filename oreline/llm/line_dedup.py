@@ -1,6 +1,6 @@
 """Line deduplication by a deletion-neighbourhood join.
 
-A line's words are compared in lower case. Lines with the same words are exact copies. Two lines of at
+A line's words, between ASCII white space, are compared with A-Z in lower case, by 64-bit hashes. Lines with the same words are exact copies. Two lines of at
 least ``NEAR_WORDS`` words are near copies if one word edit (replace, insert or delete) turns one into
 the other. Every line emits what is left of it when a word is deleted, as hashed keys, and lines that
 share a key are joined:
@@ -17,40 +17,131 @@ alone, so a line whose beginning and end are its own emits nothing.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oreline.llm.common import bitmap, row_key, sift, staged
+from oreline.llm.words import SPACED, mix, scan
 
 NEAR_WORDS = 8
-SPACE = r"[\x20\x09-\x0D]+"
+_PLACE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _words(line: str) -> str:
-    return rf"filter(split(lower({line}), '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
+def _lines(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, row of each line, line number in its text, first word of each line and the end, word hashes)."""
+    for first, bounds, own, begin, hashes in scan(batch.column("text"), SPACED):
+        if not len(begin):
+            continue
+        breaks = np.flatnonzero(own == 10)
+        row = np.searchsorted(bounds, begin, side="right") - 1
+        line = np.searchsorted(breaks, begin)
+        start = np.flatnonzero((np.diff(line, prepend=-1) != 0) | (np.diff(row, prepend=-1) != 0))
+        number = line[start] - np.searchsorted(breaks, bounds[row[start]])
+        yield first, row[start], number, np.append(start, len(hashes)), hashes
 
 
-def _lines(docs: DataFrame, *columns: str) -> DataFrame:
-    """One row per line with words: the columns, ``pos`` (from 0) and ``words``."""
-    return (
-        docs.select(*columns, F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-        .select(*columns, "pos", F.expr(_words("line")).alias("words"))
-        .where("size(words) > 0")
-    )
+def _sums(values: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(values)])
+
+
+def _longs(values: np.ndarray) -> pa.Array:
+    return pa.array(np.ascontiguousarray(values, np.uint64).view(np.int64), pa.int64())
+
+
+def _lists(values: np.ndarray, limits: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(limits, pa.int32()), _longs(values))
+
+
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per line with words: id, row, pos, two hashes of its words, and its anchors.
+
+    Anchors are hashes of a line's first and last h words, h being the largest power of two below half its
+    length. A partner may be one word longer, so a line whose length is just below a step takes both.
+    The beginning and end do not overlap, and one edit touches at most one of them.
+    """
+    for batch in batches:
+        for first, row, number, limits, hashes in _lines(batch):
+            start, n = limits[:-1], np.diff(limits)
+            ahead = np.arange(len(hashes)) - np.repeat(start, n)
+            behind = np.repeat(n, n) - ahead
+            forward = mix(hashes + ahead.astype(np.uint64) * _PLACE)
+            fore, back = _sums(forward), _sums(mix(~hashes + behind.astype(np.uint64) * _PLACE))
+            one, two = fore[limits[1:]] - fore[start], np.add.reduceat(mix(forward ^ _PLACE), start)
+            anchors, own = [], np.flatnonzero(n >= NEAR_WORDS)
+            for longer in (0, 1):
+                h = 1 << np.floor(np.log2((n[own] + longer - 1) / 2)).astype(np.int64)
+                tag = h.astype(np.uint64) << np.uint64(1)
+                anchors.append(mix((fore[start[own] + h] - fore[start[own]]) ^ mix(tag)))
+                anchors.append(mix((back[limits[own + 1]] - back[limits[own + 1] - h]) ^ mix(tag + np.uint64(1))))
+            table = np.stack(anchors, 1) if len(own) else np.zeros((0, 4), np.uint64)
+            # A line that takes one length only has its two anchors twice.
+            twice = (table[:, 0] == table[:, 2]) & (table[:, 1] == table[:, 3])
+            keep = np.ones(table.shape, bool)
+            keep[twice, 2:] = False
+            counts = np.zeros(len(n), np.int64)
+            counts[own] = keep.sum(axis=1)
+            at = pa.array(first + row)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id").take(at),
+                    batch.column("row").take(at),
+                    pa.array(number, pa.int64()),
+                    _longs(one),
+                    _longs(two),
+                    _lists(table[keep], np.concatenate([[0], np.cumsum(counts)])),
+                ],
+                ["id", "row", "pos", "h1", "h2", "anchors"],
+            )
+
+
+def _line_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per line of at least NEAR_WORDS words: row, pos and the hashes of its words."""
+    for batch in batches:
+        for first, row, number, limits, hashes in _lines(batch):
+            n = np.diff(limits)
+            own = n >= NEAR_WORDS
+            words = hashes[np.repeat(own, n)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("row").take(pa.array(first + row[own])),
+                    pa.array(number[own], pa.int64()),
+                    _lists(words, np.concatenate([[0], np.cumsum(n[own])])),
+                ],
+                ["row", "pos", "words"],
+            )
 
 
-def _anchors() -> str:
-    """Hashes of a line's first and last h words, h being the largest power of two below half its length.
+def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashed keys of each line: roles 0 one word deleted, 1 the whole line, 2 one word deleted at a known place.
 
-    A partner may be one word longer, so a line whose length is just below a step takes both. The
-    beginning and end do not overlap, and one edit touches at most one of them.
+    The hash of a sequence is a sum over (word, place), so the deletion of a word is the sum before it
+    plus the sum after it with places moved by one: every variant costs the same, however long the line.
     """
-    parts = []
-    for longer in (0, 1):
-        h = f"cast(pow(2, floor(log2((n + {longer} - 1) / 2))) as int)"
-        for side, words in (("p", f"slice(words, 1, {h})"), ("s", f"slice(words, n - {h} + 1, {h})")):
-            parts.append(f"xxhash64('{side}', {h}, {words})")
-    return f"if(n >= {NEAR_WORDS}, array_distinct(array({', '.join(parts)})), cast(array() as array<bigint>))"
+    for batch in batches:
+        words = batch.column("words")
+        limits = np.asarray(words.offsets)
+        hashes = np.asarray(words.values)[limits[0] : limits[-1]].view(np.uint64)
+        limits = (limits - limits[0]).astype(np.int64)
+        n = np.diff(limits)
+        line = np.repeat(np.arange(len(n)), n)
+        place = np.arange(len(hashes)) - limits[line]
+        here = _sums(mix(hashes + place.astype(np.uint64) * _PLACE))
+        moved = _sums(mix(hashes + (place - 1).astype(np.uint64) * _PLACE))
+        i = np.arange(len(hashes))
+        cut = (here[i] - here[limits[line]]) + (moved[limits[line + 1]] - moved[i + 1])
+        whole = here[limits[1:]] - here[limits[:-1]]
+        of = mix(np.concatenate([cut, whole]))
+        tag = mix((n[line].astype(np.uint64) << np.uint64(32)) + place.astype(np.uint64))
+        keys = np.concatenate([of, mix(mix(cut) ^ tag)])
+        lines = np.concatenate([line, np.arange(len(n)), line])
+        roles = np.repeat([0, 1, 2], [len(cut), len(whole), len(cut)])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("h1").take(pa.array(lines)), _longs(keys), pa.array(roles, pa.int32())], ["h1", "key", "role"]
+        )
 
 
 def _near(distinct: DataFrame, docs: DataFrame) -> DataFrame:
@@ -61,23 +152,9 @@ def _near(distinct: DataFrame, docs: DataFrame) -> DataFrame:
     # Their words, read from the documents again; most documents are sifted out before the shuffle.
     rows = candidates.select(F.col("first.row").alias("row"), F.col("first.pos").alias("pos"), "h1", "h2", "first")
     kept, _ = sift(docs.select("row", "text"), "row", bitmap(rows, "row"))
-    lines = staged(
-        _lines(kept, "row").join(rows, ["row", "pos"]).select("h1", "h2", "first", "words").dropDuplicates(["h1", "h2"]), "lines"
-    )
-    # Variants over word hashes. Roles: 0 one word deleted, 1 the whole line, 2 one word deleted at a known place.
-    hashed = lines.select("h1", F.expr("transform(words, w -> xxhash64(w))").alias("w"), F.expr("size(words)").alias("n"))
-    left = "concat(slice(w, 1, i), slice(w, i + 2, n))"
-    variants = hashed.select(
-        "h1",
-        F.explode(
-            F.expr(
-                "concat("
-                f"transform(sequence(0, n - 1), i -> struct(xxhash64('at', n, i, {left}) as key, 2 as role)),"
-                f"transform(sequence(0, n - 1), i -> struct(xxhash64('of', {left}) as key, 0 as role)),"
-                "array(struct(xxhash64('of', w) as key, 1 as role)))"
-            )
-        ).alias("v"),
-    ).select("h1", "v.key", "v.role")
+    read = kept.mapInArrow(_line_words, "row long, pos long, words array<long>")
+    lines = staged(read.join(rows, ["row", "pos"]).select("h1", "h2", "first", "words").dropDuplicates(["h1", "h2"]), "lines")
+    variants = lines.select("h1", "words").mapInArrow(_variants, "h1 long, key long, role int")
     met = (
         variants.groupBy("key")
         .agg(F.min("h1").alias("x"), F.max("h1").alias("y"), F.min("role").alias("r0"), F.max("role").alias("r1"))
@@ -126,15 +203,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Lines travel as hashes: a text is shuffled only if lines are taken out of it.
     """
     ids = docs.withColumn("__row", row_key(id_col, text_col))
-    own = ids.select(F.col(id_col).alias("id"), F.col("__row").alias("row"), F.col(text_col).cast("string").alias("text"))
+    own = ids.select(F.col(id_col).cast("long").alias("id"), F.col("__row").alias("row"), F.col(text_col).cast("string").alias("text"))
     occurrences = staged(
-        _lines(own, "id", "row")
-        .withColumn("n", F.size("words"))
-        .select(
-            F.struct("id", "row", "pos").alias("first"),
-            F.xxhash64("words").alias("h1"),
-            F.xxhash64(F.lit("second"), "words").alias("h2"),
-            F.expr(_anchors()).alias("anchors"),
+        own.mapInArrow(_occurrences, "id long, row long, pos long, h1 long, h2 long, anchors array<long>").select(
+            F.struct("id", "row", "pos").alias("first"), "h1", "h2", "anchors"
         ),
         "occurrences",
     )
@@ -160,9 +232,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     maybe, surely = sift(ids, "__row", bitmap(gone, "__row"))
     joined = maybe.join(gone, "__row", "left")
     lines = f"split(`{text_col}`, '\\n')"
-    left = f"array_except(sequence(0, size({lines}) - 1), transform(__gone, g -> g.pos))"
-    cleaned = f"if(__gone is null, `{text_col}`, array_join(transform({left}, i -> element_at(__lines, i + 1)), '\\n'))"
-    counted = f"coalesce(cast(size(filter({lines}, l -> exists(split(l, '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w <> ''))) as long), 0L)"
+    left = f"array_except(sequence(0L, size({lines}) - 1L), transform(__gone, g -> g.pos))"
+    cleaned = f"if(__gone is null, `{text_col}`, array_join(transform({left}, i -> element_at(__lines, cast(i as int) + 1)), '\n'))"
+    # A line with words: a character that is not white space, and all up to the line's end.
+    counted = F.regexp_count(F.col(text_col), F.lit(r"[^\x20\x09-\x0D][^\n]*")).cast("long")
     out = [c for c in docs.columns if c not in ("n_lines", "n_exact", "n_near")]
     nothing = F.lit(None).cast(gone.schema["__gone"].dataType)
 
@@ -170,7 +243,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         tally = lambda what: F.expr(f"coalesce(cast(size(filter(__gone, g -> {what} g.near)) as long), 0L)")
         return rows.withColumn("__lines", F.expr(lines)).select(
             *[F.expr(cleaned).alias(c) if c == text_col else F.col(f"`{c}`") for c in out],
-            F.when(F.col(text_col).isNull(), F.lit(0).cast("long")).otherwise(F.expr(counted)).alias("n_lines"),
+            F.coalesce(counted, F.lit(0).cast("long")).alias("n_lines"),
             F.when(F.col("__gone").isNull(), F.lit(0).cast("long")).otherwise(tally("not")).alias("n_exact"),
             F.when(F.col("__gone").isNull(), F.lit(0).cast("long")).otherwise(tally("")).alias("n_near"),
         )

@@ -58,10 +58,10 @@ def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets, np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
 
 
-def runs(texts: pa.Array, classes: bytes) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Yield (first text, word hashes, limits): words of text first + i are hashes[limits[i]:limits[i + 1]].
+def scan(texts: pa.Array, classes: bytes) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Yield (first text, bounds, bytes, begin, word hashes) of runs of texts.
 
-    A null text has no words.
+    Text first + i is bytes[bounds[i]:bounds[i + 1]]; each word begins at its ``begin``. A null text has no words.
     """
     offsets, data = _buffers(texts)
     first, n = 0, len(offsets) - 1
@@ -70,7 +70,8 @@ def runs(texts: pa.Array, classes: bytes) -> Iterator[tuple[int, np.ndarray, np.
         while last < n and offsets[last + 1] - offsets[first] <= RUN_BYTES:
             last += 1
         bounds = offsets[first : last + 1] - offsets[first]
-        kinds = np.frombuffer(data[offsets[first] : offsets[last]].tobytes().translate(classes), np.uint8)
+        own = data[offsets[first] : offsets[last]]
+        kinds = np.frombuffer(own.tobytes().translate(classes), np.uint8)
         size = len(kinds)
         # edge[i]: whether byte i and the one before differ in being part of a word; texts break words as well.
         solid = np.zeros(size + 2, bool)
@@ -85,10 +86,16 @@ def runs(texts: pa.Array, classes: bytes) -> Iterator[tuple[int, np.ndarray, np.
         sums = np.zeros(size + 1, np.uint64)
         np.cumsum(kinds * _power(_BASE, size), out=sums[1:])
         hashes = mix((sums[stop] - sums[begin]) * _power(_INVERSE, size + 1)[begin])
-        yield first, hashes, np.searchsorted(begin, bounds)
+        yield first, bounds, own, begin, hashes
         first = last
 
 
+def runs(texts: pa.Array, classes: bytes) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Yield (first text, word hashes, limits): words of text first + i are hashes[limits[i]:limits[i + 1]]."""
+    for first, bounds, _, begin, hashes in scan(texts, classes):
+        yield first, hashes, np.searchsorted(begin, bounds)
+
+
 _STEPS = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
 
