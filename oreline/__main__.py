@@ -7,10 +7,12 @@ import logging
 
 from pyspark.sql import SparkSession
 
-from oreline.plans.jobs import build_gold_report, build_silver, ingest_bronze
+from oreline.plans.jobs import build_gold_report, build_silver, ingest_bronze, run_window
+from oreline.functions.dates import EPOCH_DAYS, YYYYMMDD
 from oreline.session import build_session
 from oreline.sinks.catalog import ensure_table
-from oreline.spec import ENTITIES, Layout
+from oreline.sinks.maintenance import compact_log
+from oreline.spec import ENTITIES, EntitySpec, Layout
 from oreline.streaming.bronze import run_until_stopped
 
 
@@ -30,8 +32,20 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
 
     silver = jobs.add_parser("silver", help="merge changes into current state")
     silver.add_argument("entity", choices=sorted(ENTITIES))
+    silver.add_argument("--deletes", choices=("drop", "apply"), default="drop", help="what a delete event does")
+    silver.add_argument("--guard", action="store_true", help="never replace a row by an older one")
+    silver.add_argument("--compact", action="store_true", help="then fold the window's closed batches")
+
     gold = jobs.add_parser("gold", help="merge the student-session report")
-    for job in (silver, gold):
+    gold.add_argument("--date-filter", choices=("pre_join", "where"), default="pre_join")
+    gold.add_argument("--null-dates", choices=("keep", "drop"), default="keep", help="bookings without a session")
+    gold.add_argument("--null-safe", action="store_true", help="match rows without a date with each other")
+    gold.add_argument("--date-encoding", choices=(YYYYMMDD, EPOCH_DAYS), default=YYYYMMDD, help="of the integer learn dates")
+    gold.add_argument("--on-duplicate", choices=("error", "keep_any"), default="error")
+
+    fold = jobs.add_parser("compact", help="fold the closed batches of an entity's log")
+    fold.add_argument("entity", choices=sorted(ENTITIES))
+    for job in (silver, gold, fold):
         job.add_argument("--start-date", help="first date, YYYY-MM-DD (default: yesterday)")
         job.add_argument("--end-date", help="last date, included (default: today)")
     return parser.parse_args(argv)
@@ -50,9 +64,33 @@ def run_job(spark: SparkSession, args: argparse.Namespace) -> None:
         if args.hive:
             ensure_table(spark, layout.bronze_table(entity))
     elif args.job == "silver":
-        build_silver(spark, ENTITIES[args.entity], layout, args.start_date, args.end_date, register=args.hive)
+        entity = ENTITIES[args.entity]
+        build_silver(
+            spark, entity, layout, args.start_date, args.end_date, args.deletes, args.guard, register=args.hive
+        )
+        if args.compact:
+            _fold(spark, entity, layout, args)
+    elif args.job == "compact":
+        _fold(spark, ENTITIES[args.entity], layout, args)
     else:
-        build_gold_report(spark, layout, args.start_date, args.end_date, register=args.hive)
+        build_gold_report(
+            spark,
+            layout,
+            args.start_date,
+            args.end_date,
+            args.date_filter,
+            args.null_dates,
+            args.on_duplicate,
+            args.null_safe,
+            args.date_encoding,
+            register=args.hive,
+        )
+
+
+def _fold(spark: SparkSession, entity: EntitySpec, layout: Layout, args: argparse.Namespace) -> None:
+    if layout.fmt != "parquet":
+        raise ValueError(f"format {layout.fmt} compacts its own tables")
+    compact_log(spark, layout.bronze_path(entity), entity, *run_window(args.start_date, args.end_date))
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -525,18 +525,20 @@ def gold_duplicate_keys(spark, sf_dir):
 
 def _run_gold(spark, sf_dir, windows, null_safe=False, **options) -> DataFrame:
     path = paths.scratch_path(spark, "gold")
+    schema = struct("learn_date date, student_id bigint, class_regular_session_id bigint, study_program string")
     for window in windows:
         upsert_table(
             spark,
             path,
-            _report(spark, sf_dir, window, **options).dropDuplicates(GOLD_KEYS),
+            _report(spark, sf_dir, window, **options),
             REPORT_KEYS,
             match_also=[REPORT_PARTITION],
             partition_by=REPORT_PARTITION,
+            schema=schema,
+            on_duplicate="keep_any",
             null_safe=null_safe,
         )
-    schema = "learn_date date, student_id bigint, class_regular_session_id bigint, study_program string"
-    return read_table(spark, path, schema=struct(schema))
+    return read_table(spark, path, schema=schema)
 
 
 @query(
@@ -551,12 +553,14 @@ def gold_upsert(spark, sf_dir):
 
 @query(
     f"""
-select distinct * from {_report_sql(JANUARY)}
+select distinct * from {_report_sql(JANUARY)} where learn_date is not null
 union all
-select distinct * from {_report_sql(JANUARY)} where learn_date is null"""
+select * from {_report_sql(JANUARY)} where learn_date is null
+union all
+select * from {_report_sql(JANUARY)} where learn_date is null"""
 )
 def gold_upsert_null_dates(spark, sf_dir):
-    """Two identical runs: dated rows once, rows without a date once per run."""
+    """Two identical runs: one dated row per key, rows without a date as often as they come in each run."""
     return _run_gold(spark, sf_dir, [JANUARY, JANUARY])
 
 
@@ -659,6 +663,60 @@ def silver_job(spark, sf_dir):
     return read_silver(spark, samples.EVENTS, layout).drop("_silver_updated_at")
 
 
+@query(FEED_SQL + f"select {EVENT_LIST}, _ts_ms as _version from {_newest_sql(_days('2024-01-01', '2024-01-31'))}")
+def silver_guard_then_plain(spark, sf_dir):
+    """A plain run keeps the versions of a guarded one, so a guarded re-run of older days changes nothing."""
+    layout, _ = _landed(spark, sf_dir)
+    build_silver(spark, samples.EVENTS, layout, "2024-01-01", "2024-01-15", guard=True)
+    build_silver(spark, samples.EVENTS, layout, "2024-01-16", "2024-01-31")
+    build_silver(spark, samples.EVENTS, layout, "2024-01-01", "2024-01-15", guard=True)
+    return read_table(spark, layout.silver_path(samples.EVENTS)).drop("_silver_updated_at")
+
+
+@query(
+    FEED_SQL
+    + f"""
+select id, case when b.id is null then a.event_type else b.event_type end as event_type,
+       case when b.id is null then a.value else b.value end as value,
+       case when b.id is null then a.props else b.props end as props, a.event_type as note
+from {EVENT_HALF_1} a full join {EVENT_HALF_2} b using (id)"""
+)
+def silver_evolved_column_kept(spark, sf_dir):
+    """A column that one merge added survives merges that only declare the others."""
+    path = paths.scratch_path(spark, "evolved")
+    declared = struct("id string, event_type string, value double, props string")
+    first = _event_state(spark, sf_dir, "2024-01-01", "2024-01-15").select(*EVENT_COLUMNS)
+    upsert_table(spark, path, first, ["id"], schema=declared)
+    upsert_table(spark, path, first.withColumn("note", F.col("event_type")), ["id"], evolve=True)
+    second = _event_state(spark, sf_dir, "2024-01-16", "2024-01-31").select(*EVENT_COLUMNS)
+    upsert_table(spark, path, second, ["id"], schema=declared)
+    return read_table(spark, path)
+
+
+@query(
+    FEED_SQL
+    + f"""
+select 1 as run, count(*) as merged from {EVENT_HALF_1} union all
+select 2, count(*) from {EVENT_HALF_2} union all
+select 3, 0"""
+)
+def merge_counts(spark, sf_dir):
+    """What the silver job says it merged; a window without events merges nothing and changes nothing."""
+    layout, _ = _landed(spark, sf_dir)
+    windows = [("2024-01-01", "2024-01-15"), ("2024-01-16", "2024-01-31"), ("1999-01-01", "1999-01-02")]
+    counts = [(i, build_silver(spark, samples.EVENTS, layout, *w)) for i, w in enumerate(windows, 1)]
+    return spark.createDataFrame(counts, "run int, merged long")
+
+
+@query(FEED_SQL + f"select event_type, count(*) as events from {EVENT_HALF_1} group by event_type")
+def empty_window_changes_nothing(spark, sf_dir):
+    layout, _ = _landed(spark, sf_dir)
+    build_silver(spark, samples.EVENTS, layout, "2024-01-01", "2024-01-15")
+    build_silver(spark, samples.EVENTS, layout, "1999-01-01", "1999-01-02")
+    state = read_silver(spark, samples.EVENTS, layout)
+    return state.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
+
+
 def _silver_star(spark, sf_dir) -> Layout:
     """The report's three silver tables, with the declared schemas."""
     layout = Layout(paths.scratch_path(spark, "star"))
@@ -749,7 +807,7 @@ group by s.event_type"""
     FEED_SQL
     + LAYER_SQL.format(
         silver=_newest_sql("true"),
-        gold=f"(select * from {_report_sql(YEAR)} where learn_date is not null)",
+        gold=f"(select * from {_report_sql(ALWAYS)} where learn_date is not null)",
         text="varchar",
     )
 )
@@ -759,7 +817,7 @@ def sql_over_layers(spark, sf_dir):
         spark,
         {
             "silver_events": silver_changes(_event_log(spark, sf_dir), samples.EVENTS),
-            "gold_report_view": _report(spark, sf_dir, date_filter="where"),
+            "gold_report_view": _report(spark, sf_dir, ALWAYS, date_filter="where"),
         },
     )
     return spark.sql(LAYER_SQL.format(silver="silver_events", gold="gold_report_view", text="string"))

@@ -97,15 +97,10 @@ def upsert(
     counted = on_duplicate == "error"
 
     missing = [c for c in target.columns if c not in source.columns]
-    if guard is not None and missing:
-        raise ValueError(f"guard needs a source with all target columns; missing: {missing}")
     kept = _kept(target, source, match, null_safe, counted, guard, null_keys and not null_safe)
-    if guard is not None:
-        written = _newer(target, source, match, null_safe, guard)
-    elif missing:
-        written = _carry(target, source, match, missing, null_safe)
-    else:
-        written = source
+    written = _newer(target, source, match, null_safe, guard) if guard is not None else source
+    if missing:
+        written = _carry(target, written, match, missing, null_safe)
     merged = kept.unionByName(written, allowMissingColumns=True)
 
     if delete_when is not None:

@@ -26,6 +26,23 @@ def child_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether data files lie directly under ``path``; names with ``_`` or ``.`` in front are not data."""
+    fs, p = _fs(spark, path)
+    return fs.exists(p) and any(s.isFile() and s.getPath().getName()[0] not in "_." for s in fs.listStatus(p))
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.create(p).close()
+
+
+def modified(spark: SparkSession, path: str) -> float:
+    """When a file was last written, in seconds since 1970."""
+    fs, p = _fs(spark, path)
+    return fs.getFileStatus(p).getModificationTime() / 1000
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)

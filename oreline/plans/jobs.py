@@ -17,8 +17,17 @@ from oreline.plans.report import booking_report, session_details
 from oreline.sinks.catalog import ensure_table
 from oreline.sinks.tables import staged, upsert_table
 from oreline.sources.streams import read_cdc_stream
-from oreline.sources.tables import read_table
-from oreline.spec import ENTITIES, REPORT_KEYS, REPORT_PARTITION, REPORT_STATUSES, VERSION, EntitySpec, Layout
+from oreline.sources.tables import read_table, table_exists
+from oreline.spec import (
+    ENTITIES,
+    REPORT_KEYS,
+    REPORT_PARTITION,
+    REPORT_STATUSES,
+    VERSION,
+    EntitySpec,
+    Layout,
+    TableSpec,
+)
 from oreline.streaming.bronze import append_bronze
 
 logger = logging.getLogger("oreline.jobs")
@@ -78,13 +87,16 @@ def build_silver(
     """
     start, end = run_window(start, end)
     schema = entity.silver_schema
-    if guard:
+    _create_first(spark, layout, layout.silver_table(entity))
+    # A table that a guarded run has versioned stays versioned, or a later guard would let older rows in.
+    versioned = guard or VERSION in _stored_columns(spark, layout, layout.silver_path(entity))
+    if versioned:
         schema = T.StructType(
             [*schema.fields[:-1], T.StructField(VERSION, T.LongType()), schema.fields[-1]]
         )
     bronze_schema = entity.bronze_schema if layout.fmt == "parquet" else None
     changes = read_changes(spark, layout.bronze_path(entity), start, end, bronze_schema, layout.fmt)
-    source = stamp(silver_changes(changes, entity, deletes, keep_version=guard), "_silver_updated_at")
+    source = stamp(silver_changes(changes, entity, deletes, keep_version=versioned), "_silver_updated_at")
     merged = upsert_table(
         spark,
         layout.silver_path(entity),
@@ -104,6 +116,19 @@ def build_silver(
     return merged
 
 
+def _stored_columns(spark: SparkSession, layout: Layout, path: str) -> list[str]:
+    """Columns of a Parquet table as it is, by one footer; none if it is yet to be made."""
+    if layout.fmt != "parquet" or not table_exists(spark, path):
+        return []
+    return read_table(spark, path).columns
+
+
+def _create_first(spark: SparkSession, layout: Layout, table: TableSpec) -> None:
+    """In a format with row-level operations a merge needs a table to merge into."""
+    if layout.fmt != "parquet":
+        ensure_table(spark, table)
+
+
 def read_silver(spark: SparkSession, entity: EntitySpec, layout: Layout) -> DataFrame:
     schema = entity.silver_schema if layout.fmt == "parquet" else None
     return read_table(spark, layout.silver_path(entity), layout.fmt, schema)
@@ -141,6 +166,7 @@ def build_gold_report(
     )
     bookings = read_silver(spark, ENTITIES["class_regular_session_student"], layout)
     table = layout.report_table()
+    _create_first(spark, layout, table)
     # A few days of sessions out of years: once they are written their size is a
     # fact, and if it is small the bookings are joined without being shuffled.
     with staged(details, "session-details") as sized:

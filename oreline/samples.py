@@ -109,7 +109,7 @@ def report_snapshots(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     number = F.col("id").cast("long")
     return {
         "class_regular_session_student": snapshot_feed(
-            ENTITIES["class_regular_session_student"], booking, F.abs(F.xxhash64("id") % 1_000_000_007)
+            ENTITIES["class_regular_session_student"], booking, F.expr("xxhash64(id) & 9223372036854775807L")
         ),
         "class_regular_session": snapshot_feed(ENTITIES["class_regular_session"], session, number),
         "study_program": snapshot_feed(ENTITIES["study_program"], program, number),

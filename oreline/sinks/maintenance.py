@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from oreline import paths
 from oreline.functions.dates import as_date
@@ -16,6 +17,7 @@ from oreline.sources.tables import (
     current_path,
     date_in_range,
     partition_values,
+    read_date_range,
     read_table,
     snapshot_buckets,
     snapshots,
@@ -31,12 +33,18 @@ def compact(
     path: str,
     partition_by: Sequence[str] = (),
     predicate: Column | None = None,
+    schema: StructType | None = None,
+    dates: tuple[str | dt.date, str | dt.date] | None = None,
 ) -> None:
     """Rewrite the partitions ``predicate`` selects into well-sized files.
 
     ``predicate`` may only use partition columns: whole partitions are replaced.
     AQE sizes the files: it merges small pieces and splits an oversized
     partition. An unpartitioned snapshot table is rewritten as a new snapshot.
+
+    ``dates`` limits the work to a range of the first partition column: only those
+    folders are listed and opened. ``schema`` must name all columns; without it
+    they come from the footers of what is read.
     """
     if not partition_by:
         if not snapshots(spark, path):
@@ -47,7 +55,11 @@ def compact(
         write_snapshot(read_table(spark, path).hint("rebalance"), path)
         return
 
-    df = read_table(spark, path, merge_schema=True, text_partitions=True)
+    options = {"schema": schema, "merge_schema": schema is None, "text_partitions": True}
+    if dates is not None:
+        df = read_date_range(spark, path, partition_by[0], *dates, **options)
+    else:
+        df = read_table(spark, path, **options)
     if predicate is not None:
         df = df.filter(predicate)
     with staged(df.hint("rebalance", *partition_by), "compact", partition_by, keep_on_error=True) as packed:

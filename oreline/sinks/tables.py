@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
+import time
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -15,6 +17,8 @@ from oreline import paths
 from oreline.operators.upsert import check_not_null, upsert
 from oreline.sinks.catalog import create_table_sql
 from oreline.sources.tables import (
+    COMMITTED,
+    commit_file,
     current_path,
     read_date_range,
     read_table,
@@ -28,7 +32,8 @@ from oreline.spec import TableSpec
 
 logger = logging.getLogger("oreline.tables")
 
-KEEP_SNAPSHOTS = 2
+#: How long a snapshot that was replaced stays: longer than any reader or job runs.
+RETAIN = dt.timedelta(hours=24)
 _DATED = "_dated"
 
 
@@ -65,8 +70,8 @@ def _next_snapshot(spark: SparkSession, path: str, buckets: int = 0) -> str:
 def write_snapshot(df: DataFrame, path: str, bucket_by: Sequence[str] = (), buckets: int = 0) -> str:
     """Write the whole table as its next snapshot.
 
-    Readers switch when the commit marker appears. Those that are still on the
-    previous snapshot keep their files: the last ``KEEP_SNAPSHOTS`` stay.
+    Readers switch when the commit file appears. Those that are still on an
+    earlier snapshot keep their files for ``RETAIN`` after it was replaced.
     """
     spark = df.sparkSession
     target = _next_snapshot(spark, path, buckets)
@@ -78,8 +83,11 @@ def write_snapshot(df: DataFrame, path: str, bucket_by: Sequence[str] = (), buck
         spark.sql(f"DROP TABLE {name}")
     else:
         write_table(df, target, mode="error")
-    for old in snapshots(spark, path)[:-KEEP_SNAPSHOTS]:
-        paths.delete(spark, old)
+    paths.touch(spark, f"{target}/{COMMITTED}")
+    found = snapshots(spark, path)
+    for old, following in zip(found, found[1:]):
+        if time.time() - paths.modified(spark, commit_file(spark, following)) >= RETAIN.total_seconds():
+            paths.delete(spark, old)
     return target
 
 
@@ -160,8 +168,8 @@ def upsert_table(
     An empty source changes nothing. See ``upsert`` for the row semantics. An
     unpartitioned table gets a new snapshot; in a table partitioned by a column
     of the match condition only the partitions the source touches are rewritten.
-    ``schema`` declares the table's columns; without it they are collected from
-    the footers of all files. ``buckets`` keeps an unpartitioned table hash-bucketed by ``keys``: a merge
+    ``schema`` declares the table's columns; others that the table has are kept
+    as they are. Without it all columns come from the footers. ``buckets`` keeps an unpartitioned table hash-bucketed by ``keys``: a merge
     then moves the source to the buckets and leaves the table where it is. One
     writer per table at a time.
     """
@@ -241,16 +249,24 @@ def _target(
     """The table as it is; an empty one if it is yet to be made. ``within`` is a
     partition column with the range of it that matters."""
     if table_exists(spark, path):
-        # Undeclared, the schema is that of all files: what is not read here
-        # would be missing from the rewritten ones. Files of a snapshot are alike.
-        mixed = schema is None and not snapshots(spark, path)
-        options = {"schema": schema, "merge_schema": mixed, "text_partitions": True}
+        # What is not read here would be missing from the rewritten files, so the
+        # table's own columns count, declared or not: those of one footer in a
+        # snapshot, whose files are alike, else of all files that are rewritten.
+        mixed = not snapshots(spark, path)
+        options = {"schema": None, "merge_schema": mixed, "text_partitions": True}
         if within is None:
+            if schema is not None:
+                own = read_table(spark, path, **options).schema
+                options = {"schema": _with_declared(own, schema), "text_partitions": True}
             return read_table(spark, path, **options)
         column, low, high, with_null = within
         kind = rows.schema[column].dataType
-        if isinstance(kind, DateType) and low is not None and not mixed:
-            return read_date_range(spark, path, column, low, high, with_undated=with_null, **options)
+        if isinstance(kind, DateType) and low is not None:
+            picked = read_date_range(spark, path, column, low, high, with_undated=with_null, **options)
+            if schema is not None:
+                options = {"schema": _with_declared(picked.schema, schema), "text_partitions": True}
+                picked = read_date_range(spark, path, column, low, high, with_undated=with_null, **options)
+            return picked.withColumn(column, F.col(column).cast(kind))
         target = read_table(spark, path, **options).withColumn(column, F.col(column).cast(kind))
         in_range = F.lit(False) if low is None else F.col(column).between(F.lit(low), F.lit(high))
         return target.filter(in_range | F.col(column).isNull() if with_null else in_range)
@@ -262,6 +278,13 @@ def _target(
     return spark.range(1).limit(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def _with_declared(own: StructType, declared: StructType) -> StructType:
+    """The table's own columns, in the declared type where there is one, then declared ones it lacks."""
+    types = {f.name: f for f in declared.fields}
+    kept = [types.get(f.name, f) for f in own.fields]
+    return StructType(kept + [f for f in declared.fields if f.name not in own.names])
+
+
 def _upsert_partitions(
     spark: SparkSession,
     path: str,
@@ -303,8 +326,13 @@ def _upsert_partitions(
 def _merge_into(rows: DataFrame, table: str, match: Sequence[str]) -> None:
     """MERGE in a table format that has row-level operations of its own."""
     on = " AND ".join(f"target.{c} = source.{c}" for c in match)
-    rows.createOrReplaceTempView("_upsert_source")
-    rows.sparkSession.sql(
-        f"MERGE INTO {table} AS target USING _upsert_source AS source ON {on} "
-        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
-    )
+    # A name of its own: two merges in one session must not replace each other's source.
+    view = _passing_name()
+    rows.createOrReplaceTempView(view)
+    try:
+        rows.sparkSession.sql(
+            f"MERGE INTO {table} AS target USING {view} AS source ON {on} "
+            "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+        )
+    finally:
+        rows.sparkSession.catalog.dropTempView(view)

@@ -14,6 +14,8 @@ from oreline.functions.dates import as_date
 
 UNDATED = "__HIVE_DEFAULT_PARTITION__"
 
+COMMITTED = "_COMMITTED"
+
 _SNAPSHOT = re.compile(r"snapshot-(\d+)(?:-b(\d+))?$")
 
 
@@ -35,14 +37,23 @@ def snapshot_buckets(path: str) -> int:
 def snapshots(spark: SparkSession, path: str) -> list[str]:
     """Complete snapshots of a table, oldest first.
 
-    Spark writes ``_SUCCESS`` when a job has committed, so a folder left by a
-    failed or running write is never taken for a snapshot.
+    The writer adds a commit file of its own after the job, so a folder left by a
+    failed or running write is never taken for a snapshot, whether or not the
+    cluster has Spark write its ``_SUCCESS`` marker.
     """
-    return [
-        f"{path}/{name}"
-        for name in paths.child_dirs(spark, path)
-        if snapshot_number(name) is not None and paths.exists(spark, f"{path}/{name}/_SUCCESS")
-    ]
+    return [f"{path}/{name}" for name in numbered(spark, path) if commit_file(spark, f"{path}/{name}")]
+
+
+def numbered(spark: SparkSession, path: str) -> list[str]:
+    return [name for name in paths.child_dirs(spark, path) if snapshot_number(name) is not None]
+
+
+def commit_file(spark: SparkSession, snapshot: str) -> str | None:
+    """The file that says a snapshot is complete; older ones have only Spark's marker."""
+    for name in (COMMITTED, "_SUCCESS"):
+        if paths.exists(spark, f"{snapshot}/{name}"):
+            return f"{snapshot}/{name}"
+    return None
 
 
 def current_path(spark: SparkSession, path: str) -> str:
@@ -52,11 +63,19 @@ def current_path(spark: SparkSession, path: str) -> str:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a committed write has ever put data under ``path``."""
-    return bool(
-        snapshots(spark, path)
-        or paths.exists(spark, f"{path}/_SUCCESS")
+    """Whether a committed write has ever put data under ``path``.
+
+    Numbered folders without a single commit file are an error: taking the table
+    for new would start it over from nothing.
+    """
+    if snapshots(spark, path):
+        return True
+    if left := numbered(spark, path):
+        raise RuntimeError(f"{path} has snapshots but none is committed: {left}; remove them if the table is new")
+    return (
+        paths.exists(spark, f"{path}/_SUCCESS")
         or any("=" in name for name in paths.child_dirs(spark, path))
+        or paths.has_files(spark, path)
     )
 
 

@@ -252,12 +252,15 @@ class Layout:
         return f"{self.root.rstrip('/')}/_checkpoints/bronze.db/{entity.name}"
 
     def bronze_table(self, entity: EntitySpec) -> TableSpec:
+        # Batches are folders of the plain Parquet log only; other formats append transactionally.
+        batches = self.fmt == "parquet"
+        fields = [f for f in entity.bronze_schema.fields if batches or f.name != BATCH]
         return TableSpec(
             "bronze",
             self.table_prefix + entity.name,
-            entity.bronze_schema,
+            T.StructType(fields),
             self.bronze_path(entity),
-            partition_by=(EVENT_DATE, BATCH),
+            partition_by=(EVENT_DATE, BATCH) if batches else (EVENT_DATE,),
             fmt=self.fmt,
             properties={
                 "description": f"Bronze change log: {entity.description or entity.name}",
@@ -290,7 +293,7 @@ class Layout:
             partition_by=(REPORT_PARTITION,),
             fmt=self.fmt,
             properties={
-                "description": "Gold flat report: one row per student and session",
+                "description": "Sessions booked by students, by learn date, with their programs",
                 "layer": "gold",
             },
         )

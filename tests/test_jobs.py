@@ -417,6 +417,37 @@ def test_command_line():
     assert parse_args(["--root", "/lake", "gold"]).job == "gold"
 
 
+def test_command_line_options():
+    silver = parse_args(["--root", "/lake", "silver", "grade", "--deletes", "apply", "--guard", "--compact"])
+    assert (silver.deletes, silver.guard, silver.compact) == ("apply", True, True)
+    gold = parse_args(
+        "--root /lake gold --date-filter where --null-dates drop --null-safe --on-duplicate keep_any --date-encoding epoch_days".split()
+    )
+    assert (gold.date_filter, gold.null_dates, gold.null_safe, gold.on_duplicate, gold.date_encoding) == (
+        "where", "drop", True, "keep_any", "epoch_days"
+    )
+    fold = parse_args(["--root", "/lake", "compact", "grade", "--start-date", "2026-04-01"])
+    assert (fold.job, fold.entity, fold.start_date) == ("compact", "grade", "2026-04-01")
+
+
+def test_batch_column_belongs_to_the_plain_log_only():
+    plain, delta = (Layout("/lake", fmt=f).bronze_table(THING) for f in ("parquet", "delta"))
+    assert BATCH in plain.schema.names and BATCH in plain.partition_by
+    assert BATCH not in delta.schema.names and delta.partition_by == ("_event_date",)
+
+
+def test_tables_are_made_before_the_first_merge(spark, monkeypatch):
+    """In a format with row-level operations; not run against one here."""
+    from oreline.plans import jobs
+
+    calls = []
+    monkeypatch.setattr(jobs, "ensure_table", lambda s, table: calls.append(("ensure", table.name)))
+    monkeypatch.setattr(jobs, "upsert_table", lambda *a, **k: calls.append(("merge", k["fmt"])) or 0)
+    monkeypatch.setattr(jobs, "read_changes", lambda s, *a: to_bronze(spark.createDataFrame([], STREAM_RECORD), THING))
+    build_silver(spark, THING, Layout("/lake", fmt="delta"), "2024-01-01", "2024-01-02")
+    assert calls == [("ensure", "thing"), ("merge", "delta")]
+
+
 def test_command_line_jobs_end_to_end(spark, tmp_path):
     """JSON topics of the real entities -> bronze -> silver -> gold -> SQL."""
     root = str(tmp_path / "lake3")

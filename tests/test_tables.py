@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from oreline import paths
 from oreline.operators import upsert
 from oreline.sinks import compact, ensure_table, upsert_table, write_table
+from oreline.sinks import tables
 from oreline.sinks.tables import bucketed, write_snapshot
 from oreline.sources import read_table, register_views
 from oreline.sources.tables import current_path, snapshots, table_exists
@@ -25,13 +26,65 @@ def part_files(path):
     return [f for _, _, names in os.walk(path) for f in names if f.startswith("part-")]
 
 
-def test_snapshots(spark, tmp_path):
+def test_snapshots(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     assert not table_exists(spark, path)
     for n in range(4):
         write_snapshot(frame(spark, [("a", n)]), path)
         assert rows_of(read_table(spark, path)) == [("a", n)]
-    assert [os.path.basename(p) for p in snapshots(spark, path)] == ["snapshot-00000003", "snapshot-00000004"]
+    assert len(snapshots(spark, path)) == 4  # replaced ones stay for a day
+    monkeypatch.setattr(tables, "RETAIN", dt.timedelta(0))
+    write_snapshot(frame(spark, [("a", 4)]), path)
+    assert [os.path.basename(p) for p in snapshots(spark, path)] == ["snapshot-00000005"]
+
+
+def test_tables_without_sparks_marker(spark, tmp_path):
+    """A cluster may keep Spark from writing _SUCCESS; the table's own commit file counts."""
+    path = str(tmp_path / "t")
+    upsert_table(spark, path, frame(spark, [(str(i), i) for i in range(100)]), ["id"])
+    os.remove(f"{path}/snapshot-00000001/_SUCCESS")
+    upsert_table(spark, path, frame(spark, [("1", -1)]), ["id"])
+    assert read_table(spark, path).count() == 100
+
+    plain = str(tmp_path / "plain")
+    frame(spark, [("a", 1)]).write.parquet(plain)
+    os.remove(f"{plain}/_SUCCESS")
+    assert table_exists(spark, plain)
+
+
+def test_uncommitted_snapshots_are_not_a_new_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    frame(spark, [("a", 1)]).write.parquet(f"{path}/snapshot-00000001")
+    os.remove(f"{path}/snapshot-00000001/_SUCCESS")
+    with pytest.raises(RuntimeError, match="none is committed"):
+        upsert_table(spark, path, frame(spark, [("b", 2)]), ["id"])
+
+
+def test_columns_beyond_the_declared_ones_stay(spark, tmp_path):
+    path = str(tmp_path / "t")
+    declared = frame(spark, []).schema
+    upsert_table(spark, path, frame(spark, [("a", 1), ("b", 2)]).withColumn("note", F.lit("x")), ["id"])
+    upsert_table(spark, path, frame(spark, [("b", 3), ("c", 4)]), ["id"], schema=declared)
+    assert rows_of(read_table(spark, path), "id", declared.names[1], "note") == [("a", 1, "x"), ("b", 3, "x"), ("c", 4, None)]
+
+    parted = str(tmp_path / "parted")
+    merge_daily(spark, parted, [("a", 1, 0)])
+    wide = daily(spark, [("b", 2, 0)]).withColumn("note", F.lit("y"))
+    wide.write.mode("append").partitionBy("day").parquet(parted)
+    merge_daily(spark, parted, [("a", 3, 0)])
+    kept = spark.read.option("mergeSchema", "true").parquet(parted).orderBy("id")
+    assert [r["note"] for r in kept.collect()] == [None, "y"]
+
+
+def test_merge_statement_names_its_own_source(spark, monkeypatch):
+    said = []
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: said.append(text))
+    for _ in range(2):
+        tables._merge_into(frame(spark, [("a", 1)]), "delta.`/t`", ["id"])
+    assert said[0].startswith("MERGE INTO delta.`/t` AS target USING oreline_")
+    assert "ON target.id = source.id" in said[0] and said[0] != said[1]
+    monkeypatch.undo()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("oreline_")]
 
 
 def test_an_unfinished_snapshot_is_ignored(spark, tmp_path):
