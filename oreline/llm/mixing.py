@@ -113,9 +113,10 @@ def mix_sources(
         keyed.withColumn("certain", F.floor(F.col("rate") + 1e-9))
         .withColumn("p", F.greatest(F.col("rate") - F.col("certain"), F.lit(0.0)))
         .withColumn("u", u)
-        .withColumn("xi", F.expr("(u / (1 - u)) / (p / (1 - p))"))
+        # Only documents with a chance between 0 and 1 are ranked.
+        .withColumn("xi", F.expr("case when p > 1e-9 and size > 0 then (u / (1 - u)) / (p / (1 - p)) end"))
         # The odds ratio brought to 0..1, so that it can be cut into steps.
-        .withColumn("step", F.when((F.col("p") > 1e-9) & (F.col("size") > 0), F.floor(F.expr(f"{RANK_STEPS} * xi / (1 + xi)")).cast("int")))
+        .withColumn("step", F.floor(F.expr(f"{RANK_STEPS} * xi / (1 + xi)")).cast("int"))
     )
     ordered = Window.partitionBy("b_source").orderBy("b_step")
     steps = (

@@ -1,0 +1,286 @@
+"""Operators on Spark: contracts, edge cases and brute force on small tables."""
+
+import math
+from collections import Counter, defaultdict
+
+import pytest
+from conftest import rows_of
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from oreline.llm import decontaminate, language_id, line_dedup, mixing, near_join, pii, token_counts, url_filter, vector_links, warc_zip
+from oreline.llm.common import components, row_key, ship, without
+from oreline.llm.queries import ORACLE, QUERIES, tokenizer_definition
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, n_tokens long, digest string, node long"
+
+
+@pytest.fixture(scope="module", autouse=True)
+def shipped(spark):
+    ship(spark)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls in any column, empty and long texts, repeated rows and ids, and clashing column names."""
+    long = " ".join(f"w{i % 977}" for i in range(30_000))
+    near = long.replace("w5 ", "v5 ", 3)
+    rows = [
+        (1, "one two three four five six seven eight nine ten", "en", "a", 1, 9, "x", 5),
+        (2, "one two three four five six seven eight nine ten", "en", None, 1, 9, "x", 5),
+        (2, "one two three four five six seven eight nine ten", "en", None, 1, 9, "x", 5),
+        (3, None, None, "a", None, None, None, None),
+        (4, "", "de", "b", 0, 0, "", 0),
+        (5, long, "en", "b", 1, 1, "y", 1),
+        (6, near, None, "b", 1, 1, "y", 1),
+        (7, "a b", "en", "", 1, 1, "y", 1),
+        (8, "A  B\n", "en", "", 1, 1, "y", 1),
+        (None, "one two three", "en", "c", 1, 1, "y", 1),
+        (9, "\n\n \t\n", "en", "c", 1, 1, "y", 1),
+    ]
+    return spark.createDataFrame(rows, DOCS).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def nothing(odd):
+    return odd.limit(0)
+
+
+def test_token_counts_and_cache(spark, odd, nothing, tmp_path):
+    cache, definition = str(tmp_path / "cache"), tokenizer_definition()
+    first = rows_of(token_counts.token_counts(odd, definition, cache))
+    assert len(first) == 11 and (3, 0, 0) in first and (4, 0, 0) in first
+    assert spark.read.parquet(cache).count() == 8  # distinct contents, null being empty
+    assert rows_of(token_counts.token_counts(odd, definition, cache)) == first
+    assert spark.read.parquet(cache).count() == 8  # nothing new was encoded
+    assert token_counts.token_counts(nothing, definition, str(tmp_path / "none")).count() == 0
+
+
+def test_near_duplicates_of_odd_rows(odd, nothing):
+    got = {r[0]: r[1:] for r in near_join.near_duplicates(odd).collect()}
+    assert got[1] == (6, 1) and got[2] == (6, 1) and got[3] == (0, 3) and got[4] == (0, 4) and got[9] == (0, 9)
+    assert got[7] == got[8] == (1, 7) and got[6][1] == 5
+    assert near_join.near_duplicates(odd).where("doc_id = 2").count() == 2
+    assert near_join.near_duplicates(nothing).count() == 0
+
+
+def test_near_duplicates_in_a_chain(spark):
+    """A component whose ends are not alike, around a group of copies."""
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for step in range(12):
+        words = base[step * 6 :] + [f"x{i}" for i in range(step * 6)]
+        texts.append(" ".join(words))
+    rows = [(100 - i, t) for i, t in enumerate(texts)] + [(200 + i, texts[3]) for i in range(40)] + [(500, "quite another text of six words")]
+    got = dict(near_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "component_id").collect())
+
+    def grams(t):
+        w = t.split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+    parent = {i: i for i, _ in rows}
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in rows:
+        for j, b in rows:
+            x, y = grams(a), grams(b)
+            if i < j and 100 * len(x & y) >= 80 * len(x | y) and find(i) != find(j):
+                parent[max(find(i), find(j))] = min(find(i), find(j))
+    assert got == {i: find(i) for i, _ in rows}
+
+
+def test_line_dedup(spark, odd, nothing):
+    long = "a line of nine words that will be repeated"
+    rows = [(1, f"{long}\nown line"), (2, f"{long.upper()}\nx"), (3, "a line of nine words that could be repeated\n\ny"),
+            (4, "a line of nine words that will surely be repeated"), (5, "Own  LINE\nz"), (6, None), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(docs).collect()}
+    assert got[1]["text"] == rows[0][1] and got[2]["text"] == "x" and got[3]["text"] == "\ny"
+    assert (got[4]["text"], got[4]["n_lines"], got[4]["n_near"]) == ("", 1, 1) and got[5]["text"] == "z"
+    assert (got[6]["text"], got[6]["n_lines"], got[7]["text"]) == (None, 0, "")
+    cleaned = line_dedup.dedup_lines(odd)
+    assert cleaned.columns == [*odd.columns, "n_lines", "n_exact", "n_near"] and cleaned.count() == 11
+    assert {r["text"] for r in cleaned.where("doc_id = 2").collect()} == {""}
+    assert line_dedup.dedup_lines(nothing).count() == 0
+
+
+def test_mixing(spark, odd, nothing):
+    rows = [(i, " ".join(["w"] * (1 + i * 7 % 40)), "s%d" % (i % 4) if i % 5 else None) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix_sources(docs).collect()
+    assert len(got) == 4000
+    assert sorted(got) == sorted(mixing.mix_sources(docs.repartition(7)).collect())
+    by = defaultdict(list)
+    for r in got:
+        by[r["source"]].append(r)
+    total, sizes = sum(r["size"] for r in got), {s: sum(r["size"] for r in rs) for s, rs in by.items()}
+    weights = dict(zip(sorted(s for s in by if s is not None) + [None], [5, 2, 1, 5, 2]))
+    share, open_, left = {}, set(by), float(total)
+    while True:
+        w = sum(weights[s] for s in open_)
+        full = [s for s in open_ if left * weights[s] / w > 3 * sizes[s]]
+        if not full:
+            share |= {s: left * weights[s] / w for s in open_}
+            break
+        for s in full:
+            share[s] = 3.0 * sizes[s]
+        left -= sum(3 * sizes[s] for s in full)
+        open_ -= set(full)
+    for s, rs in by.items():
+        assert math.isclose(rs[0]["target"], share[s], rel_tol=1e-9) and {r["source_size"] for r in rs} == {sizes[s]}
+        assert abs(sum(r["taken"] for r in rs) - share[s]) <= 40
+        assert all(r["taken"] % r["size"] == 0 and r["taken"] <= 3 * r["size"] for r in rs)
+    assert mixing.mix_sources(odd).count() == 11 and mixing.mix_sources(nothing).count() == 0
+    assert mixing.mix_sources(odd).where("doc_id in (3, 4, 9) and size + taken <> 0").count() == 0
+
+
+def test_copies_share_a_texts_weight(spark):
+    rows = [(i, "same text of five words", "s") for i in range(900)] + [(1000 + i, f"text {i} of five words", "s") for i in range(900)]
+    rows += [(9000 + i, "t " * 50 + str(i), "t") for i in range(90)]
+    got = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights=(1, 1)).collect()
+    copied = sum(r["taken"] for r in got if r["doc_id"] < 900)
+    single = sum(r["taken"] for r in got if 1000 <= r["doc_id"] < 9000)
+    assert copied < single
+
+
+def test_language(spark, odd, nothing):
+    words = {"en": "the quick brown fox jumps over lazy dogs and then sleeps", "de": "der schnelle braune fuchs springt über den faulen hund und schläft"}
+    rows = [(i, " ".join(words[x].split()[i % 5 :]), x, f"www.{x}.example.com") for i in range(60) for x in words]
+    rows += [(1000, "0101 1101 %%% ### 77 88 99", "en", "www.en.example.com"), (1001, "der hund und den fuchs", "en", "www.en.example.com"), (1002, None, "en", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, host string")
+    judged = language_id.identify(docs, F.col("text"), F.col("lang"), F.col("lang"), F.col("host"))
+    got = {(r["doc_id"], r["declared"]): r for r in judged.collect()}
+    right = [r["language"] == x for (i, x), r in got.items() if i < 1000]
+    assert sum(right) == len(right) and all(r["keep"] for (i, _), r in got.items() if i < 1000)
+    assert not got[1002, "en"]["keep"] and got[1002, "en"]["language"] == "und"
+    assert language_id.identify(odd, F.col("text"), F.col("lang")).count() == 11
+    assert language_id.identify(nothing, F.col("text"), F.col("lang")).count() == 0
+
+
+def test_language_of_held_out_rows(spark, sf_dir):
+    """Models fitted on even rows, accuracy on odd ones; pages bring markup, address and host."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    hidden = docs.withColumn("label", F.when(F.col("doc_id") % 2 == 0, F.col("lang")))
+    judged = language_id.identify(hidden, F.col("text"), F.col("label")).join(docs.select("doc_id", "lang"), "doc_id").where("doc_id % 2 = 1")
+    assert judged.where("language = lang").count() >= 0.97 * judged.count()
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    host, _ = url_filter.address(F.col("url"))
+    markup = F.regexp_extract("html", r'<html[^>]*lang="([^"]*)"', 1)
+    plain = F.regexp_replace("html", r"(?s)<script.*?</script>|<style.*?</style>|<[^>]*>", " ")
+    found = language_id.identify(pages, plain, F.nullif(markup, F.lit("")), markup, host, id_col="page_id")
+    assert found.where("language = declared").count() >= 0.9 * found.count()
+
+
+def test_vectors_with_nulls_copies_and_odd_values(spark):
+    rows = [(1, [1.0, 0.0], 1), (2, [1.0, 0.0], 1), (3, [0.99, 0.05], 1), (4, [1.0, 0.0], 2), (5, [1.0, 0.0], None), (6, None, 1), (7, [0.0, 0.0], 1),
+            (8, [float("nan"), 1.0], 1), (9, [None, 1.0], 1), (10, [float("inf"), 1.0], 1), (11, [], 1), (12, [1.0], 1), (13, [2.0, 0.0], 1), (13, [2.0, 0.0], 1)]
+    got = vector_links.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    by = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got}
+    assert len(got) == 14 and by[1] == (3, 1, True) and by[2] == (3, 1, False) and by[3] == (3, 1, False) and by[13] == (3, 1, False)
+    assert all(by[i] == (0, i, True) for i in (4, 5, 6, 7, 8, 9, 10, 11, 12))
+    assert vector_links.link_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_vector_recall(spark, monkeypatch):
+    """Trees split on a small sample and leaves split further: recall against all pairs."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((500, 32))
+    x = (centres[:, None] + 0.22 * rng.standard_normal((500, 6, 32))).reshape(-1, 32)
+    docs = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    monkeypatch.setattr(vector_links, "SAMPLE_ROWS", 600)
+    monkeypatch.setattr(vector_links, "LEAF", 60)
+    got = {r["vec_id"]: r["n_links"] for r in vector_links.link_vectors(docs).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    true = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    assert all(got[i] <= true[i] for i in got) and sum(got.values()) >= 0.97 * true.sum() > 1000
+
+
+def test_archives_round_trip(spark, tmp_path):
+    big, other = "é" * 600, "x" * 2000
+    rows = [(1, "u1", big), (2, "u2", big), (3, None, None), (4, "u\r\n4", ""), (5, "u5", "short"), (6, "u6", "short"), (7, "u7", other), (9, "u9", big), (9, "u9", big)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    manifest = warc_zip.write_packages(pages, str(tmp_path / "packages"))
+    got = sorted(warc_zip.read_packages(spark, manifest).collect(), key=lambda r: r["page_id"])
+    assert len(got) == 9
+    by = {r["page_id"]: r for r in got}
+    assert {(r["page_id"], r["refers_to"]) for r in got if r["record_type"] == "revisit"} == {(1, 9), (2, 9)}
+    assert by[9]["payload"].decode() == big and by[1]["payload"] is None and by[1]["payload_bytes"] == 1200 == by[9]["payload_bytes"]
+    assert by[4]["url"] == "u\r\n4" and by[3]["url"] is None and by[3]["payload"] == b""
+    empty = warc_zip.write_packages(pages.limit(0), str(tmp_path / "none"))
+    assert warc_zip.read_packages(spark, empty).count() == 0
+
+
+def test_personal_data_of_odd_rows(spark, odd, nothing):
+    assert pii.personal_data(odd).where("spans <> ''").count() == 0 and pii.personal_data(odd).count() == 11
+    assert pii.personal_data(nothing).count() == 0
+    docs = spark.createDataFrame([(1, "é x@y.zz and 1.2.3.4")], "doc_id long, text string")
+    (row,) = pii.personal_data(docs).collect()
+    assert (row["n_email"], row["n_ip"], row["spans"]) == (1, 1, "email:2:8,ip:13:20")
+
+
+def test_url_rules_and_reputation(spark):
+    urls = ["http://a.org/x", "http://Example.ORG/es/1", "http://example.org/en/17?q", "http://example.org", "http://x.com/fr/", "http://x.com/de/a#b",
+            "x.com/de/", None, "", "http://notorg/", "http://bad.host.net/1", "http://fine.net/1"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    outcomes = spark.createDataFrame([("bad.host.net", 1)] * 200 + [("fine.net", 0)] * 200 + [("x.com", None)], "host string, bad int")
+    from oreline.llm.queries import URL_RULES
+
+    got = {r["page_id"]: r for r in url_filter.judge_urls(pages, url_filter.host_reputation(outcomes), URL_RULES, 0.6).collect()}
+    assert [(got[i]["rule"], got[i]["verdict"]) for i in range(6)] == [
+        ("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), (None, "allow"), ("com/fr/", "allow"), ("com/de/", "block")
+    ]
+    assert all((got[i]["host"], got[i]["path"]) == ("", "") for i in (6, 7, 8)) and got[9]["rule"] is None
+    assert (got[10]["verdict"], got[11]["verdict"]) == ("block", "allow") and got[2]["path"] == "/en/17"
+    none = url_filter.host_reputation(outcomes.limit(0))
+    assert url_filter.judge_urls(pages, none, [], 0.9).where("verdict = 'allow'").count() == 12
+    assert url_filter.judge_urls(pages.limit(0), none, []).count() == 0
+
+
+def test_benchmark_matches_of_odd_rows(spark, odd, nothing):
+    items = spark.createDataFrame([(1, "one two three four five six seven eight"), (2, None), (3, ""), (4, "too short")], "item_id long, text string")
+    got = rows_of(decontaminate.benchmark_matches(odd, items))
+    assert [r[:3] for r in got] == [(1, 1, 0), (2, 1, 0), (2, 1, 0)]
+    assert decontaminate.benchmark_matches(nothing, items).count() == 0 and decontaminate.benchmark_matches(odd, items.limit(0)).count() == 0
+
+
+def test_components_of_chains_and_hubs(spark):
+    links = [(i, i + 1) for i in range(10, 60)] + [(100, 200 + i) for i in range(300)] + [(7, 7)]
+    got = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
+    assert {got[i] for i in range(10, 61)} == {10} and {got[200 + i] for i in range(300)} == {100} and 7 not in got
+
+
+def test_without_treats_equal_rows_alike(odd):
+    rows = odd.withColumn("k", row_key("doc_id", "text"))
+    left = without(rows, "k", rows.where("doc_id = 2 or doc_id is null").select("k"))
+    assert left.count() == 8 and left.columns == rows.columns
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_queries_with_sql(spark, sf_dir, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "pages", "labels", "benchmark"):
+        con.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
+    found = con.execute(ORACLE[name])
+    columns = [d[0] for d in found.description]
+    df = QUERIES[name](spark, sf_dir)
+    assert sorted(df.columns) == sorted(columns)
+    assert Counter(map(tuple, df.select(columns).collect())) == Counter(found.fetchall())
+
+
+def test_pipeline_on_odd_rows(spark, odd, sf_dir):
+    docs = odd.select("doc_id", "text", "lang", "source", "n_chars")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, sf_dir)
+        assert kept.columns == docs.columns, name
+        assert stage(spark, docs.limit(0), sf_dir).count() == 0
+    near = corpus_pipeline.near(spark, docs, sf_dir)
+    assert sorted(r[0] for r in near.where("doc_id is not null").select("doc_id").distinct().collect()) == [1, 3, 4, 5, 7, 9]
+    assert corpus_pipeline.mixture(spark, docs, sf_dir).count() == 11
