@@ -30,8 +30,9 @@ DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 REVISIT_BYTES = 1000
 #: A package is closed beyond this size; further records go to the next one.
 PACKAGE_BYTES = 256 << 20
-#: Records that one row of the read plan covers.
-RANGE_RECORDS = 500
+#: Records that one row of the read plan covers, and bytes of records that one task reads.
+RANGE_RECORDS = 100
+TASK_BYTES = 32 << 20
 
 MANIFEST = "path string, records long, bytes long"
 RECORD = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
@@ -292,6 +293,10 @@ def read_packages(spark: SparkSession, manifest: DataFrame, payloads: bool = Tru
                         r["payload"] = None
                 yield pa.RecordBatch.from_pylist(records, schema)
 
-    ranges = manifest.select("path").repartition(F.xxhash64("path")).mapInArrow(plan, "path string, offsets array<long>, lengths array<long>")
-    spread = ranges.repartition(F.xxhash64("path", F.element_at("offsets", 1)))
+    # The rows of the plan are small, what they stand for is not: tasks are counted by bytes of records.
+    packages, size = manifest.agg(F.count("*"), F.sum("bytes")).first()
+    least = spark.sparkContext.defaultParallelism
+    files, tasks = max(1, min(packages, 10 * least)), max(least, (size or 0) // TASK_BYTES + 1)
+    ranges = manifest.select("path").repartition(files, F.xxhash64("path")).mapInArrow(plan, "path string, offsets array<long>, lengths array<long>")
+    spread = ranges.repartition(tasks, F.xxhash64("path", F.element_at("offsets", 1)))
     return spread.mapInArrow(read, RECORD)
