@@ -6,8 +6,11 @@ the SQL that must give the same rows.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +28,7 @@ from oreline.operators import (
     upsert,
 )
 from oreline.plans import build_gold_report, build_silver, ingest_bronze, student_session_report
-from oreline.plans.jobs import read_silver
+from oreline.plans.jobs import read_silver, run_window
 from oreline.plans.report import attended, sessions_between
 from oreline.sinks import compact, compact_log, upsert_table, write_table
 from oreline.sources import read_table, register_views
@@ -571,31 +574,32 @@ def gold_upsert_null_safe(spark, sf_dir):
 
 # --- streams, table upkeep, whole jobs ----------------------------------------------
 
-FEED_FILES = 6
+FEED_BATCHES = 3
 
 
-def _landed(spark, sf_dir, runs: int = 1, files_per_trigger: int | None = 2) -> tuple[Layout, list]:
+def _feed(spark, sf_dir) -> tuple[str, int]:
+    """A folder of change records, and how many files make a third of it: a file per core, two per batch at least."""
+    share = max(2, -(-spark.sparkContext.defaultParallelism // FEED_BATCHES))
+    files = FEED_BATCHES * share
+
+    def build(path: str) -> None:
+        samples.event_feed(spark, sf_dir).repartitionByRange(files, "timestamp").write.parquet(path)
+
+    return _once(spark, sf_dir, "feed-events", build), share
+
+
+def _ingest(spark, layout: Layout, feed: str, entity: EntitySpec = samples.EVENTS, trigger=AVAILABLE_NOW, **options):
+    return ingest_bronze(spark, entity, layout, trigger=trigger, source_fmt="parquet", source_path=feed, **options)
+
+
+def _landed(spark, sf_dir, runs: int = 1) -> tuple[Layout, list]:
     """A lakehouse whose bronze log was filled by ``runs`` runs of the stream."""
-    feed = _once(
-        spark,
-        sf_dir,
-        "feed-events",
-        lambda p: samples.event_feed(spark, sf_dir).repartitionByRange(FEED_FILES, "timestamp").write.parquet(p),
-    )
+    feed, share = _feed(spark, sf_dir)
     layout = Layout(paths.scratch_path(spark, "lake"))
     streams = []
     for _ in range(runs):
-        stream = ingest_bronze(
-            spark,
-            samples.EVENTS,
-            layout,
-            trigger=AVAILABLE_NOW,
-            source_fmt="parquet",
-            source_path=feed,
-            files_per_trigger=files_per_trigger,
-        )
-        run_until_stopped(stream)
-        streams.append(stream)
+        streams.append(_ingest(spark, layout, feed, files_per_trigger=share))
+        run_until_stopped(streams[-1])
     return layout, streams
 
 
@@ -622,8 +626,8 @@ def stream_resume(spark, sf_dir):
     + "select _event_date, count(*) as events, cast(3 as integer) as batches from bronze group by _event_date"
 )
 def stream_rate_limit(spark, sf_dir):
-    """Six files at two per batch are taken in by three batches."""
-    layout, (stream,) = _landed(spark, sf_dir, files_per_trigger=FEED_FILES // 3)
+    """A third of the files per batch: taken in by three batches."""
+    layout, (stream,) = _landed(spark, sf_dir)
     batches = sum(1 for p in stream.recentProgress if p["numInputRows"] > 0)
     counted = _landed_log(spark, layout).groupBy(EVENT_DATE).agg(F.count(F.lit(1)).alias("events"))
     return counted.withColumn("batches", F.lit(batches))
@@ -654,6 +658,83 @@ def schema_evolution_append(spark, sf_dir):
     return read_table(spark, path, merge_schema=True).select("event_id", "event_type", "value", "props")
 
 
+@query("select 1 as run, count(*) as row_count, 3 as batches from events union all select 2, 0, 1")
+def batch_counts(spark, sf_dir):
+    """Rows of each batch as the append counts them while it writes; then an empty file, an empty batch."""
+    shared, share = _feed(spark, sf_dir)
+    feed = paths.scratch_path(spark, "feed")
+    write_table(spark.read.parquet(shared).repartitionByRange(FEED_BATCHES * share, "timestamp"), feed)
+    layout = Layout(paths.scratch_path(spark, "lake"))
+    counts: list[tuple[int, int]] = []
+    for run in (1, 2):
+        stream = _ingest(
+            spark, layout, feed, files_per_trigger=share, on_batch=lambda _, rows, run=run: counts.append((run, rows))
+        )
+        run_until_stopped(stream)
+        write_table(spark.read.parquet(shared).limit(0), feed)
+    told = spark.createDataFrame(counts, "run int, rows long")
+    return told.groupBy("run").agg(F.sum("rows").alias("row_count"), F.count(F.lit(1)).cast("int").alias("batches"))
+
+
+@query(LOG_SQL)
+def replayed_batch(spark, sf_dir):
+    """The last batch is taken in again, as after a crash between its write and its commit."""
+    layout, (stream,) = _landed(spark, sf_dir)
+    last = max(p["batchId"] for p in stream.recentProgress if p["numInputRows"] > 0)
+    paths.delete(spark, f"{layout.checkpoint_path(samples.EVENTS)}/commits/{last}")
+    feed, share = _feed(spark, sf_dir)
+    run_until_stopped(_ingest(spark, layout, feed, files_per_trigger=share))
+    return _landed_log(spark, layout)
+
+
+@query(
+    """
+select true as waiting, true as stopped, count(*) as row_count from events"""
+)
+def stream_interval(spark, sf_dir):
+    """An interval trigger keeps the stream waiting for more until it is stopped."""
+    feed, _ = _feed(spark, sf_dir)
+    layout = Layout(paths.scratch_path(spark, "lake"))
+    stream = _ingest(spark, layout, feed, trigger="1 second")
+    stream.processAllAvailable()
+    waiting = not run_until_stopped(stream, timeout=1)
+    stream.stop()
+    counted = _landed_log(spark, layout).agg(F.count(F.lit(1)).alias("row_count"))
+    return counted.select(F.lit(waiting).alias("waiting"), F.lit(not stream.isActive).alias("stopped"), "row_count")
+
+
+@query(
+    FEED_SQL
+    + f"""
+select id, event_type, value, case when ts >= timestamp '2024-01-16' then props end as props
+from {_newest_sql(_days('2024-01-01', '2024-01-31'))}"""
+)
+def evolving_append(spark, sf_dir):
+    """The entity gains a column between two runs of the stream; silver has it NULL in rows landed before."""
+    records = samples.event_feed(spark, sf_dir)
+    late = F.col("timestamp") >= F.lit("2024-01-16").cast("timestamp")
+    feed, layout = paths.scratch_path(spark, "feed"), Layout(paths.scratch_path(spark, "lake"))
+    before = EntitySpec(samples.EVENTS.name, "id string, event_type string, value double")
+    for entity, part in ((before, ~late), (samples.EVENTS, late)):
+        write_table(records.filter(part), feed)
+        run_until_stopped(_ingest(spark, layout, feed, entity))
+    build_silver(spark, samples.EVENTS, layout, "2024-01-01", "2024-01-31")
+    return read_silver(spark, samples.EVENTS, layout).drop("_silver_updated_at")
+
+
+@query("select count(*) as row_count, true as within_limit, true as gzipped from events")
+def writer_settings(spark, sf_dir):
+    """Compression and the limit of rows per file, as the files show them."""
+    path = paths.scratch_path(spark, "settings")
+    write_table(samples.table(spark, sf_dir, "events"), path, compression="gzip", max_records_per_file=1000)
+    files = read_table(spark, path).groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+    return files.agg(
+        F.sum("rows").alias("row_count"),
+        F.bool_and(F.col("rows") <= 1000).alias("within_limit"),
+        F.bool_and(F.col("file").endswith(".gz.parquet")).alias("gzipped"),
+    )
+
+
 @query(FEED_SQL + _upsert_sql(EVENT_HALF_1, EVENT_HALF_2, EVENT_LIST))
 def silver_job(spark, sf_dir):
     """Stream -> bronze -> silver, the silver job run once per half of the month."""
@@ -717,6 +798,94 @@ def empty_window_changes_nothing(spark, sf_dir):
     return state.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
 
 
+@query(FEED_SQL + f"select {EVENT_LIST} from {_newest_sql(_days('2024-01-15', '2024-01-16'))}")
+def default_window(spark, sf_dir):
+    """Without dates a run takes yesterday and today."""
+    layout, _ = _landed(spark, sf_dir)
+    build_silver(spark, samples.EVENTS, layout, *run_window(today=dt.date(2024, 1, 16)))
+    return read_silver(spark, samples.EVENTS, layout).drop("_silver_updated_at")
+
+
+@query(
+    FEED_SQL
+    + f"""
+select 'bronze' as layer, 3 as stamps, count(*) as row_count from bronze union all
+select 'silver', cast(count(distinct fresh) as integer), count(*) from (
+  select id, true as fresh from {EVENT_RUN_2} union all
+  select id, false from {EVENT_RUN_1} where id not in (select id from {EVENT_RUN_2}))"""
+)
+def stamped_once(spark, sf_dir):
+    """Every batch and every run stamps its rows with one time; rows that a merge leaves alone keep theirs."""
+    layout, _ = _landed(spark, sf_dir)
+    for window in (("2024-01-10", "2024-01-11"), ("2024-01-12", "2024-01-12")):
+        build_silver(spark, samples.EVENTS, layout, *window)
+    log = read_table(spark, layout.bronze_path(samples.EVENTS), schema=samples.EVENTS.bronze_schema)
+    stamped = {
+        "bronze": log.select(F.col("_ingested_at").alias("stamp")),
+        "silver": read_silver(spark, samples.EVENTS, layout).select(F.col("_silver_updated_at").alias("stamp")),
+    }
+    counts = [
+        df.where("stamp <= current_timestamp()")
+        .agg(F.count_distinct("stamp").cast("int").alias("stamps"), F.count(F.lit(1)).alias("row_count"))
+        .select(F.lit(name).alias("layer"), "stamps", "row_count")
+        for name, df in stamped.items()
+    ]
+    return counts[0].unionByName(counts[1])
+
+
+@query(
+    FEED_SQL
+    + f"""
+select {EVENT_LIST}, 'Silver current state: events' as description, true as external from {EVENT_HALF_1}"""
+)
+def catalog_round_trip(spark, sf_dir):
+    """The silver job registers its table; rows, kind and properties are read back by name.
+
+    Spark does not keep NOT NULL for Parquet tables: ``not_null_violation`` shows what holds it.
+    """
+    landed, _ = _landed(spark, sf_dir)
+    layout = Layout(landed.root, table_prefix=f"t{uuid.uuid4().hex}_")
+    build_silver(spark, samples.EVENTS, layout, "2024-01-01", "2024-01-15", register=True)
+    name = layout.silver_table(samples.EVENTS).qualified
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    external = spark.catalog.getTable(name).tableType == "EXTERNAL"
+    state = spark.table(name).select(
+        *EVENT_COLUMNS,
+        F.lit(properties.get("description")).alias("description"),
+        F.lit(external).alias("external"),
+    )
+    spark.sql(f"DROP TABLE {name}")  # external: the files stay
+    return state
+
+
+def _refused_merge(spark, sf_dir, source: DataFrame, reason: str) -> DataFrame:
+    """State of a table after a merge that must fail, and whether it failed for the given reason."""
+    path = paths.scratch_path(spark, "refused")
+    schema = struct(samples.EVENTS.columns)
+    first = _event_state(spark, sf_dir, "2024-01-01", "2024-01-15").select(*EVENT_COLUMNS)
+    upsert_table(spark, path, first, ["id"], schema=schema, not_null=["id"])
+    refused = False
+    try:
+        upsert_table(spark, path, source.select(*EVENT_COLUMNS), ["id"], schema=schema, not_null=["id"])
+    except PySparkException as error:
+        refused = reason in str(error)
+    return read_table(spark, path, schema=schema).withColumn("refused", F.lit(refused))
+
+
+@query(FEED_SQL + f"select {EVENT_LIST}, true as refused from {EVENT_HALF_1}")
+def not_null_violation(spark, sf_dir):
+    """Delete events have no key in their image: merging them whole is refused and changes nothing."""
+    deletes = _event_log(spark, sf_dir).where("_op = 'd'")
+    return _refused_merge(spark, sf_dir, deletes, "NULL in NOT NULL column id")
+
+
+@query(FEED_SQL + f"select {EVENT_LIST}, true as refused from {EVENT_HALF_1}")
+def ambiguous_match(spark, sf_dir):
+    """The log itself has many rows per key: merging it unreduced is refused and changes nothing."""
+    live = require_key(drop_deletes(_event_log(spark, sf_dir)), ["id"])
+    return _refused_merge(spark, sf_dir, live, "several source rows match the same target row")
+
+
 def _silver_star(spark, sf_dir) -> Layout:
     """The report's three silver tables, with the declared schemas."""
     layout = Layout(paths.scratch_path(spark, "star"))

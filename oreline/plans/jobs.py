@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +57,7 @@ def ingest_bronze(
     source_path: str | None = None,
     bootstrap_servers: str | None = None,
     files_per_trigger: int | None = None,
+    on_batch: Callable[[int, int], None] | None = None,
 ) -> StreamingQuery:
     """Start the stream that lands an entity's change events in its bronze log."""
     records = read_cdc_stream(spark, entity, source_fmt, source_path, bootstrap_servers, files_per_trigger)
@@ -66,6 +68,7 @@ def ingest_bronze(
         trigger=trigger or entity.trigger,
         name=f"bronze_{entity.name}",
         fmt=layout.fmt,
+        on_batch=on_batch,
     )
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -26,6 +26,7 @@ def append_bronze(
     name: str | None = None,
     fmt: str = "parquet",
     rebalance: bool = True,
+    on_batch: Callable[[int, int], None] | None = None,
 ) -> StreamingQuery:
     """Start appending a stream to the table at ``path``.
 
@@ -35,7 +36,8 @@ def append_bronze(
     ``trigger`` is a processing-time interval, or ``"available_now"`` to take in
     what is there and stop. ``rebalance`` shuffles each batch into well-sized
     files per partition; without it every task writes a file of its own, which is
-    the cheaper way once a task's share of a batch fills a file.
+    the cheaper way once a task's share of a batch fills a file. ``on_batch`` is
+    told the number of each batch and its rows, after the write.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -61,7 +63,10 @@ def append_bronze(
             # once, and an empty one writes no file.
             rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
             write_table(rows, path, "overwrite_partitions", [*partition_by, BATCH], fmt)
-        logger.info("batch %d: %d rows", batch_id, written.get["rows"])
+        rows_written = written.get["rows"]
+        logger.info("batch %d: %d rows", batch_id, rows_written)
+        if on_batch:
+            on_batch(batch_id, rows_written)
 
     writer = df.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     if name:
