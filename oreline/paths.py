@@ -48,6 +48,15 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def replace(spark: SparkSession, path: str, target: str) -> None:
+    """Move a folder to ``target``, in the place of what is there."""
+    fs, p = _fs(spark, path)
+    _, t = _fs(spark, target)
+    fs.delete(t, True)
+    if not fs.rename(p, t):
+        raise OSError(f"cannot move {path} to {target}")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, for staged and checkpointed data.
 

@@ -169,9 +169,9 @@ def upsert_table(
     unpartitioned table gets a new snapshot; in a table partitioned by a column
     of the match condition only the partitions the source touches are rewritten.
     ``schema`` declares the table's columns; others that the table has are kept
-    as they are. Without it all columns come from the footers. ``buckets`` keeps an unpartitioned table hash-bucketed by ``keys``: a merge
-    then moves the source to the buckets and leaves the table where it is. One
-    writer per table at a time.
+    as they are. Without it all columns come from the footers. ``buckets`` keeps
+    an unpartitioned table hash-bucketed by ``keys``: a merge then moves the source
+    to the buckets and leaves the table where it is. One writer per table at a time.
     """
     if evolve:
         schema = None  # the table may have columns its declaration does not
@@ -247,7 +247,7 @@ def _target(
     within: tuple | None = None,
 ) -> DataFrame:
     """The table as it is; an empty one if it is yet to be made. ``within`` is a
-    partition column with the range of it that matters."""
+    partition column, the values of it that matter, and whether NULL does too."""
     if table_exists(spark, path):
         # What is not read here would be missing from the rewritten files, so the
         # table's own columns count, declared or not: those of one footer in a
@@ -259,17 +259,18 @@ def _target(
                 own = read_table(spark, path, **options).schema
                 options = {"schema": _with_declared(own, schema), "text_partitions": True}
             return read_table(spark, path, **options)
-        column, low, high, with_null = within
+        column, values, with_null = within
         kind = rows.schema[column].dataType
-        if isinstance(kind, DateType) and low is not None:
-            picked = read_date_range(spark, path, column, low, high, with_undated=with_null, **options)
+        if isinstance(kind, DateType) and values:
+            dates = {"with_undated": with_null, "days": set(values)}
+            picked = read_date_range(spark, path, column, min(values), max(values), **dates, **options)
             if schema is not None:
                 options = {"schema": _with_declared(picked.schema, schema), "text_partitions": True}
-                picked = read_date_range(spark, path, column, low, high, with_undated=with_null, **options)
+                picked = read_date_range(spark, path, column, min(values), max(values), **dates, **options)
             return picked.withColumn(column, F.col(column).cast(kind))
         target = read_table(spark, path, **options).withColumn(column, F.col(column).cast(kind))
-        in_range = F.lit(False) if low is None else F.col(column).between(F.lit(low), F.lit(high))
-        return target.filter(in_range | F.col(column).isNull() if with_null else in_range)
+        wanted = F.col(column).isin(values) if values else F.lit(False)
+        return target.filter(wanted | F.col(column).isNull() if with_null else wanted)
     if schema is None:
         schema = rows.schema
         if delete_when is not None:
@@ -295,9 +296,7 @@ def _upsert_partitions(
     options: dict,
 ) -> int:
     partition = F.col(partition_by)
-    low, high, dated_count, count = rows.agg(
-        F.min(partition), F.max(partition), F.count(partition), F.count(F.lit(1))
-    ).first()
+    dated_count, count = rows.agg(F.count(partition), F.count(F.lit(1))).first()
     if count == 0:
         return 0
     rows = check_not_null(rows, not_null)
@@ -306,16 +305,11 @@ def _upsert_partitions(
     matchable = rows.drop(_DATED) if null_safe else dated
 
     if dated_count or null_safe:
-        # Two values prune the target's folders; the semi join then leaves exactly
-        # the touched partitions, however many there are.
-        in_range = _target(spark, path, matchable, schema, None, (partition_by, low, high, null_safe))
-        touched = matchable.select(partition.alias("_touched")).distinct()
-        same = partition.eqNullSafe(F.col("_touched")) if null_safe else partition == F.col("_touched")
-        merged = upsert(in_range.join(touched, same, "left_semi"), matchable, **options)
-        # The merged partitions are complete in the shared folder before the
-        # first old file goes away, so no job reads what it replaces.
-        with staged(merged.hint("rebalance", partition_by), "upsert-merged", [partition_by], True) as complete:
-            write_table(complete, path, "overwrite_partitions", [partition_by])
+        # As many values as the merge makes folders. With them the target is cut to the
+        # touched partitions when the scan is planned: no join on a column of few values.
+        touched = [row[0] for row in rows.filter(_DATED).select(partition_by).distinct().collect()]
+        target = _target(spark, path, matchable, schema, None, (partition_by, touched, null_safe))
+        _replace_partitions(upsert(target, matchable, **options), path, partition_by)
 
     if count > dated_count and not null_safe:
         # NULL equals nothing: these rows are inserts whatever the table holds.
@@ -323,6 +317,30 @@ def _upsert_partitions(
     return count
 
 
+def _replace_partitions(df: DataFrame, path: str, partition_by: str) -> None:
+    """Put the partitions of ``df`` in the place of the table's own.
+
+    They are written once, to a folder in the table's that readers skip, so ``df`` may
+    read what it replaces: the first old file goes away when all new ones are complete.
+    Each partition is then moved. If that stops half-way, the folder stays: what is
+    still in it has to be moved to finish the job.
+    """
+    spark = df.sparkSession
+    folder = f"{path}/_merge-{uuid.uuid4().hex}"
+    try:
+        write_table(df.hint("rebalance", partition_by), folder, "error", [partition_by])
+    except Exception:
+        paths.delete(spark, folder)
+        raise
+    try:
+        for name in paths.child_dirs(spark, folder):
+            paths.replace(spark, f"{folder}/{name}", f"{path}/{name}")
+    except Exception:
+        logger.error("the partitions that are still to be moved are in %s", folder)
+        raise
+    paths.delete(spark, folder)
+
+
 def _merge_into(rows: DataFrame, table: str, match: Sequence[str]) -> None:
     """MERGE in a table format that has row-level operations of its own."""
     on = " AND ".join(f"target.{c} = source.{c}" for c in match)

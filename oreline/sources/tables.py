@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -137,6 +138,7 @@ def read_date_range(
     end: str | dt.date,
     schema: StructType | None = None,
     with_undated: bool = False,
+    days: Collection[dt.date] | None = None,
     **options,
 ) -> DataFrame:
     """Rows of a date-partitioned table with ``start <= column <= end``.
@@ -144,13 +146,20 @@ def read_date_range(
     Reading the table and filtering would prune the files, but only after every
     folder of every date (and of every batch below it) had been listed. Here one
     listing of the top level picks the dates, and only those are listed further.
+    ``days`` picks single dates of the range.
     """
     start, end = as_date(start), as_date(end)
     wanted = F.col(column).between(F.lit(start), F.lit(end))
+    if days is not None:
+        wanted = wanted & F.col(column).cast("date").isin(list(days))
     if with_undated:
         wanted = wanted | F.col(column).isNull()
     values = partition_values(spark, path, column)
-    picked = [v for v in values if date_in_range(v, start, end) or (with_undated and v == UNDATED)]
+    picked = [
+        v
+        for v in values
+        if (date_in_range(v, start, end) and (days is None or as_date(v) in days)) or (with_undated and v == UNDATED)
+    ]
     if len(picked) == len(values):
         return read_table(spark, path, schema=schema, **options).filter(wanted)
     # An empty window still needs some folder to take the columns from.

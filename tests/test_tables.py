@@ -323,6 +323,49 @@ def test_a_failed_swap_keeps_the_complete_rows(spark, tmp_path):
     assert not [d for d in paths.child_dirs(spark, folder) if d.startswith("gone-test")]
 
 
+def test_a_failed_move_keeps_the_merged_partitions(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    merge_daily(spark, path, [("a", 1, 0), ("b", 2, 1)])
+    move, moved = paths.replace, []
+
+    def once(spark, source, target):
+        if moved:
+            raise OSError("gone")
+        moved.append(target)
+        move(spark, source, target)
+
+    monkeypatch.setattr(paths, "replace", once)
+    with pytest.raises(OSError):
+        merge_daily(spark, path, [("a", 10, 0), ("b", 20, 1)])
+    # One partition is new, the other as before; its rows wait beside it, unseen.
+    assert read_daily(spark, path) == [("a", 10, 0), ("b", 2, 1)]
+    (left,) = [d for d in paths.child_dirs(spark, path) if d.startswith("_merge-")]
+    assert [(r.id, r.v) for r in spark.read.parquet(f"{path}/{left}").collect()] == [("b", 20)]
+
+
+@pytest.mark.parametrize("threshold", ["-1", "1m"])
+def test_partitioned_merge_never_shuffles_the_table_by_date(spark, tmp_path, monkeypatch, threshold):
+    path, plans, files = str(tmp_path / "t"), [], []
+    merge_daily(spark, path, [("a", 1, 0), ("b", 2, 2), ("c", 3, 4)])
+    replace = tables._replace_partitions
+
+    def watched(df, *rest):
+        plans.append(plan_of(df))
+        files.extend(df.inputFiles())
+        replace(df, *rest)
+
+    monkeypatch.setattr(tables, "_replace_partitions", watched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        merge_daily(spark, path, [("a", 10, 0), ("e", 5, 4)])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    (plan,) = plans
+    assert "hashpartitioning(day" not in plan and "LeftSemi" not in plan
+    read = {day for day in DAYS for f in files if f"{path}/day={day}/" in f}
+    assert read == {DAYS[0], DAYS[4]}
+
+
 def test_write_options(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = frame(spark, [(str(i), i) for i in range(10)]).coalesce(1)
