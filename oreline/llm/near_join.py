@@ -13,8 +13,10 @@ similar documents with a far smaller one. Small sets repeat the deal with other
 
 Candidates are verified on the whole shingle sets. Documents with the same set are one node, so copies
 are never expanded. Bucket by bucket, every node is first held against the smallest node it shares most
-words with; only buckets whose nodes are not yet one component are searched pair by pair, between
-components, behind a bound from a bit sketch.
+words with; only buckets whose nodes are not yet one component are searched further, between components,
+behind a bound from a bit sketch. A bucket of more than ``CROWDED`` such nodes, as a passage that many
+documents quote makes, is dealt again by rare shingles: two linked sets share at least 80 % of either, so
+they share one of the rarest 20 % (and one more) of each, and no link is lost.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ PERCENT = 80
 EXPECTED = 18.0
 #: Bits of the sketch that rejects pairs before they are verified, in longs.
 SKETCH_LONGS = 8
+#: Rows of a bucket beyond which it is dealt again by rare shingles.
+CROWDED = 1000
 
 SIGNATURE = "id long, n long, d1 long, d2 long, keys array<long>, sketch array<long>"
 
@@ -178,7 +182,33 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _dealt_again(crowded: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows of crowded buckets in buckets of their rarest shingles.
+
+    Shingles are counted over these rows, and every set keeps its n - ceil(0.8 n) + 1 rarest; those that
+    no other set has lead nowhere and go.
+    """
+    nodes = crowded.select("node", "n", "component", "sketch").dropDuplicates(["node"])
+    grams = staged(sets.join(nodes.select("node"), "node", "left_semi").select("node", F.explode("grams").alias("gram")), "grams")
+    times = grams.groupBy("gram").agg(F.count("*").alias("times"))
+    ordered = grams.join(times, "gram").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("times", "gram"))).alias("grams"))
+    few = F.expr(f"slice(grams, 1, cast(size(grams) - ({PERCENT} * size(grams) + 99) div 100 + 1 as int))")
+    rare = ordered.select("node", F.explode(few).alias("rare")).where("rare.times > 1")
+    return rare.select(F.col("rare.gram").alias("key"), "node").join(nodes, "node")
+
+
+def _between_components(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes of different components that share a bucket and that size and sketch do not rule out."""
+    far = " + ".join(f"bit_count(l.sketch[{i}] ^ r.sketch[{i}])" for i in range(SKETCH_LONGS))
+    near = (
+        f"l.key = r.key and l.component < r.component and 100 * least(l.n, r.n) >= {PERCENT} * greatest(l.n, r.n) "
+        f"and {far} <= (l.n + r.n) * {100 - PERCENT} div {100 + PERCENT}"
+    )
+    pairs = rows.alias("l").join(rows.alias("r"), F.expr(near))
+    return pairs.select(F.expr("least(l.node, r.node)").alias("a"), F.expr("greatest(l.node, r.node)").alias("b"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", crowded: int = CROWDED) -> DataFrame:
     """One row per row of ``docs``: the id, ``n_shingles`` and ``component_id``, the smallest id reachable by links.
 
     Words are separated by ASCII white space and compared with A-Z in lower case. A text of one to four
@@ -227,23 +257,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Then the buckets that still hold several components, between these.
     so_far = components(links)
     placed = shared.drop("pivot").join(so_far, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    split = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
-    open_rows = staged(
-        placed.join(split, "key").join(words.select("node", "n", "sketch"), "node").select("key", "node", "n", "component", "sketch"), "open"
+    split = (
+        placed.groupBy("key")
+        .agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("rows"))
+        .where("x < y")
+        .select("key", "rows")
     )
-    far = " + ".join(f"bit_count(l.sketch[{i}] ^ r.sketch[{i}])" for i in range(SKETCH_LONGS))
-    rest = (
-        open_rows.alias("l")
-        .join(
-            open_rows.alias("r"),
-            F.expr(
-                f"l.key = r.key and l.component < r.component and 100 * least(l.n, r.n) >= {PERCENT} * greatest(l.n, r.n) "
-                f"and {far} <= (l.n + r.n) * {100 - PERCENT} div {100 + PERCENT}"
-            ),
-        )
-        .select(F.expr("least(l.node, r.node)").alias("a"), F.expr("greatest(l.node, r.node)").alias("b"))
-        .distinct()
+    open_rows = staged(
+        placed.join(split, "key").join(words.select("node", "n", "sketch"), "node").select("key", "rows", "node", "n", "component", "sketch"), "open"
     )
+    plain = _between_components(open_rows.where(F.col("rows") <= crowded))
+    dense = open_rows.where(F.col("rows") > crowded)
+    if dense.isEmpty():
+        rest = plain.distinct()
+    else:
+        rest = plain.unionByName(_between_components(staged(_dealt_again(dense, sets), "rare"))).distinct()
     tried = best.select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     more = staged(_verified(rest.join(tried, ["a", "b"], "left_anti"), sets), "links")
     found = components(links.unionByName(more)).withColumnRenamed("node", "c_node")
