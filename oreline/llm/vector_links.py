@@ -3,13 +3,17 @@
 Each tree splits the space again and again: a random direction, the median of a sample along it, and a
 margin around the median whose vectors go to both sides. Vectors that meet in a leaf of any tree are
 compared by cosine. The upper splits are fitted on a bounded sample; every vector is then routed through
-all trees, and leaves that hold more than ``LEAF`` vectors of a label are split further, in the same way,
-where they are compared. Equal vectors are one node and are counted, not compared.
+all trees. Leaves that hold more than ``GROUP_ROWS`` vectors of a label get a subtree each, fitted on a
+chunk of their own vectors, and their chunks are routed through it side by side, until no leaf is too large for a task.
+Where leaves are compared they are split further, in the same way, down to ``LEAF`` vectors. Equal vectors are one
+node and are counted, not compared.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -24,6 +28,8 @@ TREES = 10
 SPILL = 0.15
 #: Vectors that are compared with each other at once.
 LEAF = 400
+#: Vectors of a label that one task compares at most; a leaf with more is split before.
+GROUP_ROWS = 20_000
 #: Vectors that the upper splits are fitted on.
 SAMPLE_ROWS = 20_000
 #: Sampled vectors below which a node is not split on the sample.
@@ -63,6 +69,54 @@ def route(tree: tuple | None, x: np.ndarray, rows: np.ndarray, path: int = 1) ->
     yield from route(high, x, rows[along >= middle - margin], 2 * path + 1)
 
 
+def _split_large(placed: DataFrame, keys: DataFrame, group_rows: int, leaf_rows: int, seed: int) -> DataFrame:
+    """``placed`` with leaves of more than ``group_rows`` rows split; ``keys`` are the leaves of its rows.
+
+    A large leaf is dealt into chunks of about half that number. A subtree is fitted on the first one and
+    goes to all of them, so no task holds more than a chunk, and nothing comes to the driver but whether
+    a large leaf is left. A leaf that no direction splits stays as it is.
+    """
+    leaf = ["tree", "leaf", "size", "label"]
+    columns, done, turn = placed.columns, [], 0
+    into = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in placed.schema.fields)
+
+    def fit(key: tuple, chunk: pd.DataFrame) -> pd.DataFrame:
+        x = _unit(np.vstack(chunk.sort_values("node")["v"].to_numpy()))
+        name = [int(k) & (2**63 - 1) for k in key[:3]]
+        tree = grow(x, 4 * leaf_rows / key[4], np.random.default_rng([seed, turn, *name]))
+        return pd.DataFrame([[*key, pickle.dumps(tree)]], columns=[*leaf, "parts", "subtree"])
+
+    def descend(chunk: pd.DataFrame, subtree: pd.DataFrame) -> pd.DataFrame:
+        tree = pickle.loads(subtree["subtree"].iloc[0]) if len(subtree) and len(chunk) else None
+        if tree is None:
+            return chunk[columns].assign(final=len(subtree) > 0)  # without a first chunk it is tried again
+        x = _unit(np.vstack(chunk["v"].to_numpy()))
+        routed = [chunk.iloc[at].assign(leaf=path) for path, at in route(tree, x, np.arange(len(chunk)), int(chunk["leaf"].iloc[0]))]
+        return pd.concat(routed)[columns].assign(final=False)
+
+    while True:
+        counted = keys.groupBy(*leaf).agg(F.count("*").alias("rows")).where(F.col("rows") > group_rows)
+        large = staged(counted.select(*leaf, F.ceil(F.col("rows") * 2 / group_rows).cast("long").alias("parts")), "large")
+        if large.isEmpty():
+            break
+        marked = placed.join(large, leaf, "left")
+        done.append(marked.where("parts is null").select(*columns))
+        crowded = marked.where("parts is not null").withColumn("part", F.pmod(F.xxhash64("node", F.lit(seed + turn)), F.col("parts")))
+        kind = placed.schema["label"].dataType.simpleString()
+        fitted = crowded.where("part = 0").groupBy(*leaf, "parts").applyInPandas(
+            fit, f"tree long, leaf long, size long, label {kind}, parts long, subtree binary"
+        )
+        subtrees = staged(fitted, "subtrees").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        split = crowded.groupBy(*leaf, "part").cogroup(subtrees.groupBy(*leaf, "part")).applyInPandas(descend, f"{into}, final boolean")
+        routed = staged(split, "routed")
+        done.append(routed.where("final").select(*columns))
+        placed = keys = routed.where("not final").select(*columns)
+        turn += 1
+    for part in done:
+        placed = placed.unionByName(part)
+    return placed
+
+
 def _leaf_pairs(x: np.ndarray, least: float, rng: np.random.Generator) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows with cosine >= ``least`` in leaves of at most LEAF rows, by further random splits."""
     stack = [np.arange(len(x))]
@@ -86,7 +140,13 @@ def _leaf_pairs(x: np.ndarray, least: float, rng: np.random.Generator) -> Iterat
 
 
 def link_vectors(
-    vectors: DataFrame, least: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", seed: int = 7
+    vectors: DataFrame,
+    least: float = 0.93,
+    id_col: str = "vec_id",
+    vector_col: str = "embedding",
+    label_col: str = "label",
+    seed: int = 7,
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """One row per row of ``vectors``: id, ``n_links``, ``component_id`` and ``kept`` (id = component_id).
 
@@ -123,7 +183,7 @@ def link_vectors(
             most = LEAF * len(x) * 1_000_000 / (total * part) if total else LEAF
             trees[size] = [grow(x, most * 4, np.random.default_rng([seed, size, t])) for t in range(TREES)]
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def place(names: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = batch.column("size").to_numpy(zero_copy_only=False)
             for size in np.unique(sizes):
@@ -133,14 +193,16 @@ def link_vectors(
                 for t, tree in enumerate(trees.get(int(size), [None] * TREES)):
                     for leaf, at in route(tree, x, np.arange(len(own))):
                         n = len(at)
-                        out = part.take(pa.array(at)).select(["label", "node", "v"])
+                        out = part.select(names).take(pa.array(at))
                         key = [pa.array(np.full(n, a), pa.int64()) for a in (t, leaf, size)]
-                        yield pa.RecordBatch.from_arrays([*key, *out.columns], ["tree", "leaf", "size", "label", "node", "v"])
+                        yield pa.RecordBatch.from_arrays([*key, *out.columns], ["tree", "leaf", "size", *names])
 
     kind = nodes.schema["label"].dataType.simpleString()
-    placed = nodes.select("label", "node", "v", "size").mapInArrow(
-        place, f"tree long, leaf long, size long, label {kind}, node long, v array<double>"
-    )
+    spots = nodes.select("label", "node", "v", "size")
+    key = f"tree long, leaf long, size long, label {kind}"
+    keys = spots.mapInArrow(partial(place, ["label"]), key)
+    placed = spots.mapInArrow(partial(place, ["label", "node", "v"]), f"{key}, node long, v array<double>")
+    placed = _split_large(placed, keys, group_rows, LEAF, seed)
 
     def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         ids = group["node"].to_numpy()

@@ -1,6 +1,7 @@
 """Operators on Spark: contracts, edge cases and brute force on small tables."""
 
 import math
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -93,6 +94,24 @@ def test_near_duplicates_in_a_chain(spark):
     assert got == {i: find(i) for i, _ in rows}
 
 
+@pytest.mark.parametrize("crowded", [4, near_join.CROWDED])
+def test_near_duplicates_that_quote_one_passage(spark, crowded):
+    """Buckets that one passage fills are dealt again, and no link is lost."""
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(70)]
+    rows = []
+    for i in range(150):
+        own = [f"o{rng.randrange(10**9)}" for _ in range(40)]
+        rows.append((i, [*passage, *own]))
+        if i % 3 == 0:  # an edit in the words of its own
+            rows.append((1000 + i, [*passage, *own[:20], "edited", *own[21:]]))
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    sets = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for i, w in rows}
+    want = {i: min(j for j, y in sets.items() if 100 * len(x & y) >= 80 * len(x | y)) for i, x in sets.items()}
+    got = near_join.near_duplicates(docs, crowded=crowded).select("doc_id", "component_id").collect()
+    assert dict(got) == want and len(set(want.values())) == 150
+
+
 def test_line_dedup(spark, odd, nothing):
     long = "a line of nine words that will be repeated"
     rows = [(1, f"{long}\nown line"), (2, f"{long.upper()}\nx"), (3, "a line of nine words that could be repeated\n\ny"),
@@ -185,7 +204,8 @@ def test_vectors_with_nulls_copies_and_odd_values(spark):
     assert vector_links.link_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
 
-def test_vector_recall(spark, monkeypatch):
+@pytest.mark.parametrize("group_rows", [200, vector_links.GROUP_ROWS])
+def test_vector_recall(spark, monkeypatch, group_rows):
     """Trees split on a small sample and leaves split further: recall against all pairs."""
     import numpy as np
 
@@ -195,7 +215,7 @@ def test_vector_recall(spark, monkeypatch):
     docs = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
     monkeypatch.setattr(vector_links, "SAMPLE_ROWS", 600)
     monkeypatch.setattr(vector_links, "LEAF", 60)
-    got = {r["vec_id"]: r["n_links"] for r in vector_links.link_vectors(docs).collect()}
+    got = {r["vec_id"]: r["n_links"] for r in vector_links.link_vectors(docs, group_rows=group_rows).collect()}
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
     true = (unit @ unit.T >= 0.93).sum(axis=1) - 1
     assert all(got[i] <= true[i] for i in got) and sum(got.values()) >= 0.97 * true.sum() > 1000
