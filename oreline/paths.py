@@ -4,10 +4,26 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import SparkSession
 
 
+#: Calls to the file system in flight at once, where there is one per folder.
+CALLS = 32
+
+T = TypeVar("T")
+R = TypeVar("R")
+
+
+def side_by_side(call: Callable[[T], R], items: Iterable[T]) -> list[R]:
+    """``call`` for every item, in order; an object store answers a month of folders in minutes, not hours."""
+    with ThreadPoolExecutor(CALLS) as pool:
+        return list(pool.map(call, items))
+
+
 def _fs(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
@@ -32,6 +48,15 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and any(s.isFile() and s.getPath().getName()[0] not in "_." for s in fs.listStatus(p))
 
 
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Partition columns of a table, from the folder names down to its first file."""
+    found: list[str] = []
+    while nested := [name for name in child_dirs(spark, path) if "=" in name]:
+        found.append(nested[0].partition("=")[0])
+        path = f"{path}/{nested[0]}"
+    return found
+
+
 def touch(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.create(p).close()

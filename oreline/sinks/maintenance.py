@@ -68,12 +68,9 @@ def compact(
 
 def _batch_folders(spark: SparkSession, path: str, start: dt.date, end: dt.date) -> list[tuple[str, str]]:
     """(event date, batch) folder names of the window."""
-    return [
-        (f"{EVENT_DATE}={day}", batch)
-        for day in partition_values(spark, path, EVENT_DATE)
-        if date_in_range(day, start, end)
-        for batch in paths.child_dirs(spark, f"{path}/{EVENT_DATE}={day}")
-    ]
+    days = [f"{EVENT_DATE}={day}" for day in partition_values(spark, path, EVENT_DATE) if date_in_range(day, start, end)]
+    batches = paths.side_by_side(lambda day: paths.child_dirs(spark, f"{path}/{day}"), days)
+    return [(day, batch) for day, own in zip(days, batches) for batch in own]
 
 
 def compact_log(
@@ -115,6 +112,5 @@ def compact_log(
     folded = rows.dropDuplicates(list(RECORD_ID)).withColumn(BATCH, F.lit(COMPACTED)).hint("rebalance", EVENT_DATE)
     with staged(folded, "compact-log", [EVENT_DATE, BATCH], keep_on_error=True) as packed:
         write_table(packed, path, "overwrite_partitions", [EVENT_DATE, BATCH])
-    for day, folder in old:
-        paths.delete(spark, f"{path}/{day}/{folder}")
+    paths.side_by_side(lambda one: paths.delete(spark, f"{path}/{one[0]}/{one[1]}"), old)
     return len(old)

@@ -8,7 +8,7 @@ from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from oreline import paths
 from oreline.functions.dates import as_date
@@ -99,20 +99,26 @@ def read_table(
     rewritten must go back to the partition it came from. ``folders`` limits the
     read to some partition folders of the table.
     """
-    reader = spark.read.format(fmt)
-    if schema is not None:
-        reader = reader.schema(schema)
-    if merge_schema:
-        reader = reader.option("mergeSchema", "true")
-    inference = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    before = spark.conf.get(inference)
-    spark.conf.set(inference, str(not text_partitions).lower())
-    try:
+    def load(columns: StructType | None) -> DataFrame:
+        reader = spark.read.format(fmt)
+        if columns is not None:
+            reader = reader.schema(columns)
+        elif merge_schema:
+            reader = reader.option("mergeSchema", "true")
         if folders:
             return reader.option("basePath", path).load(folders)
         return reader.load(current_path(spark, path) if fmt == "parquet" else path)
-    finally:
-        spark.conf.set(inference, before)
+
+    if not text_partitions:
+        return load(schema)
+    # Declared as text they are not inferred; a setting would change what other threads of the session read.
+    own = paths.partition_columns(spark, path)
+    text = [StructField(name, StringType()) for name in own]
+    if schema is not None:
+        return load(StructType([*schema.fields, *[f for f in text if f.name not in schema.names]]))
+    if not own:
+        return load(None)
+    return load(StructType([*[f for f in load(None).schema.fields if f.name not in own], *text]))
 
 
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
