@@ -7,6 +7,10 @@ all trees. Leaves that hold more than ``GROUP_ROWS`` vectors of a label get a su
 chunk of their own vectors, and their chunks are routed through it side by side, until no leaf is too large for a task.
 Where leaves are compared they are split further, in the same way, down to ``LEAF`` vectors. Equal vectors are one
 node and are counted, not compared.
+
+Every split parts some pairs of a tight group, and the more the larger the group is. So the forest only tells
+which vectors hang together: its links give the components, and the links of a vector are then counted exactly
+against all vectors of its component, block against block.
 """
 
 from __future__ import annotations
@@ -32,6 +36,8 @@ LEAF = 400
 GROUP_ROWS = 20_000
 #: Vectors that the upper splits are fitted on.
 SAMPLE_ROWS = 20_000
+#: Bytes of vectors that a task holds on each side when a component's blocks are compared; GROUP_ROWS vectors at most.
+BLOCK_BYTES = 16 << 20
 #: Sampled vectors below which a node is not split on the sample.
 LEAST_SAMPLE = 32
 
@@ -139,6 +145,83 @@ def _leaf_pairs(x: np.ndarray, least: float, rng: np.random.Generator) -> Iterat
                 yield a[p], b[q]
 
 
+def _tally(x: np.ndarray, y: np.ndarray, weight: np.ndarray, least: float) -> np.ndarray:
+    """For each row of ``x``, the summed ``weight`` of the rows of ``y`` with cosine >= ``least``.
+
+    Both are ordered along the direction in which they differ most. Unit vectors with that cosine are at most
+    ``reach`` apart, along any direction, so only a band has to be compared.
+    """
+    both = np.concatenate([x, y])
+    both = both - both.mean(axis=0)
+    direction = both[np.abs(both).max(axis=1).argmax()]
+    for _ in range(5):
+        direction = both.T @ (both @ direction)
+        length = np.linalg.norm(direction)
+        direction = direction / length if length > 0 else np.zeros(both.shape[1])
+    reach = np.sqrt(max(0.0, 2 - 2 * least)) + 1e-9
+    along, other = x @ direction, y @ direction
+    mine, yours = np.argsort(along), np.argsort(other)
+    y, weight, other = y[yours], weight[yours], other[yours]
+    out = np.zeros(len(x), np.int64)
+    for i in range(0, len(x), LEAF):
+        rows = mine[i : i + LEAF]
+        low, high = np.searchsorted(other, [along[rows[0]] - reach, along[rows[-1]] + reach])
+        for j in range(low, high, 10 * LEAF):
+            k = min(high, j + 10 * LEAF)
+            out[rows] += (x[rows] @ y[j:k].T >= least) @ weight[j:k]
+    return out
+
+
+def _degrees(members: DataFrame, least: float, group_rows: int, seed: int) -> DataFrame:
+    """Rows (node, others): the rows that each node of ``members`` (node, copies, v, component) links with, but its own.
+
+    All pairs of a component are compared. A component of more than a task's rows is dealt into blocks and
+    each pair of blocks is a task. Only counts leave a task, never pairs.
+    """
+    room = F.greatest(F.lit(1), F.least(F.lit(group_rows), F.floor(F.lit(BLOCK_BYTES) / (8 * F.size("v")))))
+    sized = members.groupBy("component").agg(F.count("*").alias("rows"), F.first(room).alias("room"))
+    piles = max(1, sized.agg(F.sum(F.col("rows") / F.col("room"))).first()[0] or 0)
+    # One row per component that fills a task: few, whatever the number of nodes.
+    large = staged(sized.where("rows > room").select("component", F.ceil(F.col("rows") / F.col("room")).cast("long").alias("parts")), "dense")
+    marked = members.join(F.broadcast(large), "component", "left")
+    whole = marked.where("parts is null").withColumn("pile", F.pmod(F.xxhash64("component", F.lit(seed)), F.lit(int(piles) + 1)))
+
+    def within(pile: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, group in pile.groupby("component", sort=False):
+            x, weight = _unit(np.vstack(group["v"].to_numpy())), group["copies"].to_numpy()
+            linked = (x @ x.T >= least) @ weight if len(x) <= LEAF else _tally(x, x, weight, least)
+            # A vector's cosine with itself may be rounded to less than a bound of 1.
+            own = np.einsum("ij,ij->i", x, x) >= least
+            out.append(pd.DataFrame({"node": group["node"].to_numpy(), "others": linked - own * weight}))
+        return pd.concat(out)
+
+    def across(key: tuple, blocks: pd.DataFrame) -> pd.DataFrame:
+        low, high = (blocks[blocks["part"] == p] for p in key[1:3])
+        if key[1] == key[2]:
+            return within(low)
+        if not len(low) or not len(high):
+            return pd.DataFrame({"node": [], "others": []}).astype("int64")
+        x, y = (_unit(np.vstack(b["v"].to_numpy())) for b in (low, high))
+        return pd.DataFrame(
+            {
+                "node": np.concatenate([low["node"], high["node"]]),
+                "others": np.concatenate([_tally(x, y, high["copies"].to_numpy(), least), _tally(y, x, low["copies"].to_numpy(), least)]),
+            }
+        )
+
+    part = F.pmod(F.xxhash64("node", F.lit(seed)), F.col("parts"))
+    blocks = (
+        marked.where("parts is not null")
+        .withColumn("part", part)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        .select("component", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"), "part", "node", "copies", "v")
+    )
+    schema = "node long, others long"
+    counted = whole.groupBy("pile").applyInPandas(within, schema).unionByName(blocks.groupBy("component", "one", "two").applyInPandas(across, schema))
+    return counted.groupBy("node").agg(F.sum("others").alias("others"))
+
+
 def link_vectors(
     vectors: DataFrame,
     least: float = 0.93,
@@ -151,13 +234,16 @@ def link_vectors(
     """One row per row of ``vectors``: id, ``n_links``, ``component_id`` and ``kept`` (id = component_id).
 
     Two vectors link if their labels are equal and not null and their cosine, in double precision, is at
-    least ``least``. No pair below is ever linked; nearly all above are found (measured: above 99 %).
+    least ``least``. No pair below is ever linked. The forest finds the components; within each, every link is
+    counted. What can be missed is a link that would be the only way between two components: two vectors
+    that meet in none of the trees, nor are joined by others.
     Vectors that are null, empty, zero, or hold null or non-finite components, and rows with a null label
     link with nothing. Vectors of unequal length are never compared. Rows that repeat an id and a vector
     count once; a null id is never linked. An empty table gives none. Only the named columns are read.
 
     Equal vectors of a label are one node with a count, so a vector that a third of the rows share costs
-    one row per leaf. A pair of nodes found in several trees counts once.
+    one row per leaf. Comparing a component takes the square of its distinct vectors in multiplications, less
+    what lies too far apart along one direction, but no more than a count per vector and block is kept.
     """
     rows = vectors.select(
         F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("v")
@@ -216,10 +302,9 @@ def link_vectors(
 
     links = staged(placed.groupBy("tree", "leaf", "size", "label").applyInPandas(compare, "a long, b long").distinct(), "links")
     thin = nodes.select("node", "copies", "label", "v")
-    weight = thin.select(F.col("node").alias("b"), F.col("copies").alias("w"))
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = both.join(weight, "b").groupBy(F.col("a").alias("node")).agg(F.sum("w").alias("others"))
-    found = components(links)
+    found = staged(components(links).join(thin, "node").select("node", "copies", "v", "component"), "members")
+    degree = _degrees(found, least, group_rows, seed)
+    found = found.select("node", "component")
     judged = (
         thin.join(degree, "node", "left")
         .join(found, "node", "left")

@@ -221,6 +221,22 @@ def test_vector_recall(spark, monkeypatch, group_rows):
     assert all(got[i] <= true[i] for i in got) and sum(got.values()) >= 0.97 * true.sum() > 1000
 
 
+@pytest.mark.parametrize("group_rows", [20_000, 1_500])
+def test_links_of_one_tight_group(spark, group_rows):
+    import numpy as np
+
+    rng = np.random.default_rng(11)
+    center = rng.standard_normal(64)
+    x = center / np.linalg.norm(center) + rng.standard_normal((5_000, 64)) * 0.25 / 8
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    exact = (u @ u.T >= 0.93).sum(axis=1) - 1
+    df = spark.createDataFrame([(i, v.tolist(), "a") for i, v in enumerate(x)], "vec_id long, embedding array<double>, label string")
+    got = vector_links.link_vectors(df, group_rows=group_rows).toPandas().set_index("vec_id").sort_index()
+    assert exact.sum() > 0.5 * 5_000**2  # most pairs are links
+    assert (got["n_links"].to_numpy() == exact).all()
+    assert set(got["component_id"]) == {0}
+
+
 def test_archives_round_trip(spark, tmp_path):
     big, other = "é" * 600, "x" * 2000
     rows = [(1, "u1", big), (2, "u2", big), (3, None, None), (4, "u\r\n4", ""), (5, "u5", "short"), (6, "u6", "short"), (7, "u7", other), (9, "u9", big), (9, "u9", big)]
