@@ -260,6 +260,21 @@ def test_personal_data_of_odd_rows(spark, odd, nothing):
     assert (row["n_email"], row["n_ip"], row["spans"]) == (1, 1, "email:2:8,ip:13:20")
 
 
+@pytest.mark.parametrize("times", [1, 10, 100])
+def test_mentions_of_phones_and_addresses(spark, times):
+    """Other forms of an entity are added, however many there are and whatever else the corpus holds."""
+    plain = "Please contact the office about the meeting, the plan and number 111 222 3333 of the report. " * 40
+    again = "Ask bob.smith or ring 784 555 8120 for more. " * times
+    rows = [(0, f"Write to bob.smith@mail.example.com or call +1 (784) 555-8120. {plain}{again}")]
+    rows += [(i, f"{plain} Mail {'office' if i == 20 else f'desk{i}'}@example.org or ring +49 30 {1000000 + i}. {plain}") for i in range(1, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    texts, found = dict(rows), {r["doc_id"]: r["spans"].split(",") for r in pii.personal_data(docs).collect()}
+    refs = Counter((k, texts[0][int(a) : int(b)]) for k, a, b in (x.split(":") for x in found[0]) if k.endswith("_ref"))
+    assert refs == {("email_ref", "bob.smith"): times, ("phone_ref", "784 555 8120"): times}
+    # "office" is a local part, but as frequent where it is none.
+    assert not any("_ref" in x for i in range(1, 60) for x in found[i])
+
+
 def test_url_rules_and_reputation(spark):
     urls = ["http://a.org/x", "http://Example.ORG/es/1", "http://example.org/en/17?q", "http://example.org", "http://x.com/fr/", "http://x.com/de/a#b",
             "x.com/de/", None, "", "http://notorg/", "http://bad.host.net/1", "http://fine.net/1"]
