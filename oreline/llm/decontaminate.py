@@ -7,6 +7,11 @@ embedding at a few random steps: equal samples make a candidate. Walks and sampl
 a window within the edit bound is found with the target probability, which is measured on items with
 random edits.
 
+Sampling alone misses copies near the edit bound, mostly of items that are short for their class. So items are
+also cut into one piece more than the edits allowed: edits within the bound leave a piece as it is, and every
+place of a document that holds a piece word for word is a candidate too. Nothing within the bound is missed.
+Items of fewer than 8 words are one piece and match exactly.
+
 Windows are sized per class of item lengths (a factor of 1.5) and start at every s-th word of a
 document; an item is indexed from each of its first words, so that some window is aligned with the item
 whatever its place. Candidates are verified by the exact edit distance between the whole item and its
@@ -34,8 +39,10 @@ TARGET_RECALL = 0.99
 SAMPLES = 4
 #: A word is common if it stands in more than this part of the items.
 COMMON = 0.02
-#: Items of fewer words are too common to tell anything.
+#: Items of fewer words match only word for word.
 MIN_WORDS = 8
+#: Scripts without spaces between words (Thai, Lao, Burmese, Khmer, kana, Han): each character is a word.
+UNSPACED = r"([\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}])"
 #: Items go to every task, so they are taken in blocks of about so many bytes of text.
 BLOCK_BYTES = 4 << 20
 
@@ -128,6 +135,20 @@ class Family:
         return self.keys(words, starts, stops, seed, reads), starts, seen
 
 
+def bound_of(n: int) -> int:
+    """The edits that a copy of an item of n words may have."""
+    return max(1, int(EDIT_RATIO * n)) if n >= MIN_WORDS else 0
+
+
+def _grams(words: np.ndarray, width: int) -> np.ndarray:
+    """A hash of each ``width`` consecutive words."""
+    out = np.full(max(0, len(words) - width + 1), width, np.uint64)
+    for k in range(width):
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += words[k : k + len(out)]
+    return mix(out)
+
+
 class Index:
     """The sampled windows of a bounded block of items, and their exact verification."""
 
@@ -163,6 +184,18 @@ class Index:
                 order = np.argsort(keys, kind="stable")
                 tables.append((keys[order], which[order], at[order]))
             self.families.append((family, tables))
+        pieces: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+        for i, (_, words) in enumerate(items):
+            n = len(words)
+            if n:
+                count = bound_of(n) + 1
+                width = n // count
+                grams = _grams(words, width)
+                pieces[width] += [(int(grams[at]), i, at) for at in sorted({k * n // count for k in range(count)})]
+        self.pieces = []
+        for width, rows in sorted(pieces.items()):
+            rows.sort()
+            self.pieces.append((width, np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows]), np.array([r[2] for r in rows])))
         # Bit masks for the verification: where in the item a word stands.
         self.masks = []
         for _, words in items:
@@ -189,12 +222,24 @@ class Index:
                     while p < len(keys) and keys[p] == k:
                         found.add((int(text[hit]), int(which[p]), int(starts[hit] - at[p])))
                         p += 1
+        for width, keys, which, at in self.pieces:
+            mine = _grams(words, width)
+            place = np.searchsorted(keys, mine)
+            place[place == len(keys)] = 0
+            for hit in np.flatnonzero(keys[place] == mine):
+                text = int(np.searchsorted(limits, hit, side="right")) - 1
+                if hit + width > limits[text + 1]:
+                    continue
+                k, p = mine[hit], int(place[hit])
+                while p < len(keys) and keys[p] == k:
+                    found.add((text, int(which[p]), int(hit - at[p])))
+                    p += 1
         return found
 
     def verify(self, item: int, words: np.ndarray, begin: int) -> tuple[int, int, int] | None:
         """(edits, start, end) of the item's best-fitting stretch of words near ``begin``, if within the bound."""
         n = len(self.items[item][1])
-        bound = max(1, int(EDIT_RATIO * n))
+        bound = bound_of(n)
         low, high = max(0, begin - bound), min(len(words), begin + n + 2 * bound)
         edits, end = _search(self.masks[item], n, words[low:high].tolist())
         if edits > bound:
@@ -266,16 +311,18 @@ def benchmark_matches(
 
     ``edits`` is the exact distance in words between the item and the document's best stretch, at most
     ``max(1, 0.15 * n_words)``. Words are runs of ASCII letters and digits and any non-ASCII characters,
-    with A-Z in lower case, so case, punctuation and line ends do not hide a copy. Null and empty texts
-    and items of fewer than 8 words match nothing; repeated items and rows are each reported; empty
+    with A-Z in lower case, so case, punctuation and line ends do not hide a copy; in scripts without spaces
+    each character is a word. Null and empty texts match nothing, items of fewer than 8 words only
+    word for word; repeated items and rows are each reported; empty
     tables give no rows. Only the named columns are read. Documents stay where they are read: there is
     no shuffle, and a long one is cut into runs of words only for memory.
 
     Items go to all tasks in blocks of about 4 MB of text, as many passes over the documents as there
     are blocks; the driver holds one block at a time while it plans.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text")).where("text is not null")
+    apart = lambda name: F.regexp_replace(F.col(name).cast("string"), UNSPACED, " $1 ")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), apart(text_col).alias("text"))
+    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), apart(item_text).alias("text")).where("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / BLOCK_BYTES))
     parts = []

@@ -300,6 +300,12 @@ def test_benchmark_matches_of_odd_rows(spark, odd, nothing):
     assert decontaminate.benchmark_matches(nothing, items).count() == 0 and decontaminate.benchmark_matches(odd, items.limit(0)).count() == 0
 
 
+def test_benchmark_items_in_scripts_without_spaces(spark):
+    items = spark.createDataFrame([(1, "敏捷的棕色狐狸跳过了那只懒惰的狗")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "他说敏捷的棕色狐狸跳过了这只懒惰的狗吗"), (2, "完全不同的一句话")], "doc_id long, text string")
+    assert [r[:3] for r in rows_of(decontaminate.benchmark_matches(docs, items))] == [(1, 1, 1)]
+
+
 def test_components_of_chains_and_hubs(spark):
     links = [(i, i + 1) for i in range(10, 60)] + [(100, 200 + i) for i in range(300)] + [(7, 7)]
     got = dict(components(spark.createDataFrame(links, "a long, b long")).collect())

@@ -117,6 +117,23 @@ def test_edited_items_are_found():
     assert {r["id"] for r in rows if r["id"] == r["item_id"] and not r["edits"]} == set(range(60))
 
 
+@pytest.mark.parametrize("n", [8, 12, 14, 18, 27, 41, 61])
+def test_no_edited_item_is_missed(n):
+    """Copies with as many edits of all kinds as the bound allows, spread evenly, and short items word for word."""
+    rng = random.Random(n)
+    items = [(i, " ".join(f"w{rng.randrange(5000)}" for _ in range(n))) for i in range(100)] + [(100, "only three words")]
+    docs, bound = [], max(1, int(decontaminate.EDIT_RATIO * n))
+    for _, text in items[:100]:
+        words = text.split()
+        for k in reversed(range(bound)):
+            at = (2 * k + 1) * n // (2 * bound)
+            words[at : at + 1] = rng.choice([["x"], [], ["y", words[at]]])
+        docs.append("a few words before " + " ".join(words) + " and after")
+    batch = pa.RecordBatch.from_pydict({"id": list(range(101)), "text": [*docs, "Here: only THREE words, and only two"]})
+    rows = [r for out in decontaminate._matcher(decontaminate._index(items))([batch]) for r in out.to_pylist()]
+    assert {r["id"] for r in rows if r["id"] == r["item_id"]} == set(range(101))
+
+
 def test_members_of_zip_and_zip64():
     for big in (False, True):
         f = io.BytesIO()
