@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oreline.llm.common import row_key, staged
+from oreline.llm.suffixes import SUFFIXES
+from oreline.llm.url_filter import levels
 from oreline.llm.words import _buffers
 
 SAMPLE_ROWS = 20_000
@@ -132,6 +134,7 @@ def identify(
     row_columns: tuple[str, ...] | None = None,
     least: float = 0.5,
     sample_rows: int = SAMPLE_ROWS,
+    suffixes: tuple[str, ...] = SUFFIXES,
 ) -> DataFrame:
     """One row per row of ``docs``: ``row`` (a hash of id and text, or of ``row_columns``), the id, ``language``,
     ``posterior``, ``declared`` (as given) and ``keep``.
@@ -190,8 +193,8 @@ def identify(
             )
         ]
     )
-    name = F.regexp_replace("host", r":[0-9]*$", "")
-    hosts = soft.groupBy("host").agg(*sums).withColumns({"domain": F.substring_index(name, ".", -2), "suffix": F.substring_index(name, ".", -1)})
+    domain, suffix = levels(F.col("host"), suffixes)
+    hosts = soft.groupBy("host").agg(*sums).withColumns({"domain": domain, "suffix": suffix})
     smooth = lambda own, parent: [
         ((F.col(c) + STRENGTH * parent(i)) / (sum((F.col(x) for x in counts), F.lit(0.0)) + STRENGTH)).alias(f"{own}{i}") for i, c in enumerate(counts)
     ]

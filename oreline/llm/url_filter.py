@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from oreline.llm.suffixes import SUFFIXES
+
 #: Lower posterior bound: this many standard deviations below the mean.
 Z = 1.645
 
@@ -37,14 +39,18 @@ def rule_for(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> C
     return found
 
 
-def levels(host: Column) -> tuple[Column, Column]:
-    """(registered domain, suffix): the last two labels and the last one. An address in digits is its own domain."""
+def levels(host: Column, suffixes: tuple[str, ...] = SUFFIXES) -> tuple[Column, Column]:
+    """(registered domain, suffix): the suffix is the longest end of the host that is in ``suffixes``, else its last
+    label; the domain has one label more, or is the suffix itself. An address in digits is its own domain."""
     numeric = host.rlike(r"^[0-9.]+(:[0-9]+)?$")
     name = F.regexp_replace(host, r":[0-9]*$", "")
-    return (
-        F.when(numeric, host).otherwise(F.substring_index(name, ".", -2)),
-        F.when(numeric, F.lit("")).otherwise(F.substring_index(name, ".", -1)),
-    )
+    domain, suffix = F.substring_index(name, ".", -2), F.substring_index(name, ".", -1)
+    for labels in sorted({s.count(".") + 1 for s in suffixes} - {1}):
+        end = F.substring_index(name, ".", -labels)
+        listed = end.isin([s for s in suffixes if s.count(".") + 1 == labels])
+        domain = F.when(listed, F.substring_index(name, ".", -labels - 1)).otherwise(domain)
+        suffix = F.when(listed, end).otherwise(suffix)
+    return F.when(numeric, host).otherwise(domain), F.when(numeric, F.lit("")).otherwise(suffix)
 
 
 def _strength(groups: DataFrame) -> float:
@@ -63,13 +69,13 @@ def _strength(groups: DataFrame) -> float:
     return min(1000.0, max(1.0, 1 / rho - 1)) if rho > 0 else 1000.0
 
 
-def host_reputation(outcomes: DataFrame) -> DataFrame:
+def host_reputation(outcomes: DataFrame, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
     """Posteriors of hosts, domains and suffixes from rows (host, bad): bad is 0 or 1, null is ignored.
 
     Rows (level, name, alpha, beta), one per group, and level ``all`` with the name ``''``. Outcomes are
     counted per host first, so a host with a third of the rows is one row after the map side.
     """
-    domain, suffix = levels(F.col("host"))
+    domain, suffix = levels(F.col("host"), suffixes)
     hosts = (
         outcomes.where("bad is not null")
         .groupBy("host")
@@ -104,7 +110,13 @@ def lower_bound(alpha: Column, beta: Column) -> Column:
 
 
 def judge_urls(
-    pages: DataFrame, reputation: DataFrame, rules: list[tuple[str, str, str]], threshold: float = 0.15, id_col: str = "page_id", url_col: str = "url"
+    pages: DataFrame,
+    reputation: DataFrame,
+    rules: list[tuple[str, str, str]],
+    threshold: float = 0.15,
+    id_col: str = "page_id",
+    url_col: str = "url",
+    suffixes: tuple[str, ...] = SUFFIXES,
 ) -> DataFrame:
     """One row per page: id, host, path, ``rule`` (null without one), ``verdict`` and ``bad_rate``, the bound.
 
@@ -116,7 +128,7 @@ def judge_urls(
     """
     host, path = address(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
-    domain, suffix = levels(F.col("host"))
+    domain, suffix = levels(F.col("host"), suffixes)
     names = rows.select("host").distinct().withColumns({"domain": domain, "suffix": suffix, "all": F.lit("")})
     for level in ("host", "domain", "suffix", "all"):
         known = reputation.where(F.col("level") == level).select(

@@ -306,6 +306,18 @@ def test_benchmark_items_in_scripts_without_spaces(spark):
     assert [r[:3] for r in rows_of(decontaminate.benchmark_matches(docs, items))] == [(1, 1, 1)]
 
 
+def test_registered_domains_under_long_suffixes(spark):
+    outcomes = spark.createDataFrame([("bad.co.uk", 1)] * 300 + [("fine.org.uk", 0)] * 30 + [("good.com", 0)] * 300, "host string, bad int")
+    hosts = ["www.shop.co.uk", "x.com.au:80", "blog.github.io", "github.io", "a.b.s3.amazonaws.com", "a.example.com", "1.2.3.4", "localhost"]
+    df = spark.createDataFrame([(h,) for h in hosts], "host string").select(*url_filter.levels(F.col("host")))
+    assert [tuple(r) for r in df.collect()] == [
+        ("shop.co.uk", "co.uk"), ("x.com.au", "com.au"), ("blog.github.io", "github.io"), ("github.io", "github.io"),
+        ("b.s3.amazonaws.com", "s3.amazonaws.com"), ("example.com", "com"), ("1.2.3.4", ""), ("localhost", "localhost"),
+    ]
+    names = {(r["level"], r["name"]) for r in url_filter.host_reputation(outcomes).collect()}
+    assert ("domain", "bad.co.uk") in names and ("suffix", "co.uk") in names and ("domain", "co.uk") not in names
+
+
 def test_components_of_chains_and_hubs(spark):
     links = [(i, i + 1) for i in range(10, 60)] + [(100, 200 + i) for i in range(300)] + [(7, 7)]
     got = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
