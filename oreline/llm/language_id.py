@@ -10,7 +10,7 @@ The posterior of a language multiplies
   towards the address suffix, and that towards all rows.
 
 Counts are sums of text posteriors over all rows, by grouped aggregation. Only the trigram models are
-fitted on a sample: ``SAMPLE_ROWS`` labelled rows, chosen by hash.
+fitted on a sample: ``SAMPLE_ROWS`` labelled rows, chosen by hash, of each language its share.
 """
 
 from __future__ import annotations
@@ -63,17 +63,21 @@ def _cells(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 
 
 def fit_models(docs: DataFrame, text: Column, label: Column, sample_rows: int = SAMPLE_ROWS) -> tuple[list[str], np.ndarray]:
-    """(languages, log probabilities [language, cell]) from about ``sample_rows`` labelled rows.
+    """(languages, log probabilities [language, cell]) from about ``sample_rows`` labelled rows, as many of each label.
 
     Counts are summed by language and cell on the cluster; the driver gets at most ``CELLS`` numbers per
     language. Rows with a null label or text are not used. Without any, there are no languages.
     """
     rows = docs.select(text.cast("string").alias("text"), label.cast("string").alias("label")).where("text is not null and label is not null")
-    total = rows.count()
-    if not total:
+    spot = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1_000_000_000))
+    labels = rows.groupBy("label").agg(F.count("*").alias("n"), F.min(spot).alias("first")).collect()
+    if not labels:
         return [], np.zeros((0, CELLS))
-    part = int(min(1.0, sample_rows / total) * 1_000_000) + 1
-    sample = rows.where(F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1_000_000)) < part)
+    # A rate per label, so that a rare one keeps its rows whatever the others have; each keeps one text at least.
+    each = max(1, sample_rows // len(labels)) if sum(r["n"] for r in labels) > sample_rows else sample_rows
+    last = [(r["label"], max(r["first"], int(1e9 * min(1.0, each / r["n"])))) for r in labels]
+    rates = docs.sparkSession.createDataFrame(last, "label string, last long")
+    sample = rows.join(F.broadcast(rates), "label").where(spot <= F.col("last")).select("text", "label")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}

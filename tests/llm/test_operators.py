@@ -180,6 +180,15 @@ def test_language(spark, odd, nothing):
     assert language_id.identify(nothing, F.col("text"), F.col("lang")).count() == 0
 
 
+def test_rare_languages_keep_their_models(spark):
+    rows = [(i, f"the quick brown fox number {i} jumps over lazy dogs", "en") for i in range(3000)]
+    rows += [(5000 + i, f"der schnelle braune fuchs springt {i} mal über den hund", "de") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language_id.fit_models(docs, F.col("text"), F.col("lang"), sample_rows=40)[0] == ["de", "en"]
+    got = language_id.identify(docs, F.col("text"), F.col("lang"), F.col("lang"), sample_rows=40).where("doc_id >= 5000").collect()
+    assert len(got) == 3 and all(r["language"] == "de" and r["keep"] for r in got)
+
+
 def test_language_of_held_out_rows(spark, sf_dir):
     """Models fitted on even rows, accuracy on odd ones; pages bring markup, address and host."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
