@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreline.llm import decontaminate, language_id, line_dedup, mixing, near_join, pii, token_counts, url_filter, vector_links, warc_zip
+from oreline.llm import decontaminate, language_id, line_dedup, mixing, near_join, phrases, pii, token_counts, url_filter, vector_links, warc_zip, whitening
 from oreline.llm.common import ship, table
 from oreline.paths import scratch_path
 
@@ -82,6 +82,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, url_filter.host_reputation(outcomes), URL_RULES, BAD_RATE).drop("bad_rate")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_vectors(table(spark, sf_dir, "embeddings")).drop("size")
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -109,6 +117,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc_zip,
         op9_personal_data,
         op10_url_filter,
+        op11_whitening,
+        op13_phrases,
         pipeline,
     )
 }
@@ -201,4 +211,31 @@ ORACLE: dict[str, str] = {
         select a.page_id, host, path, f.rule, coalesce(f.kind, case when rate > 0.3 then 'block' else 'allow' end) as verdict
         from a join j using (host) left join f using (page_id)
     """,
+    "op13_phrases": r"""
+        with p as (
+          select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as p
+          from documents),
+        w as (select lang, regexp_extract_all(p, '[^\x20\x09]+') as w from p),
+        g as materialized (
+          select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase, count(*) as f, lang || chr(31) || phrase as id
+          from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from w, (values (1), (2), (3)) ks(k) where len(w) >= k)
+          group by all),
+        often as materialized (select id, f from g where f >= 10),
+        n as (select lang, sum(f)::bigint as n from g where k = 1 group by lang),
+        c as materialized (select lang, k, phrase, f as a, string_split(phrase, ' ') as ws from g where k > 1 and f >= 10),
+        cuts as materialized (
+          select c.*, cut, lang || chr(31) || array_to_string(ws[1:cut], ' ') as first, lang || chr(31) || array_to_string(ws[cut + 1:], ' ') as rest
+          from c, (values (1), (2)) x(cut) where cut < k),
+        s as (
+          select cuts.*, x.f as l, y.f as r, (1000000 * a::hugeint * a::hugeint) // (x.f::hugeint * y.f::hugeint) as score
+          from cuts join often x on x.id = first join often y on y.id = rest),
+        best as (select * from s qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+        longer as (
+          select lang, phrase, max(a) as m from (
+            select lang, array_to_string(ws[1:2], ' ') as phrase, a from c where k = 3 union all
+            select lang, array_to_string(ws[2:3], ' '), a from c where k = 3) group by all),
+        kept as (select best.* from best left join longer using (lang, phrase) where m is null or 100 * m < 50 * a),
+        ranked as (select *, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank from kept)
+        select lang, rank, phrase, a, l, r, n, score::bigint as score from ranked join n using (lang) where rank <= 2000
+    """,
 }
