@@ -32,11 +32,11 @@ from oreline.llm.common import staged
 from oreline.llm.words import _buffers, mix, runs
 
 #: Leaves (suffixes) of a group of prefixes; what one task holds at a time.
-LEAVES = 1 << 20
+LEAVES = 1 << 18
 #: Bits that tell open branches from closed ones: 8 MB, whatever the input.
 OPEN_BITS = 26
 #: Bytes of text whose suffixes are counted together before they are sent; a longer text is taken whole.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 #: Language of documents that state none.
 UNKNOWN = "und"
 
@@ -86,7 +86,7 @@ class Words:
         both = pa.LargeStringArray.from_buffers(len(edges) - 1, pa.py_buffer(edges), pa.py_buffer(own))
         words = both.take(pa.array(np.arange(0, len(edges) - 1, 2))).dictionary_encode()
         begin = edges[::2]
-        piece = np.cumsum(own == _BREAK, dtype=np.int64)[begin]
+        piece = np.searchsorted(np.flatnonzero(own == _BREAK), begin)
         self.follows = np.zeros(self.count, bool)
         self.follows[1:] = piece[1:] == piece[:-1]
         self.word, self.texts = np.asarray(words.indices).astype(np.int64), words.dictionary
