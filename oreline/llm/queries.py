@@ -8,12 +8,13 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreline.llm import decontaminate, language_id, line_dedup, mixing, near_join, phrases, pii, token_counts, url_filter, vector_links, warc_zip, whitening
+from oreline.llm import decontaminate, language_id, line_dedup, mixing, near_join, phrases, pii, retrieval_packing, token_counts, url_filter, vector_links, warc_zip, whitening
 from oreline.llm.common import ship, table
 from oreline.paths import scratch_path
 
 TOKEN_LIMIT = 512
 TOKENIZER = "byte_bpe_50k.json"
+PACK_TOKENIZER = "word_bpe_49k.json"
 URL_RULES = [
     ("allow", "org", "/"),
     ("block", "example.org", "/es/"),
@@ -86,6 +87,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten_vectors(table(spark, sf_dir, "embeddings")).drop("size")
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = retrieval_packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_definition(PACK_TOKENIZER))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
@@ -118,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_personal_data,
         op10_url_filter,
         op11_whitening,
+        op12_packing,
         op13_phrases,
         pipeline,
     )
