@@ -36,7 +36,9 @@ LEAVES = 1 << 18
 #: Bits that tell open branches from closed ones: 8 MB, whatever the input.
 OPEN_BITS = 26
 #: Bytes of text whose suffixes are counted together before they are sent; a longer text is taken whole.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
+#: Rows that are handed on at once.
+BATCH_ROWS = 1 << 16
 #: Language of documents that state none.
 UNKNOWN = "und"
 
@@ -143,9 +145,17 @@ def _chunks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[Words]:
             chunk = Words(texts.slice(at, stop - at), batch.column(1).slice(at, stop - at))
             if chunk.count:
                 yield chunk
+            del chunk
+            pa.default_memory_pool().release_unused()
             at = stop
 
 
+def _in_batches(columns: list[pa.Array], names: list[str]) -> Iterator[pa.RecordBatch]:
+    whole = pa.RecordBatch.from_arrays(columns, names=names)
+    for at in range(0, whole.num_rows, BATCH_ROWS):
+        yield whole.slice(at, BATCH_ROWS)
+
+
 def _is_open(bits: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
     def ask(hashes: np.ndarray) -> np.ndarray:
         slot = hashes & np.uint64(2**OPEN_BITS - 1)
@@ -159,7 +169,7 @@ def _word_counts(limit: int):
         for chunk in _chunks(batches, limit):
             at, counts = chunk.suffixes(1, None)
             lang, phrase = chunk.rows(at, 1)
-            yield pa.RecordBatch.from_arrays([lang, phrase, pa.array(counts)], names=["lang", "phrase", "f"])
+            yield from _in_batches([lang, phrase, pa.array(counts)], ["lang", "phrase", "f"])
 
     return task
 
@@ -173,9 +183,7 @@ def _leaves(words: int, bits: np.ndarray, heavy: np.ndarray, groups: int, limit:
             prefix = np.where(np.isin(prefix, heavy), chunk.hashes(at, 2), prefix)
             group = ((prefix >> np.uint64(32)) % np.uint64(groups)).astype(np.int32)
             lang, phrase = chunk.rows(at, words)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(group), lang, phrase, pa.array(counts)], names=["grp", "lang", "phrase", "f"]
-            )
+            yield from _in_batches([pa.array(group), lang, phrase, pa.array(counts)], ["grp", "lang", "phrase", "f"])
 
     return task
 
