@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreline import paths, samples
@@ -27,7 +27,7 @@ from oreline.operators import (
     strip_columns,
     upsert,
 )
-from oreline.plans import build_gold_report, build_silver, ingest_bronze, student_session_report
+from oreline.plans import build_gold_changes, build_gold_report, build_silver, ingest_bronze, student_session_report
 from oreline.plans.jobs import read_silver, run_window
 from oreline.plans.report import attended, sessions_between
 from oreline.sinks import compact, compact_log, upsert_table, write_table
@@ -744,6 +744,72 @@ def silver_job(spark, sf_dir):
     return read_silver(spark, samples.EVENTS, layout).drop("_silver_updated_at")
 
 
+LAST_ORDERS = ("1998-08-01", "2100-01-01")
+
+
+def _files(spark, path: str) -> set[str]:
+    """Folder and name of every file that holds rows of a table."""
+    files = read_table(spark, path).select(F.col("_metadata.file_path").alias("file")).distinct()
+    return {"/".join(row["file"].rsplit("/", 2)[1:]) for row in files.collect()}
+
+
+@query(_upsert_sql(_orders_sql(OLD_ORDERS), _orders_sql(LAST_ORDERS), f"{ORDER_LIST}, true as others_stay, true as touched_go"))
+def silver_touched_only(spark, sf_dir):
+    """A merge of few keys replaces the folders these keys belong to; all other files stay, by name."""
+    path = paths.scratch_path(spark, "dealt")
+    upsert_table(spark, path, _order_changes(spark, sf_dir, *OLD_ORDERS), ["id"], parts=64)
+    before = _files(spark, path)
+    few = _order_changes(spark, sf_dir, *LAST_ORDERS)
+    upsert_table(spark, path, few, ["id"])
+    after = _files(spark, path)
+    parts = few.select(F.pmod(F.xxhash64("id"), F.lit(64)).alias("part")).distinct().collect()
+    touched = {f"_key_of_64={row['part']}" for row in parts}
+    stayed = {f for f in before if f.split("/")[0] not in touched}
+    return read_table(spark, path).select(
+        "*",
+        F.lit(stayed == {f for f in after if f.split("/")[0] not in touched}).alias("others_stay"),
+        F.lit(not (before - stayed) & after).alias("touched_go"),
+    )
+
+
+def _late_feed(spark, sf_dir, late: Column, entity: EntitySpec, **options) -> tuple[Layout, list[int]]:
+    """A lakehouse whose records arrive in two runs of the stream, the ``late`` ones in the second; silver takes
+    what it has not seen after each, and once more. With how many keys each run merged."""
+    records = samples.event_feed(spark, sf_dir)
+    feed, layout = paths.scratch_path(spark, "feed"), Layout(paths.scratch_path(spark, "lake"))
+    merged = []
+    for part in (~late, late):
+        write_table(records.filter(part), feed)
+        run_until_stopped(_ingest(spark, layout, feed, entity))
+        merged.append(build_silver(spark, entity, layout, guard=True, unseen=True, **options))
+    merged.append(build_silver(spark, entity, layout, guard=True, unseen=True, **options))
+    return layout, merged
+
+
+@query(FEED_SQL + f"select {EVENT_LIST}, _ts_ms as _version, 0 as merged_again from {_newest_sql('true')}")
+def silver_late_batch(spark, sf_dir):
+    """Records of earlier dates land in a later batch: the run takes that batch, without being told its dates."""
+    late = (F.col("offset") % 5 == 0) & (F.col("timestamp") < F.lit("2024-01-20").cast("timestamp"))
+    layout, merged = _late_feed(spark, sf_dir, late, samples.EVENTS)
+    state = read_table(spark, layout.silver_path(samples.EVENTS), merge_schema=True).drop("_silver_updated_at")
+    return state.withColumn("merged_again", F.lit(merged[-1]))
+
+
+@query(
+    FEED_SQL
+    + f"""
+select {EVENT_LIST} from (
+  select *, row_number() over (partition by any_id order by _ts_ms desc, _kafka_offset desc) as rn from bronze)
+where rn = 1 and _op <> 'd'"""
+)
+def delete_then_old_event(spark, sf_dir):
+    """Events that are older than the delete of their key arrive after it: the key stays away."""
+    layout, _ = _late_feed(
+        spark, sf_dir, F.col("offset") % 2 == 0, samples.EVENTS_WITH_BEFORE, deletes="apply"
+    )
+    return read_silver(spark, samples.EVENTS_WITH_BEFORE, layout).drop("_silver_updated_at")
+
+
 @query(FEED_SQL + f"select {EVENT_LIST}, _ts_ms as _version from {_newest_sql(_days('2024-01-01', '2024-01-31'))}")
 def silver_guard_then_plain(spark, sf_dir):
     """A plain run keeps the versions of a guarded one, so a guarded re-run of older days changes nothing."""
@@ -886,8 +952,14 @@ def ambiguous_match(spark, sf_dir):
     return _refused_merge(spark, sf_dir, live, "several source rows match the same target row")
 
 
+def _merge_sessions(spark, layout: Layout, rows: DataFrame) -> None:
+    session = ENTITIES["class_regular_session"]
+    stamped = rows.withColumn("_silver_updated_at", F.current_timestamp())
+    upsert_table(spark, layout.silver_path(session), stamped, ["id"], schema=session.silver_schema, on_duplicate="trust")
+
+
 def _silver_star(spark, sf_dir) -> Layout:
-    """The report's three silver tables, with the declared schemas."""
+    """The report's three silver tables, with the declared schemas. Sessions are merged, so that they can be merged into."""
     layout = Layout(paths.scratch_path(spark, "star"))
     inputs = {
         "class_regular_session_student": samples.session_students(spark, sf_dir),
@@ -900,7 +972,11 @@ def _silver_star(spark, sf_dir) -> Layout:
             (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in entity.silver_schema.fields
         ]
-        write_table(df.select(*columns), layout.silver_path(entity))
+        if name == "class_regular_session":
+            _merge_sessions(spark, layout, df.select(*columns))
+        else:
+            stamped = df.select(*columns).withColumn("_silver_updated_at", F.current_timestamp())
+            write_table(stamped, layout.silver_path(entity))
     return layout
 
 
@@ -920,6 +996,33 @@ def gold_job(spark, sf_dir):
     return read_table(spark, table.path, schema=table.schema).drop("_gold_updated_at")
 
 
+@query(
+    f"""
+with moved as (
+  select o_orderkey, o_custkey, cast(o_orderdate as date) as old_date,
+         cast(o_orderdate as date) + case when cast(o_orderdate as date) between date '{JANUARY[0]}' and date '{JANUARY[1]}' then 31 else 0 end as learn_date
+  from orders),
+reached as (select distinct learn_date from moved where learn_date <> old_date)
+select learn_date, l_suppkey as student_id, cast(l_orderkey as varchar) as class_regular_session_id, c_name as study_program
+from lineitem join moved on o_orderkey = l_orderkey left join customer on c_custkey = o_custkey
+where l_returnflag in ('A', 'R') and learn_date in (select learn_date from reached)"""
+)
+def gold_after_move(spark, sf_dir):
+    """January's sessions are moved by a month after its report was made: their rows move, and none is left behind."""
+    layout = _silver_star(spark, sf_dir)
+    build_gold_report(spark, layout, *JANUARY, date_filter="where", statuses=samples.STATUSES)
+    build_gold_changes(spark, layout, adopt=True)
+    session = ENTITIES["class_regular_session"]
+    silver = read_silver(spark, session, layout)
+    moved = sessions_between(silver, *JANUARY).withColumn(
+        "learn_date", F.date_format(F.date_add("learn_date", 31), "yyyyMMdd").cast("int")
+    )
+    _merge_sessions(spark, layout, moved)
+    build_gold_changes(spark, layout, statuses=samples.STATUSES)
+    table = layout.report_table()
+    return read_table(spark, table.path, schema=table.schema).drop("_gold_updated_at")
+
+
 @query(
     f"""
 select learn_date, student_id, cast(class_regular_session_id as varchar) as class_regular_session_id, study_program

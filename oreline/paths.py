@@ -42,10 +42,17 @@ def child_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def child_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly under ``path``, sorted."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isFile())
+
+
 def has_files(spark: SparkSession, path: str) -> bool:
     """Whether data files lie directly under ``path``; names with ``_`` or ``.`` in front are not data."""
-    fs, p = _fs(spark, path)
-    return fs.exists(p) and any(s.isFile() and s.getPath().getName()[0] not in "_." for s in fs.listStatus(p))
+    return any(name[0] not in "_." for name in child_files(spark, path))
 
 
 def partition_columns(spark: SparkSession, path: str) -> list[str]:
@@ -57,31 +64,11 @@ def partition_columns(spark: SparkSession, path: str) -> list[str]:
     return found
 
 
-def touch(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    fs.create(p).close()
-
-
-def modified(spark: SparkSession, path: str) -> float:
-    """When a file was last written, in seconds since 1970."""
-    fs, p = _fs(spark, path)
-    return fs.getFileStatus(p).getModificationTime() / 1000
-
-
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
 
 
-def replace(spark: SparkSession, path: str, target: str) -> None:
-    """Move a folder to ``target``, in the place of what is there."""
-    fs, p = _fs(spark, path)
-    _, t = _fs(spark, target)
-    fs.delete(t, True)
-    if not fs.rename(p, t):
-        raise OSError(f"cannot move {path} to {target}")
-
-
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, for staged and checkpointed data.
 

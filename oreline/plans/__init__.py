@@ -1,4 +1,4 @@
-from oreline.plans.jobs import build_gold_report, build_silver, ingest_bronze, run_window
+from oreline.plans.jobs import build_gold_changes, build_gold_report, build_silver, ingest_bronze, run_window
 from oreline.plans.report import student_session_report
 
-__all__ = ["build_gold_report", "build_silver", "ingest_bronze", "run_window", "student_session_report"]
+__all__ = ["build_gold_changes", "build_gold_report", "build_silver", "ingest_bronze", "run_window", "student_session_report"]

@@ -14,9 +14,14 @@ from pyspark.sql.streaming import StreamingQuery
 from oreline.functions.dates import YYYYMMDD, as_date
 from oreline.functions.envelope import stamp, to_bronze
 from oreline.operators.changes import read_changes, silver_changes
+from oreline.plans.propagate import Inputs, affected_dates
+from oreline.plans.removed import remember_removed, removed_schema, without_removed
 from oreline.plans.report import booking_report, session_details
 from oreline.sinks.catalog import ensure_table
-from oreline.sinks.tables import staged, upsert_table
+from oreline.sinks.cursors import add_marks, read_marks
+from oreline.sinks.tables import finish, replace_partitions, staged, upsert_table
+from oreline.sources.batches import Folder, batch_folders, highest, last_commit, read_batches
+from oreline.sources.batches import unseen as pick_unseen
 from oreline.sources.streams import read_cdc_stream
 from oreline.sources.tables import read_table, table_exists
 from oreline.spec import (
@@ -72,6 +77,10 @@ def ingest_bronze(
     )
 
 
+#: How long the key of a deleted row is remembered.
+REMEMBERED = dt.timedelta(days=30)
+
+
 def build_silver(
     spark: SparkSession,
     entity: EntitySpec,
@@ -81,14 +90,58 @@ def build_silver(
     deletes: str = "drop",
     guard: bool = False,
     register: bool = False,
+    unseen: bool = False,
+    remembered: dt.timedelta = REMEMBERED,
 ) -> int:
     """Merge the changes of a date window into an entity's silver table.
 
     Returns the number of keys merged. ``deletes="apply"`` removes keys whose
     newest event is a delete; ``guard=True`` keeps the event time as
-    ``_version`` and never replaces a row by an older one.
+    ``_version`` and never replaces a row by an older one. With both, the keys of
+    removed rows are kept with their versions for the time ``remembered``, so that
+    an older event does not bring them back.
+
+    ``unseen=True`` takes, instead of a window, the batches of the log that no such
+    run has merged before, whatever their event dates: late events need no run of
+    their own. A late event may be older than the row it meets, which ``guard`` is for.
     """
-    start, end = run_window(start, end)
+    folders: list[Folder] = []
+    if unseen:
+        if start or end:
+            raise ValueError("unseen batches have no window")
+        if layout.fmt != "parquet":
+            raise ValueError(f"batches are not kept apart in format {layout.fmt}")
+        log, cursor = layout.bronze_path(entity), layout.cursor_path(entity.name)
+        folders = pick_unseen(
+            batch_folders(spark, log), read_marks(spark, cursor), last_commit(spark, layout.checkpoint_path(entity))
+        )
+        if not folders:
+            return 0
+        changes = read_batches(spark, log, entity, folders)
+        span = f"{len(folders)} batch folders"
+    else:
+        start, end = run_window(start, end)
+        bronze_schema = entity.bronze_schema if layout.fmt == "parquet" else None
+        changes = read_changes(spark, layout.bronze_path(entity), start, end, bronze_schema, layout.fmt)
+        span = f"{start} to {end}"
+    merged = _merge_changes(spark, entity, layout, changes, deletes, guard, remembered)
+    if unseen:
+        add_marks(spark, cursor, highest(folders))
+    logger.info("silver %s, %s: %d keys", entity.name, span, merged)
+    if register:
+        ensure_table(spark, layout.silver_table(entity))
+    return merged
+
+
+def _merge_changes(
+    spark: SparkSession,
+    entity: EntitySpec,
+    layout: Layout,
+    changes: DataFrame,
+    deletes: str,
+    guard: bool,
+    remembered: dt.timedelta,
+) -> int:
     schema = entity.silver_schema
     _create_first(spark, layout, layout.silver_table(entity))
     # A table that a guarded run has versioned stays versioned, or a later guard would let older rows in.
@@ -97,33 +150,38 @@ def build_silver(
         schema = T.StructType(
             [*schema.fields[:-1], T.StructField(VERSION, T.LongType()), schema.fields[-1]]
         )
-    bronze_schema = entity.bronze_schema if layout.fmt == "parquet" else None
-    changes = read_changes(spark, layout.bronze_path(entity), start, end, bronze_schema, layout.fmt)
     source = stamp(silver_changes(changes, entity, deletes, keep_version=versioned), "_silver_updated_at")
-    merged = upsert_table(
-        spark,
-        layout.silver_path(entity),
-        source,
-        [entity.key],
-        schema=schema,
-        not_null=[entity.key],
-        on_duplicate="trust" if layout.fmt == "parquet" else "error",
-        guard=VERSION if guard else None,
-        delete_when=F.col("_op") == "d" if deletes == "apply" else None,
-        buckets=entity.buckets,
-        fmt=layout.fmt,
-    )
-    logger.info("silver %s, %s to %s: %d keys", entity.name, start, end, merged)
-    if register:
-        ensure_table(spark, layout.silver_table(entity))
-    return merged
+
+    def merge(rows: DataFrame) -> int:
+        return upsert_table(
+            spark,
+            layout.silver_path(entity),
+            rows,
+            [entity.key],
+            schema=schema,
+            not_null=[entity.key],
+            on_duplicate="trust" if layout.fmt == "parquet" else "error",
+            guard=VERSION if guard else None,
+            delete_when=F.col("_op") == "d" if deletes == "apply" else None,
+            parts=entity.parts,
+            fmt=layout.fmt,
+        )
+
+    if not guard or layout.fmt != "parquet":
+        return merge(source)
+    with staged(source, "silver-changes") as rows:
+        removed = layout.removed_path(entity)
+        if deletes == "apply":
+            # Remembered before they are removed: a job that is lost in between removes them when it runs again.
+            remember_removed(spark, removed, entity, rows, remembered)
+        return merge(without_removed(spark, removed, entity, rows))
 
 
 def _stored_columns(spark: SparkSession, layout: Layout, path: str) -> list[str]:
-    """Columns of a Parquet table as it is, by one footer; none if it is yet to be made."""
+    """Columns of a Parquet table as it is, in any of its folders; none if it is yet to be made."""
     if layout.fmt != "parquet" or not table_exists(spark, path):
         return []
-    return read_table(spark, path).columns
+    return read_table(spark, path, merge_schema=True).columns
 
 
 def _create_first(spark: SparkSession, layout: Layout, table: TableSpec) -> None:
@@ -192,3 +250,60 @@ def build_gold_report(
     if register:
         ensure_table(spark, table)
     return merged
+
+
+#: Name of the report's marks among the cursors.
+REPORT_CURSOR = "student_session_report"
+
+
+def build_gold_changes(
+    spark: SparkSession,
+    layout: Layout,
+    date_encoding: str = YYYYMMDD,
+    statuses=REPORT_STATUSES,
+    register: bool = False,
+    adopt: bool = False,
+) -> list[dt.date]:
+    """Bring the gold table up to date with silver; returns the learn dates that were recomputed.
+
+    Instead of a window, whatever silver merged since the last such run decides: the dates that its changes
+    reach, old and new, are recomputed whole and replaced, so a session that was moved leaves no row on the
+    date it had. Bookings without a session have no date and are left out; undated rows that
+    ``build_gold_report`` wrote stay. The first run recomputes every date. A removed session is known if
+    silver was merged with ``guard`` and ``deletes="apply"``; a removed booking is not, as
+    the report does not carry its key: recompute its date with ``build_gold_report``, or merge deletes as a status.
+
+    ``adopt=True`` recomputes nothing: it takes the gold table, as windowed runs left it, for up to date with silver,
+    and later runs go on from there.
+    """
+    if layout.fmt != "parquet":
+        raise ValueError(f"format {layout.fmt} replaces partitions by itself")
+    session, booking, program = (
+        ENTITIES[name] for name in ("class_regular_session", "class_regular_session_student", "study_program")
+    )
+    removed = layout.removed_path(session)
+    inputs = Inputs(
+        read_silver(spark, booking, layout),
+        read_silver(spark, session, layout),
+        read_silver(spark, program, layout),
+        read_table(spark, removed, schema=removed_schema(session)) if table_exists(spark, removed) else None,
+    )
+    table, cursor = layout.report_table(), layout.cursor_path(REPORT_CURSOR)
+    if adopt:
+        add_marks(spark, cursor, inputs.newest())
+        return []
+    finish(spark, table.path)
+    # Taken first: what is merged while this runs is above these marks and belongs to the next run.
+    newest = inputs.newest()
+    there = read_table(spark, table.path, schema=table.schema) if table_exists(spark, table.path) else None
+    dates = affected_dates(inputs, there, read_marks(spark, cursor), date_encoding)
+    if dates:
+        details = session_details(inputs.sessions, inputs.programs, dates[0], dates[-1], date_encoding)
+        with staged(details.filter(F.col(REPORT_PARTITION).isin(dates)), "session-details") as sized:
+            report = stamp(booking_report(inputs.bookings, sized, statuses, "where"), "_gold_updated_at")
+            replace_partitions(report, table.path, REPORT_PARTITION, [str(day) for day in dates])
+    add_marks(spark, cursor, newest)
+    logger.info("gold report: %d dates recomputed", len(dates))
+    if register:
+        ensure_table(spark, table)
+    return dates

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from oreline import paths
-from oreline.sources.tables import current_path
 from oreline.spec import TableSpec
 
 
@@ -13,16 +12,16 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def create_table_sql(spec: TableSpec, location: str | None = None) -> str:
+def create_table_sql(spec: TableSpec) -> str:
     columns = ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in spec.schema.fields
     )
     parts = [f"CREATE TABLE IF NOT EXISTS {spec.qualified} ({columns}) USING {spec.fmt}"]
     if spec.partition_by:
         parts.append(f"PARTITIONED BY ({', '.join(f'`{c}`' for c in spec.partition_by)})")
-    if spec.buckets:
-        parts.append(f"CLUSTERED BY ({', '.join(f'`{c}`' for c in spec.bucket_by)}) INTO {spec.buckets} BUCKETS")
-    parts.append(f"LOCATION {_quoted(location or spec.path)}")
+    if spec.dealt:
+        parts.append("OPTIONS ('recursiveFileLookup' = 'true')")
+    parts.append(f"LOCATION {_quoted(spec.path)}")
     if spec.properties:
         pairs = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in spec.properties.items())
         parts.append(f"TBLPROPERTIES ({pairs})")
@@ -34,16 +33,11 @@ def ensure_database(spark: SparkSession, name: str) -> None:
 
 
 def ensure_table(spark: SparkSession, spec: TableSpec) -> None:
-    """Create the external table if it is missing and bring it up to date: point
-    it at the current snapshot, or register partitions written by path."""
+    """Create the external table if it is missing, and register partitions written by path."""
     ensure_database(spark, spec.database)
-    location = current_path(spark, spec.path) if spec.fmt == "parquet" else spec.path
-    existed = spark.catalog.tableExists(spec.qualified)
-    spark.sql(create_table_sql(spec, location))
+    spark.sql(create_table_sql(spec))
     if spec.fmt != "parquet":
         return
-    if existed and location != spec.path:
-        spark.sql(f"ALTER TABLE {spec.qualified} SET LOCATION {_quoted(location)}")
     if spec.partition_by and paths.exists(spark, spec.path):
         # SYNC also forgets partitions that compaction has folded away.
         spark.sql(f"MSCK REPAIR TABLE {spec.qualified} SYNC PARTITIONS")

@@ -12,19 +12,19 @@ from pyspark.sql.types import StructType
 from oreline import paths
 from oreline.functions.dates import as_date
 from oreline.operators.changes import read_changes
-from oreline.sinks.tables import staged, write_snapshot, write_table
+from oreline.sinks.cursors import read_marks
+from oreline.sinks.tables import finish, staged, write_table
 from oreline.sources.tables import (
-    current_path,
     date_in_range,
+    key_column,
+    key_parts,
     partition_values,
     read_date_range,
     read_table,
-    snapshot_buckets,
-    snapshots,
 )
 from oreline.spec import BATCH, EVENT_DATE, EntitySpec
+from oreline.sources.batches import COMPACTED, batch_folders, highest, split_label
 
-COMPACTED = "compacted"
 RECORD_ID = ("_kafka_topic", "_kafka_partition", "_kafka_offset")
 
 
@@ -40,22 +40,19 @@ def compact(
 
     ``predicate`` may only use partition columns: whole partitions are replaced.
     AQE sizes the files: it merges small pieces and splits an oversized
-    partition. An unpartitioned snapshot table is rewritten as a new snapshot.
+    partition. A table dealt to folders by its key needs no ``partition_by``.
 
     ``dates`` limits the work to a range of the first partition column: only those
     folders are listed and opened. ``schema`` must name all columns; without it
     they come from the footers of what is read.
     """
     if not partition_by:
-        if not snapshots(spark, path):
-            raise ValueError("an unpartitioned table must be in snapshots to be compacted in place")
-        now = current_path(spark, path)
-        if snapshot_buckets(now):
-            raise ValueError("a bucketed table has one file per bucket already")
-        write_snapshot(read_table(spark, path).hint("rebalance"), path)
-        return
-
-    options = {"schema": schema, "merge_schema": schema is None, "text_partitions": True}
+        if not (parts := key_parts(spark, path)):
+            raise ValueError("only a partitioned table, or one dealt by its key, can be compacted in place")
+        finish(spark, path)
+        partition_by = [key_column(parts)]
+
+    options = {"schema": schema, "merge_schema": schema is None, "text_partitions": True, "dealt_column": True}
     if dates is not None:
         df = read_date_range(spark, path, partition_by[0], *dates, **options)
     else:
@@ -66,19 +63,13 @@ def compact(
         write_table(packed, path, "overwrite_partitions", partition_by)
 
 
-def _batch_folders(spark: SparkSession, path: str, start: dt.date, end: dt.date) -> list[tuple[str, str]]:
-    """(event date, batch) folder names of the window."""
-    days = [f"{EVENT_DATE}={day}" for day in partition_values(spark, path, EVENT_DATE) if date_in_range(day, start, end)]
-    batches = paths.side_by_side(lambda day: paths.child_dirs(spark, f"{path}/{day}"), days)
-    return [(day, batch) for day, own in zip(days, batches) for batch in own]
-
-
 def compact_log(
     spark: SparkSession,
     path: str,
     entity: EntitySpec,
     start: str | dt.date,
     end: str | dt.date,
+    cursor: str | None = None,
 ) -> int:
     """Fold the micro-batch folders of a range of event dates into one per date.
 
@@ -87,30 +78,33 @@ def compact_log(
     The newest batch of each ingest stays as it is: a restarted stream replays
     at most that one. Between the publish and the clean-up a reader may see a
     row twice, never miss one; silver's newest-per-key step is immune to that.
-    Returns the number of folders folded.
+    ``cursor`` is the table of a consumer's marks: once it has some, batches that it has
+    yet to take keep their folders. Returns the number of folders folded.
     """
     start, end = as_date(start), as_date(end)
-    folders = _batch_folders(spark, path, start, end)
-    newest: dict[str, str] = {}
-    for _, folder in folders:
-        run, _, _ = (batch := folder.partition("=")[2]).rpartition("-")
-        newest[run] = max(batch, newest.get(run, batch))
+    days = [day for day in partition_values(spark, path, EVENT_DATE) if date_in_range(day, start, end)]
+    folders = batch_folders(spark, path, days)
+    marks = read_marks(spark, cursor) if cursor else {}
+    # The last batch of each ingest that may be folded.
+    last = {run: number - 1 for run, number in highest(folders).items() if run}
+    if marks:
+        last = {run: min(number, marks.get(run, -1)) for run, number in last.items()}
 
     def closed(batch: str) -> bool:
-        return batch != COMPACTED and batch != newest[batch.rpartition("-")[0]]
+        label = split_label(batch)
+        return label is not None and label[1] <= last[label[0]]
 
-    old = [(day, folder) for day, folder in folders if closed(folder.partition("=")[2])]
+    old = [(day, batch) for day, batch in folders if closed(batch)]
     if not old:
         return 0
 
     batch = F.col(BATCH)
     selected = batch == COMPACTED
-    for run, last in newest.items():
-        if run:
-            selected = selected | (batch.startswith(f"{run}-") & (batch < last))
+    for run, number in last.items():
+        selected = selected | (batch.startswith(f"{run}-") & (batch <= f"{run}-{number:010d}"))
     rows = read_changes(spark, path, start, end, entity.bronze_schema).filter(selected)
     folded = rows.dropDuplicates(list(RECORD_ID)).withColumn(BATCH, F.lit(COMPACTED)).hint("rebalance", EVENT_DATE)
     with staged(folded, "compact-log", [EVENT_DATE, BATCH], keep_on_error=True) as packed:
         write_table(packed, path, "overwrite_partitions", [EVENT_DATE, BATCH])
-    paths.side_by_side(lambda one: paths.delete(spark, f"{path}/{one[0]}/{one[1]}"), old)
+    paths.side_by_side(lambda one: paths.delete(spark, f"{path}/{EVENT_DATE}={one[0]}/{BATCH}={one[1]}"), old)
     return len(old)

@@ -1,10 +1,8 @@
-"""Writing tables: appends, snapshots and table-level upserts."""
+"""Writing tables: appends and table-level upserts."""
 
 from __future__ import annotations
 
-import datetime as dt
 import logging
-import time
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -15,26 +13,22 @@ from pyspark.sql.types import DateType, StructType
 
 from oreline import paths
 from oreline.operators.upsert import check_not_null, upsert
-from oreline.sinks.catalog import create_table_sql
 from oreline.sources.tables import (
-    COMMITTED,
-    commit_file,
-    current_path,
+    UNDATED,
+    key_column,
+    key_parts,
     read_date_range,
     read_table,
-    snapshot_buckets,
-    snapshot_name,
-    snapshot_number,
-    snapshots,
     table_exists,
 )
-from oreline.spec import TableSpec
 
 logger = logging.getLogger("oreline.tables")
 
-#: How long a snapshot that was replaced stays: longer than any reader or job runs.
-RETAIN = dt.timedelta(hours=24)
 _DATED = "_dated"
+#: Where a merge puts the complete rows of the partitions it is about to replace.
+PENDING = "_pending"
+#: Folders that a table without a partition column is dealt to, where nothing else is said.
+PARTS = 16
 
 
 def write_table(
@@ -62,61 +56,51 @@ def write_table(
     writer.save(path)
 
 
-def _next_snapshot(spark: SparkSession, path: str, buckets: int = 0) -> str:
-    taken = [snapshot_number(name) or 0 for name in paths.child_dirs(spark, path)]
-    return f"{path}/{snapshot_name(max(taken, default=0) + 1, buckets)}"
+def publish(df: DataFrame, path: str, partition_by: str) -> list[str]:
+    """Replace the partitions of ``df`` in the table; returns their folder names.
 
-
-def write_snapshot(df: DataFrame, path: str, bucket_by: Sequence[str] = (), buckets: int = 0) -> str:
-    """Write the whole table as its next snapshot.
-
-    Readers switch when the commit file appears. Those that are still on an
-    earlier snapshot keep their files for ``RETAIN`` after it was replaced.
+    ``df`` may read what it replaces: its rows are complete in a folder of their own, which readers
+    of the table skip, before the first old file goes. Partitions are replaced one after the other; a
+    driver that is lost meanwhile leaves that folder, and the next merge begins with ``finish``.
     """
     spark = df.sparkSession
-    target = _next_snapshot(spark, path, buckets)
-    if buckets:
-        # No shuffle if df comes out of a merge into a table bucketed alike.
-        aligned = df.repartition(buckets, *bucket_by)
-        name = _passing_name()
-        aligned.write.bucketBy(buckets, *bucket_by).option("path", target).mode("error").saveAsTable(name)
-        spark.sql(f"DROP TABLE {name}")
-    else:
-        write_table(df, target, mode="error")
-    paths.touch(spark, f"{target}/{COMMITTED}")
-    found = snapshots(spark, path)
-    for old, following in zip(found, found[1:]):
-        if time.time() - paths.modified(spark, commit_file(spark, following)) >= RETAIN.total_seconds():
-            paths.delete(spark, old)
-    return target
+    pending = f"{path}/{PENDING}"
+    # The marker says that the rows are complete, whatever the cluster's default for it is.
+    marked = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "true"}
+    df.hint("rebalance", partition_by).write.options(**marked).partitionBy(partition_by).parquet(pending)
+    written = [name for name in paths.child_dirs(spark, pending) if "=" in name]
+    finish(spark, path)
+    return written
 
 
-def _passing_name() -> str:
-    return f"oreline_{uuid.uuid4().hex}"
+def replace_partitions(df: DataFrame, path: str, partition_by: str, values: Sequence[str]) -> None:
+    """Make the rows of ``df`` all there is in the partitions of ``values``; one without rows goes."""
+    spark = df.sparkSession
+    written = publish(df, path, partition_by)
+    emptied = {_folder(partition_by, value) for value in values} - set(written)
+    paths.side_by_side(
+        lambda name: paths.delete(spark, f"{path}/{name}"), emptied & set(paths.child_dirs(spark, path))
+    )
 
 
-@contextmanager
-def bucketed(spark: SparkSession, path: str, schema: StructType, bucket_by: Sequence[str]) -> Iterator[DataFrame]:
-    """A bucketed snapshot, read so that the planner knows its distribution.
+def finish(spark: SparkSession, path: str) -> None:
+    """Put a merge's complete rows in their place, also if an earlier attempt was stopped half-way.
 
-    Bucketing is known to the catalog only, so the files get a passing external
-    table. Every scan of it must keep its buckets: the planner would drop them
-    from a scan that needs none itself, and with that the alignment of the union
-    the scan is part of.
+    Writing them again changes nothing. Rows that are not complete are dropped: nothing had been replaced yet.
     """
-    option = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
-    before = spark.conf.get(option)
-    database = spark.catalog.currentDatabase()
-    spec = TableSpec(
-        database, _passing_name(), schema, path, bucket_by=tuple(bucket_by), buckets=snapshot_buckets(path)
-    )
-    spark.sql(create_table_sql(spec))
-    spark.conf.set(option, "false")
-    try:
-        yield spark.table(spec.qualified)
-    finally:
-        spark.conf.set(option, before)
-        spark.sql(f"DROP TABLE {spec.qualified}")
+    pending = f"{path}/{PENDING}"
+    if not paths.exists(spark, pending):
+        return
+    if paths.exists(spark, f"{pending}/_SUCCESS"):
+        columns = paths.partition_columns(spark, pending)
+        if columns:
+            rows = read_table(spark, pending, text_partitions=True, dealt_column=True)
+            write_table(rows, path, "overwrite_partitions", columns)
+    paths.delete(spark, pending)
+
+
+def _passing_name() -> str:
+    return f"oreline_{uuid.uuid4().hex}"
 
 
 @contextmanager
@@ -160,23 +144,26 @@ def upsert_table(
     evolve: bool = False,
     guard: str | None = None,
     delete_when: Column | None = None,
-    buckets: int = 0,
+    expired: Column | None = None,
+    parts: int = PARTS,
     fmt: str = "parquet",
 ) -> int:
     """Merge ``source`` into the table at ``path``; returns the source row count.
 
-    An empty source changes nothing. See ``upsert`` for the row semantics. An
-    unpartitioned table gets a new snapshot; in a table partitioned by a column
-    of the match condition only the partitions the source touches are rewritten.
+    An empty source changes nothing. See ``upsert`` for the row semantics. Only the
+    partitions that the source touches are read and rewritten: those of ``partition_by``,
+    a column of the match condition, or else of the hash of ``keys``, which deals
+    a new table to ``parts`` folders (an existing one stays as it was dealt). Rows with a
+    NULL key match nothing and are appended to a folder of their own.
     ``schema`` declares the table's columns; others that the table has are kept
-    as they are. Without it all columns come from the footers. ``buckets`` keeps
-    an unpartitioned table hash-bucketed by ``keys``: a merge then moves the source
-    to the buckets and leaves the table where it is. One writer per table at a time.
+    as they are. Without it all columns come from the footers. ``expired`` is a condition
+    on the table's rows: those leave a dealt table when their folder is rewritten.
+    One writer per table at a time.
     """
     if evolve:
         schema = None  # the table may have columns its declaration does not
     if fmt != "parquet":
-        if null_safe or evolve or guard or delete_when is not None or on_duplicate != "error":
+        if null_safe or evolve or guard or delete_when is not None or expired is not None or on_duplicate != "error":
             raise ValueError(f"only the plain merge is available for format {fmt}")
         with staged(source, "upsert-source") as rows:
             count = rows.count()
@@ -185,11 +172,8 @@ def upsert_table(
             return count
     if partition_by and partition_by not in [*keys, *match_also]:
         raise ValueError("partition_by must be part of the match condition")
-    if partition_by and buckets:
-        raise ValueError("a table is either partitioned or bucketed")
-    if partition_by and delete_when is not None:
-        # Overwriting partitions cannot remove one that loses its last row.
-        raise ValueError("delete_when is not available for a partitioned table")
+    if partition_by and (delete_when is not None or expired is not None):
+        raise ValueError("delete_when and expired are not available for a partitioned table")
 
     options = {
         "keys": keys,
@@ -206,79 +190,141 @@ def upsert_table(
         flagged = source.withColumn(_DATED, F.col(partition_by).isNotNull())
         with staged(flagged, "upsert-source", [_DATED]) as rows:
             return _upsert_partitions(spark, path, rows, partition_by, schema, not_null, options)
-    with staged(source, "upsert-source") as rows:
-        count = rows.count()  # answered from the file footers
-        if count:
-            # What the table holds has passed this check when it was a source.
-            rows = check_not_null(rows, not_null)
-            if buckets:
-                rows = rows.repartition(buckets, *keys)
-            with _current(spark, path, rows, schema, delete_when, keys, buckets) as target:
-                null_keys = not set(keys) <= set(not_null)
-                write_snapshot(upsert(target, rows, null_keys=null_keys, **options), path, keys, buckets)
-        return count
+    own = key_parts(spark, path)
+    if not own and table_exists(spark, path):
+        raise RuntimeError(f"{path} was not written by a merge: move it away and merge its rows into a new table")
+    part = key_column(own or parts)
+    with staged(source.withColumn(part, _part_of(keys, own or parts)), "upsert-source") as rows:
+        return _upsert_dealt(spark, path, rows, part, schema, not_null, options, expired)
 
 
-@contextmanager
-def _current(
+def _part_of(keys: Sequence[str], parts: int) -> Column:
+    """The folder of a key; none if any of its columns is NULL."""
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    # As text, so that a key keeps its folder when its type is widened.
+    return F.when(~missing, F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(parts)).cast("int"))
+
+
+def _upsert_dealt(
     spark: SparkSession,
     path: str,
     rows: DataFrame,
+    part: str,
     schema: StructType | None,
-    delete_when: Column | None,
-    keys: Sequence[str],
-    buckets: int,
-) -> Iterator[DataFrame]:
-    target = _target(spark, path, rows, schema, delete_when)
-    now = current_path(spark, path)
-    if buckets and snapshot_buckets(now) == buckets:
-        with bucketed(spark, now, target.schema, keys) as aligned:
-            yield aligned
-    else:
-        yield target
+    not_null: Sequence[str],
+    options: dict,
+    expired: Column | None,
+) -> int:
+    finish(spark, path)
+    keys, null_safe = options["keys"], options["null_safe"]
+    # A row per folder at most.
+    counts = {row[part]: row["count"] for row in rows.groupBy(part).count().collect()}
+    if not counts:
+        return 0
+    # What the table holds has passed this check when it was a source.
+    rows = check_not_null(rows, not_null)
+    undealt = rows.filter(F.col(part).isNull())
+    if None in counts and set(keys) & set(not_null):
+        # These rows are written last; what is wrong with them must show before anything is replaced.
+        undealt.write.format("noop").mode("overwrite").save()
+    touched = {_folder(part, value) for value in counts if value is not None or null_safe}
+    matchable = rows if null_safe else rows.filter(F.col(part).isNotNull())
+    if touched:
+        there = [name for name in paths.child_dirs(spark, path) if name in touched]
+        target = _dealt_target(spark, path, there, matchable.drop(part), schema, options["delete_when"])
+        if expired is not None:
+            target = target.filter(~F.coalesce(expired, F.lit(False)))
+        merged = upsert(target, matchable.drop(part), null_keys=False, **options)
+        dealt = merged.withColumn(part, _part_of(keys, int(part.rpartition("_")[2])))
+        replace_partitions(dealt, path, part, [str(value) for value in counts if value is not None])
+    if None in counts and not null_safe:
+        # NULL equals nothing: these rows are inserts whatever the table holds.
+        delete_when = options["delete_when"]
+        if delete_when is not None:
+            undealt = undealt.filter(~F.coalesce(delete_when, F.lit(False))).drop(
+                *[c for c in ["_op"] if schema is None or "_op" not in schema.names]
+            )
+        write_table(undealt, path, "append", [part])
+    return sum(counts.values())
 
 
-def _target(
+def read_touched(
+    spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], schema: StructType
+) -> DataFrame | None:
+    """The folders of a dealt table that keys of ``rows`` belong to; None if there are none."""
+    finish(spark, path)
+    parts = key_parts(spark, path)
+    if not parts:
+        return None
+    column = key_column(parts)
+    touched = rows.select(_part_of(keys, parts).alias(column)).distinct().collect()
+    names = {_folder(column, row[0]) for row in touched}
+    folders = [f"{path}/{name}" for name in paths.child_dirs(spark, path) if name in names]
+    return read_table(spark, path, schema=schema, folders=folders) if folders else None
+
+
+def _folder(column: str, value: object) -> str:
+    return f"{column}={UNDATED if value is None else value}"
+
+
+def _dealt_target(
     spark: SparkSession,
     path: str,
+    folders: Sequence[str],
     rows: DataFrame,
     schema: StructType | None,
     delete_when: Column | None,
-    within: tuple | None = None,
 ) -> DataFrame:
-    """The table as it is; an empty one if it is yet to be made. ``within`` is a
-    partition column, the values of it that matter, and whether NULL does too."""
-    if table_exists(spark, path):
-        # What is not read here would be missing from the rewritten files, so the
-        # table's own columns count, declared or not: those of one footer in a
-        # snapshot, whose files are alike, else of all files that are rewritten.
-        mixed = not snapshots(spark, path)
-        options = {"schema": None, "merge_schema": mixed, "text_partitions": True}
-        if within is None:
-            if schema is not None:
-                own = read_table(spark, path, **options).schema
-                options = {"schema": _with_declared(own, schema), "text_partitions": True}
-            return read_table(spark, path, **options)
-        column, values, with_null = within
-        kind = rows.schema[column].dataType
-        if isinstance(kind, DateType) and values:
-            dates = {"with_undated": with_null, "days": set(values)}
-            picked = read_date_range(spark, path, column, min(values), max(values), **dates, **options)
-            if schema is not None:
-                options = {"schema": _with_declared(picked.schema, schema), "text_partitions": True}
-                picked = read_date_range(spark, path, column, min(values), max(values), **dates, **options)
-            return picked.withColumn(column, F.col(column).cast(kind))
-        target = read_table(spark, path, **options).withColumn(column, F.col(column).cast(kind))
-        wanted = F.col(column).isin(values) if values else F.lit(False)
-        return target.filter(wanted | F.col(column).isNull() if with_null else wanted)
+    """The touched folders of a dealt table as they are, with the columns of all their files."""
+    if not folders:
+        return _nothing(spark, rows, schema, delete_when)
+    where = {"folders": [f"{path}/{name}" for name in folders]}
+    own = read_table(spark, path, merge_schema=True, **where).schema
+    columns = own if schema is None else _with_declared(own, schema)
+    return read_table(spark, path, schema=columns, **where)
+
+
+def _nothing(
+    spark: SparkSession, rows: DataFrame, schema: StructType | None, delete_when: Column | None = None
+) -> DataFrame:
+    """A table that is yet to be made. Known to be empty at planning time, so the merge plan reduces to the source."""
     if schema is None:
         schema = rows.schema
         if delete_when is not None:
             schema = StructType([f for f in schema.fields if f.name != "_op"])
-    # Known to be empty at planning time, so the merge plan reduces to the source.
     return spark.range(1).limit(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def _target(
+    spark: SparkSession,
+    path: str,
+    rows: DataFrame,
+    schema: StructType | None,
+    within: tuple,
+) -> DataFrame:
+    """The touched partitions as they are. ``within`` is the partition column, the values of it
+    that matter, and whether NULL does too."""
+    if not table_exists(spark, path):
+        return _nothing(spark, rows, schema)
+    # What is not read here would be missing from the rewritten files, so the
+    # table's own columns count, declared or not: those of all files that are rewritten.
+    options = {"schema": None, "merge_schema": True, "text_partitions": True}
+    column, values, with_null = within
+    kind = rows.schema[column].dataType
+    if isinstance(kind, DateType) and values:
+        dates = {"with_undated": with_null, "days": set(values)}
+        picked = read_date_range(spark, path, column, min(values), max(values), **dates, **options)
+        if schema is not None:
+            options = {"schema": _with_declared(picked.schema, schema), "text_partitions": True}
+            picked = read_date_range(spark, path, column, min(values), max(values), **dates, **options)
+        return picked.withColumn(column, F.col(column).cast(kind))
+    target = read_table(spark, path, **options).withColumn(column, F.col(column).cast(kind))
+    wanted = F.col(column).isin(values) if values else F.lit(False)
+    return target.filter(wanted | F.col(column).isNull() if with_null else wanted)
+
+
 def _with_declared(own: StructType, declared: StructType) -> StructType:
     """The table's own columns, in the declared type where there is one, then declared ones it lacks."""
     types = {f.name: f for f in declared.fields}
@@ -295,6 +341,7 @@ def _upsert_partitions(
     not_null: Sequence[str],
     options: dict,
 ) -> int:
+    finish(spark, path)
     partition = F.col(partition_by)
     dated_count, count = rows.agg(F.count(partition), F.count(F.lit(1))).first()
     if count == 0:
@@ -308,8 +355,8 @@ def _upsert_partitions(
         # As many values as the merge makes folders. With them the target is cut to the
         # touched partitions when the scan is planned: no join on a column of few values.
         touched = [row[0] for row in rows.filter(_DATED).select(partition_by).distinct().collect()]
-        target = _target(spark, path, matchable, schema, None, (partition_by, touched, null_safe))
-        _replace_partitions(upsert(target, matchable, **options), path, partition_by)
+        target = _target(spark, path, matchable, schema, (partition_by, touched, null_safe))
+        publish(upsert(target, matchable, **options), path, partition_by)
 
     if count > dated_count and not null_safe:
         # NULL equals nothing: these rows are inserts whatever the table holds.
@@ -317,30 +364,6 @@ def _upsert_partitions(
     return count
 
 
-def _replace_partitions(df: DataFrame, path: str, partition_by: str) -> None:
-    """Put the partitions of ``df`` in the place of the table's own.
-
-    They are written once, to a folder in the table's that readers skip, so ``df`` may
-    read what it replaces: the first old file goes away when all new ones are complete.
-    Each partition is then moved. If that stops half-way, the folder stays: what is
-    still in it has to be moved to finish the job.
-    """
-    spark = df.sparkSession
-    folder = f"{path}/_merge-{uuid.uuid4().hex}"
-    try:
-        write_table(df.hint("rebalance", partition_by), folder, "error", [partition_by])
-    except Exception:
-        paths.delete(spark, folder)
-        raise
-    try:
-        for name in paths.child_dirs(spark, folder):
-            paths.replace(spark, f"{folder}/{name}", f"{path}/{name}")
-    except Exception:
-        logger.error("the partitions that are still to be moved are in %s", folder)
-        raise
-    paths.delete(spark, folder)
-
-
 def _merge_into(rows: DataFrame, table: str, match: Sequence[str]) -> None:
     """MERGE in a table format that has row-level operations of its own."""
     on = " AND ".join(f"target.{c} = source.{c}" for c in match)

@@ -15,68 +15,32 @@ from oreline.functions.dates import as_date
 
 UNDATED = "__HIVE_DEFAULT_PARTITION__"
 
-COMMITTED = "_COMMITTED"
+# A table without a partition column of its own is dealt to folders by the hash of its key. The
+# folder names state how many there are, so a table stays as it was dealt whatever is declared later.
+_DEALT = re.compile(r"_key_of_(\d+)$")
+_OLD_SNAPSHOT = re.compile(r"snapshot-\d+")
 
-_SNAPSHOT = re.compile(r"snapshot-(\d+)(?:-b(\d+))?$")
 
+def key_column(parts: int) -> str:
+    """Partition column of a table dealt to ``parts`` folders by its key."""
+    return f"_key_of_{parts}"
 
-def snapshot_name(number: int, buckets: int = 0) -> str:
-    return f"snapshot-{number:08d}" + (f"-b{buckets}" if buckets else "")
 
-
-def snapshot_number(path: str) -> int | None:
-    found = _SNAPSHOT.search(path)
-    return int(found[1]) if found else None
-
-
-def snapshot_buckets(path: str) -> int:
-    """How many buckets a snapshot was written in; 0 for none."""
-    found = _SNAPSHOT.search(path)
-    return int(found[2] or 0) if found else 0
-
-
-def snapshots(spark: SparkSession, path: str) -> list[str]:
-    """Complete snapshots of a table, oldest first.
-
-    The writer adds a commit file of its own after the job, so a folder left by a
-    failed or running write is never taken for a snapshot, whether or not the
-    cluster has Spark write its ``_SUCCESS`` marker.
-    """
-    return [f"{path}/{name}" for name in numbered(spark, path) if commit_file(spark, f"{path}/{name}")]
-
-
-def numbered(spark: SparkSession, path: str) -> list[str]:
-    return [name for name in paths.child_dirs(spark, path) if snapshot_number(name) is not None]
-
-
-def commit_file(spark: SparkSession, snapshot: str) -> str | None:
-    """The file that says a snapshot is complete; older ones have only Spark's marker."""
-    for name in (COMMITTED, "_SUCCESS"):
-        if paths.exists(spark, f"{snapshot}/{name}"):
-            return f"{snapshot}/{name}"
-    return None
-
-
-def current_path(spark: SparkSession, path: str) -> str:
-    """Where the table's current files are: its newest snapshot, or ``path``."""
-    found = snapshots(spark, path)
-    return found[-1] if found else path
+def key_parts(spark: SparkSession, path: str) -> int:
+    """How many folders a table is dealt to by its key; 0 if it is not dealt."""
+    for name in paths.child_dirs(spark, path):
+        if found := _DEALT.match(name.partition("=")[0]):
+            return int(found[1])
+    return 0
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a committed write has ever put data under ``path``.
-
-    Numbered folders without a single commit file are an error: taking the table
-    for new would start it over from nothing.
-    """
-    if snapshots(spark, path):
-        return True
-    if left := numbered(spark, path):
-        raise RuntimeError(f"{path} has snapshots but none is committed: {left}; remove them if the table is new")
+    """Whether a committed write has ever put data under ``path``."""
+    folders = paths.child_dirs(spark, path)
+    if any(_OLD_SNAPSHOT.match(name) for name in folders):
+        raise RuntimeError(f"{path} is in numbered snapshots, which are no longer read: write its newest one anew")
     return (
-        paths.exists(spark, f"{path}/_SUCCESS")
-        or any("=" in name for name in paths.child_dirs(spark, path))
-        or paths.has_files(spark, path)
+        paths.exists(spark, f"{path}/_SUCCESS") or any("=" in name for name in folders) or paths.has_files(spark, path)
     )
 
 
@@ -88,9 +52,12 @@ def read_table(
     merge_schema: bool = False,
     text_partitions: bool = False,
     folders: list[str] | None = None,
+    dealt_column: bool = False,
 ) -> DataFrame:
     """Read a table by path.
 
+    The column that a table is dealt to folders by is no column of the result, unless ``dealt_column``.
+
     Give ``schema`` where it is known: files written before a column existed
     then read it as NULL without any footer being opened for inference.
     ``merge_schema=True`` finds the union of all file schemas instead, which
@@ -105,11 +72,15 @@ def read_table(
             reader = reader.schema(columns)
         elif merge_schema:
             reader = reader.option("mergeSchema", "true")
+        if dealt:
+            # Values are taken from the files alone, so the folders' column does not come up.
+            return reader.option("recursiveFileLookup", "true").load(folders or path)
         if folders:
             return reader.option("basePath", path).load(folders)
-        return reader.load(current_path(spark, path) if fmt == "parquet" else path)
+        return reader.load(path)
 
-    if not text_partitions:
+    dealt = not dealt_column and fmt == "parquet" and key_parts(spark, path) > 0
+    if dealt or not text_partitions:
         return load(schema)
     # Declared as text they are not inferred; a setting would change what other threads of the session read.
     own = paths.partition_columns(spark, path)

@@ -75,9 +75,9 @@ class EntitySpec:
 
     ``meta`` lists the envelope fields kept in bronze. ``before_key`` also keeps
     the key of the ``before`` image, which is the only place a delete event
-    carries its key; it is needed for ``deletes="apply"``. ``buckets`` stores
-    silver hash-bucketed by the key, so that merging into it shuffles the changes
-    but never the table; worth it once the table outgrows memory.
+    carries its key; it is needed for ``deletes="apply"``. ``parts`` is the number of
+    folders that silver is dealt to by the hash of its key when it is first written: a
+    merge rewrites those that it has keys for. A gigabyte each is a good size.
     """
 
     name: str
@@ -85,7 +85,7 @@ class EntitySpec:
     key: str = "id"
     meta: tuple[str, ...] = ("op", "ts_ms")
     before_key: bool = False
-    buckets: int = 0
+    parts: int = 16
     max_per_trigger: int = 50_000
     trigger: str = "60 seconds"
     starting_offsets: str = "earliest"
@@ -131,15 +131,17 @@ class EntitySpec:
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A catalog table: enough to render its DDL and to read it by path."""
+    """A catalog table: enough to render its DDL and to read it by path.
+
+    ``dealt`` tables lie in folders by the hash of their key, which is no column of theirs.
+    """
 
     database: str
     name: str
     schema: T.StructType
     path: str
     partition_by: tuple[str, ...] = ()
-    bucket_by: tuple[str, ...] = ()
-    buckets: int = 0
+    dealt: bool = False
     fmt: str = "parquet"
     properties: dict[str, str] = field(default_factory=dict, hash=False)
 
@@ -248,6 +250,14 @@ class Layout:
     def gold_path(self, name: str = REPORT_NAME) -> str:
         return self._path("gold", name)
 
+    def removed_path(self, entity: EntitySpec) -> str:
+        """Keys that deletes have taken out of silver."""
+        return self._path("silver", f"{entity.name}__removed")
+
+    def cursor_path(self, name: str) -> str:
+        """How far a consumer has come: an entity's silver job in its log, or the report in its inputs."""
+        return f"{self.root.rstrip('/')}/_cursors/{name}"
+
     def checkpoint_path(self, entity: EntitySpec) -> str:
         return f"{self.root.rstrip('/')}/_checkpoints/bronze.db/{entity.name}"
 
@@ -275,8 +285,7 @@ class Layout:
             self.table_prefix + entity.name,
             entity.silver_schema,
             self.silver_path(entity),
-            bucket_by=(entity.key,) if entity.buckets else (),
-            buckets=entity.buckets,
+            dealt=self.fmt == "parquet",
             fmt=self.fmt,
             properties={
                 "description": f"Silver current state: {entity.description or entity.name}",

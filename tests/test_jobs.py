@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from oreline import paths
 from oreline.__main__ import parse_args, run_job
 from oreline.functions import to_bronze
-from oreline.plans import build_gold_report, build_silver, ingest_bronze, run_window, student_session_report
+from oreline.plans import build_gold_changes, build_gold_report, build_silver, ingest_bronze, run_window, student_session_report
 from oreline.plans.jobs import read_silver
+from oreline.plans.removed import remember_removed
 from oreline.plans.report import sessions_between
-from oreline.sinks import compact_log, ensure_table
+from oreline.sinks import compact_log, ensure_table, tables
 from oreline.sources import read_cdc_stream, read_table
 from oreline.sources.streams import kafka_options
 from oreline.spec import BATCH, ENTITIES, STREAM_RECORD, EntitySpec, Layout
@@ -21,6 +22,7 @@ from oreline.streaming import append_bronze, run_until_stopped
 THING = EntitySpec("thing", "id string, n int", before_key=True)
 DAY = 86_400_000
 DAY_0 = 1_704_067_200_000  # 2024-01-01
+APRIL_2 = dt.date(2026, 4, 2)
 
 
 def message(op, day, key, n=None, spec_key="after"):
@@ -246,9 +248,9 @@ def test_silver_job_with_deletes_applied(spark, lake, topic):
     assert rows_of(read_silver(spark, THING, lake), "id", "n") == [("b", 2)]
 
 
-@pytest.mark.parametrize("buckets", [0, 4])
-def test_silver_job_with_guard(spark, lake, topic, buckets):
-    entity = EntitySpec("thing", THING.columns, buckets=buckets)
+@pytest.mark.parametrize("parts", [1, 4])
+def test_silver_job_with_guard(spark, lake, topic, parts):
+    entity = EntitySpec("thing", THING.columns, parts=parts)
     topic.send(message("c", 0, "a", 1), message("u", 1, "a", 2), message("c", 0, "b", 7))
     ingest(spark, lake, topic, entity)
     for day in ("2024-01-02", "2024-01-01"):
@@ -270,6 +272,230 @@ def test_late_event_needs_a_rerun_of_its_date(spark, lake, topic):
     assert rows_of(read_silver(spark, THING, lake), "id") == [("a",), ("late",)]
 
 
+def state(spark, lake):
+    return rows_of(read_silver(spark, THING, lake), "id", "n")
+
+
+def unseen(spark, lake, **options):
+    return build_silver(spark, THING, lake, guard=True, unseen=True, **options)
+
+
+def test_unseen_batches_are_merged_once_whatever_their_dates(spark, lake, topic):
+    topic.send(message("c", 5, "a", 1))
+    ingest(spark, lake, topic)
+    assert unseen(spark, lake) == 1 and unseen(spark, lake) == 0
+    # Late: one new key, one that is older than what silver has.
+    topic.send(message("c", 2, "late", 9), message("c", 1, "a", 0), "garbage")
+    topic.send(message("u", 3, "late", 10))
+    ingest(spark, lake, topic, files_per_trigger=1)
+    assert unseen(spark, lake) == 2
+    assert state(spark, lake) == [("a", 1), ("late", 10)]
+    assert unseen(spark, lake) == 0
+    with pytest.raises(ValueError):
+        build_silver(spark, THING, lake, "2024-01-01", unseen=True)
+
+
+def test_a_batch_that_is_not_committed_is_left_for_later(spark, lake, topic):
+    for n in (1, 2):
+        topic.send(message("c", n, f"k{n}", n))
+    ingest(spark, lake, topic, files_per_trigger=1)
+    commits = f"{lake.checkpoint_path(THING)}/commits"
+    last = max(int(name) for name in os.listdir(commits) if name.isdigit())
+    held = open(f"{commits}/{last}").read()
+    for name in (str(last), f".{last}.crc"):
+        if os.path.exists(f"{commits}/{name}"):
+            os.remove(f"{commits}/{name}")
+    assert unseen(spark, lake) == 1 and state(spark, lake) == [("k1", 1)]
+    with open(f"{commits}/{last}", "w") as f:
+        f.write(held)
+    assert unseen(spark, lake) == 1 and state(spark, lake) == [("k1", 1), ("k2", 2)]
+
+
+def test_unseen_batches_are_not_folded_away(spark, lake, topic):
+    for n in range(3):
+        topic.send(message("c", 0, f"a{n}", n))
+    ingest(spark, lake, topic, files_per_trigger=1)
+    path, cursor = lake.bronze_path(THING), lake.cursor_path("thing")
+    assert unseen(spark, lake) == 3
+    for n in range(3, 6):
+        topic.send(message("c", 0, f"a{n}", n))
+    ingest(spark, lake, topic, files_per_trigger=1)
+    assert compact_log(spark, path, THING, "2024-01-01", "2024-01-01", cursor) == 3
+    assert unseen(spark, lake) == 3
+    assert state(spark, lake) == [(f"a{n}", n) for n in range(6)]
+    # The newest stays; the others have been seen by now.
+    assert compact_log(spark, path, THING, "2024-01-01", "2024-01-01", cursor) == 2
+    assert unseen(spark, lake) == 0
+
+
+def test_folded_batches_count_on_the_first_run(spark, lake, topic):
+    for n in range(3):
+        topic.send(message("c", 0, f"a{n}", n))
+    ingest(spark, lake, topic, files_per_trigger=1)
+    compact_log(spark, lake.bronze_path(THING), THING, "2024-01-01", "2024-01-01")
+    assert unseen(spark, lake) == 3 and unseen(spark, lake) == 0
+
+
+def test_a_run_that_is_lost_before_its_mark_merges_again(spark, lake, topic, monkeypatch):
+    from oreline.plans import jobs
+
+    topic.send(message("c", 0, "a", 1), message("d", 1, "b"))
+    ingest(spark, lake, topic)
+
+    def lost(*_):
+        raise RuntimeError
+
+    monkeypatch.setattr(jobs, "add_marks", lost)
+    with pytest.raises(RuntimeError):
+        unseen(spark, lake, deletes="apply")
+    monkeypatch.undo()
+    assert unseen(spark, lake, deletes="apply") == 2 and state(spark, lake) == [("a", 1)]
+
+
+def test_removed_keys_stay_away_from_older_events(spark, lake, topic):
+    topic.send(message("c", 1, "a", 1), message("c", 1, "b", 1), message("d", 5, "a"), message("d", 5, "never"))
+    ingest(spark, lake, topic)
+    unseen(spark, lake, deletes="apply")
+    assert state(spark, lake) == [("b", 1)]
+    topic.send(message("u", 3, "a", 3), message("u", 5, "a", 5), message("u", 4, "never", 4), message("d", 2, "b"))
+    ingest(spark, lake, topic)
+    unseen(spark, lake, deletes="apply")
+    # Older, or as old; and a delete that is newer than b's row takes it, an older one would not.
+    assert state(spark, lake) == []
+    topic.send(message("c", 6, "a", 6), message("d", 5, "a"))
+    ingest(spark, lake, topic)
+    unseen(spark, lake, deletes="apply")
+    assert state(spark, lake) == [("a", 6)]
+    # A plain window run with a guard asks the same memory.
+    build_silver(spark, THING, lake, "2024-01-01", "2024-01-05", guard=True)
+    assert state(spark, lake) == [("a", 6)]
+
+
+def test_removed_keys_are_forgotten_after_a_while(spark, lake, topic):
+    topic.send(message("d", 5, "a"))
+    ingest(spark, lake, topic)
+    forget = {"deletes": "apply", "remembered": dt.timedelta(0)}
+    unseen(spark, lake, **forget)
+    removed = read_table(spark, lake.removed_path(THING))
+    assert rows_of(removed, "id") == [("a",)]
+    topic.send(message("d", 7, "a"), message("u", 3, "a", 3))
+    ingest(spark, lake, topic)
+    unseen(spark, lake, **forget)
+    assert rows_of(read_table(spark, lake.removed_path(THING)), "id", "_version") == [("a", DAY_0 + 7 * DAY)]
+
+
+SESSION, BOOKING, PROGRAM = (
+    ENTITIES[name] for name in ("class_regular_session", "class_regular_session_student", "study_program")
+)
+
+
+def merge_silver(spark, lake, entity, **columns):
+    """One row merged into a silver table, stamped as the job does it."""
+    row = [
+        (F.lit(columns.get(f.name)) if f.name != "_silver_updated_at" else F.current_timestamp()).cast(f.dataType).alias(f.name)
+        for f in entity.silver_schema.fields
+    ]
+    tables.upsert_table(spark, lake.silver_path(entity), spark.range(1).select(*row), ["id"], schema=entity.silver_schema)
+
+
+@pytest.fixture
+def reported(spark, lake):
+    """A session on the 2nd with two students, one on the 3rd with one, and their report."""
+    merge_silver(spark, lake, PROGRAM, id="p1", name="Maths")
+    merge_silver(spark, lake, SESSION, id="s1", learn_date=20260402, study_program_id="p1")
+    merge_silver(spark, lake, SESSION, id="s2", learn_date=20260403, study_program_id="p1")
+    for number, student, session in (("b1", 1, "s1"), ("b2", 2, "s1"), ("b3", 3, "s2")):
+        merge_silver(spark, lake, BOOKING, id=number, student_id=student, class_regular_session_id=session, status="SUCCESS")
+    assert build_gold_changes(spark, lake) == [APRIL_2, APRIL_2 + dt.timedelta(1)]
+    return lake
+
+
+def gold(spark, lake):
+    report = read_table(spark, lake.gold_path(), schema=lake.report_table().schema)
+    return sorted((r.learn_date.day, r.student_id, r.class_regular_session_id, r.study_program) for r in report.collect())
+
+
+REPORTED = [(2, 1, "s1", "Maths"), (2, 2, "s1", "Maths"), (3, 3, "s2", "Maths")]
+
+
+def days_of(dates):
+    return [d.day for d in dates]
+
+
+def test_nothing_changed(spark, reported):
+    assert gold(spark, reported) == REPORTED
+    before = sorted(os.listdir(f"{reported.gold_path()}/learn_date=2026-04-02"))
+    assert build_gold_changes(spark, reported) == []
+    assert sorted(os.listdir(f"{reported.gold_path()}/learn_date=2026-04-02")) == before
+
+
+def test_a_moved_session_leaves_no_row(spark, reported):
+    other = sorted(os.listdir(f"{reported.gold_path()}/learn_date=2026-04-03"))
+    merge_silver(spark, reported, SESSION, id="s1", learn_date=20260409, study_program_id="p1")
+    assert days_of(build_gold_changes(spark, reported)) == [2, 9]
+    assert gold(spark, reported) == [(3, 3, "s2", "Maths"), (9, 1, "s1", "Maths"), (9, 2, "s1", "Maths")]
+    assert not os.path.exists(f"{reported.gold_path()}/learn_date=2026-04-02")
+    assert sorted(os.listdir(f"{reported.gold_path()}/learn_date=2026-04-03")) == other
+
+
+def test_a_session_that_loses_its_date(spark, reported):
+    merge_silver(spark, reported, SESSION, id="s2", study_program_id="p1")
+    assert days_of(build_gold_changes(spark, reported)) == [3]
+    assert gold(spark, reported) == REPORTED[:2]
+
+
+def test_a_booking_that_moves_or_loses_its_status(spark, reported):
+    merge_silver(spark, reported, BOOKING, id="b1", student_id=1, class_regular_session_id="s2", status="SUCCESS")
+    merge_silver(spark, reported, BOOKING, id="b3", student_id=3, class_regular_session_id="s2", status="BOOKED")
+    assert days_of(build_gold_changes(spark, reported)) == [2, 3]
+    assert gold(spark, reported) == [(2, 2, "s1", "Maths"), (3, 1, "s2", "Maths")]
+
+
+def test_a_program_that_is_renamed(spark, reported):
+    merge_silver(spark, reported, PROGRAM, id="p1", name="Algebra")
+    assert days_of(build_gold_changes(spark, reported)) == [2, 3]
+    assert {r[3] for r in gold(spark, reported)} == {"Algebra"}
+
+
+def test_a_session_that_is_removed(spark, reported, tmp_path):
+    # As the silver job does it: remembered, then taken out.
+    gone = spark.createDataFrame([("s1", 1, "d")], "id string, _version long, _op string")
+    remember_removed(spark, reported.removed_path(SESSION), SESSION, gone, dt.timedelta(1))
+    tables.upsert_table(
+        spark, reported.silver_path(SESSION), gone.select("id", "_op"), ["id"], schema=SESSION.silver_schema,
+        delete_when=F.col("_op") == "d",
+    )
+    assert days_of(build_gold_changes(spark, reported)) == [2]
+    assert gold(spark, reported) == REPORTED[2:]
+
+
+def test_a_report_of_windows_is_adopted(spark, reported, tmp_path):
+    lake = Layout(reported.root)
+    build_gold_report(spark, lake, "2026-04-02", "2026-04-03", date_filter="where")
+    assert build_gold_changes(spark, lake, adopt=True) == [] == build_gold_changes(spark, lake)
+    merge_silver(spark, lake, SESSION, id="s2", learn_date=20260402, study_program_id="p1")
+    assert days_of(build_gold_changes(spark, lake)) == [2, 3]
+    assert [r[0] for r in gold(spark, lake)] == [2, 2, 2]
+
+
+def test_a_report_that_is_lost_half_way(spark, reported, monkeypatch):
+    merge_silver(spark, reported, SESSION, id="s1", learn_date=20260403, study_program_id="p1")
+    write = tables.write_table
+
+    def lost(df, target, mode="append", *rest, **options):
+        if mode == "overwrite_partitions":
+            paths.delete(spark, f"{reported.gold_path()}/learn_date=2026-04-03")
+            raise RuntimeError
+        write(df, target, mode, *rest, **options)
+
+    monkeypatch.setattr(tables, "write_table", lost)
+    with pytest.raises(RuntimeError):
+        build_gold_changes(spark, reported)
+    monkeypatch.undo()
+    assert days_of(build_gold_changes(spark, reported)) == [2, 3]
+    assert gold(spark, reported) == [(3, 1, "s1", "Maths"), (3, 2, "s1", "Maths"), (3, 3, "s2", "Maths")]
+
+
 def star(spark, hot=0):
     students = [(1, "s1", "SUCCESS"), (2, "s1", "ABSENT"), (3, "s2", "FAILED_STUDENT_NO_LEARNED"), (4, "s9", "SUCCESS"), (5, None, "SUCCESS")]
     students += [(100 + i, "s1", "SUCCESS") for i in range(hot)]
@@ -284,9 +510,6 @@ def star(spark, hot=0):
     )
 
 
-APRIL_2 = dt.date(2026, 4, 2)
-
-
 def test_report_keeps_bookings_without_a_session_in_range(spark):
     students, sessions, programs, grades = star(spark)
     report = student_session_report(students, sessions, programs, "2026-04-02", "2026-04-03")

@@ -10,10 +10,9 @@ from oreline import paths
 from oreline.operators import upsert
 from oreline.sinks import compact, ensure_table, upsert_table, write_table
 from oreline.sinks import tables
-from oreline.sinks.tables import bucketed, write_snapshot
 from oreline.sources import read_table, register_views
-from oreline.sources.tables import current_path, snapshots, table_exists
-from oreline.spec import ENTITIES, Layout, TableSpec, struct
+from oreline.sources.tables import key_parts, table_exists
+from oreline.spec import ENTITIES, Layout, struct
 
 SCHEMA = struct("id string, v int")
 
@@ -26,38 +25,134 @@ def part_files(path):
     return [f for _, _, names in os.walk(path) for f in names if f.startswith("part-")]
 
 
-def test_snapshots(spark, tmp_path, monkeypatch):
+def files_by_folder(path):
+    return {
+        name: sorted(f for f in os.listdir(f"{path}/{name}") if f.startswith("part-"))
+        for name in os.listdir(path)
+        if "=" in name
+    }
+
+
+def keyed(spark, low, high, v):
+    return spark.range(low, high).select(F.col("id").cast("string").alias("id"), F.lit(v).cast("int").alias("v"))
+
+
+def test_a_small_merge_leaves_the_other_folders_alone(spark, tmp_path):
     path = str(tmp_path / "t")
-    assert not table_exists(spark, path)
-    for n in range(4):
-        write_snapshot(frame(spark, [("a", n)]), path)
-        assert rows_of(read_table(spark, path)) == [("a", n)]
-    assert len(snapshots(spark, path)) == 4  # replaced ones stay for a day
-    monkeypatch.setattr(tables, "RETAIN", dt.timedelta(0))
-    write_snapshot(frame(spark, [("a", 4)]), path)
-    assert [os.path.basename(p) for p in snapshots(spark, path)] == ["snapshot-00000005"]
+    upsert_table(spark, path, keyed(spark, 0, 3000, 1), ["id"], parts=32)
+    before = files_by_folder(path)
+    assert len(before) == 32
+    # A thousandth of the keys.
+    upsert_table(spark, path, keyed(spark, 100, 103, 2), ["id"])
+    after = files_by_folder(path)
+    changed = {name for name in before if before[name] != after[name]}
+    assert 1 <= len(changed) <= 3 and set(after) == set(before)
+    got = read_table(spark, path)
+    assert got.columns == ["id", "v"]
+    assert got.groupBy("v").count().orderBy("v").collect() == [(1, 2997), (2, 3)]
+
+
+def test_a_table_stays_as_it_was_dealt(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert_table(spark, path, keyed(spark, 0, 100, 1), ["id"], parts=4)
+    upsert_table(spark, path, keyed(spark, 50, 150, 2), ["id"], parts=9)
+    assert key_parts(spark, path) == 4 and len(files_by_folder(path)) == 4
+    assert read_table(spark, path).groupBy("v").count().orderBy("v").collect() == [(1, 50), (2, 100)]
+    # A key that comes as a number belongs where its text does.
+    wide = keyed(spark, 0, 10, 3).withColumn("id", F.col("id").cast("long"))
+    upsert_table(spark, path, wide, ["id"], schema=SCHEMA)
+    assert read_table(spark, path, schema=SCHEMA).count() == 150
+
+
+def test_null_keys_are_inserted_by_every_merge(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for v in (1, 2):
+        assert upsert_table(spark, path, frame(spark, [("a", v), (None, v)]), ["id"]) == 2
+    assert rows_of(read_table(spark, path)) == sorted([("a", 2), (None, 1), (None, 2)], key=repr)
+    safe = str(tmp_path / "safe")
+    for v in (1, 2):
+        upsert_table(spark, safe, frame(spark, [("a", v), (None, v)]), ["id"], null_safe=True)
+    assert rows_of(read_table(spark, safe)) == sorted([("a", 2), (None, 2)], key=repr)
+
+
+def test_a_refused_merge_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert_table(spark, path, frame(spark, [("a", 1), ("b", 1)]), ["id"], not_null=["id"])
+    for rows, reason in (([("a", 2), (None, 2)], "NOT NULL"), ([("a", 2), ("b", 2), ("b", 3)], "several source rows")):
+        with pytest.raises(PySparkException, match=reason):
+            upsert_table(spark, path, frame(spark, rows), ["id"], not_null=["id"])
+        assert rows_of(read_table(spark, path)) == [("a", 1), ("b", 1)]
+
+
+def test_folders_that_lose_their_last_row_go(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = struct("id string, v int, _op string")
+    remove = {"delete_when": F.col("_op") == "d"}
+    rows = [(str(i), i, "u") for i in range(6)]
+    upsert_table(spark, path, frame(spark, rows, schema), ["id"], parts=64, **remove)
+    upsert_table(spark, path, frame(spark, [(k, None, "d") for k, _, _ in rows[1:]], schema), ["id"], **remove)
+    assert rows_of(read_table(spark, path)) == [("0", 0)]
+    assert len(files_by_folder(path)) == 1
 
 
-def test_tables_without_sparks_marker(spark, tmp_path):
-    """A cluster may keep Spark from writing _SUCCESS; the table's own commit file counts."""
+def test_expired_rows_leave_with_their_folder(spark, tmp_path):
     path = str(tmp_path / "t")
-    upsert_table(spark, path, frame(spark, [(str(i), i) for i in range(100)]), ["id"])
-    os.remove(f"{path}/snapshot-00000001/_SUCCESS")
-    upsert_table(spark, path, frame(spark, [("1", -1)]), ["id"])
-    assert read_table(spark, path).count() == 100
+    upsert_table(spark, path, keyed(spark, 0, 100, 1), ["id"], parts=2)
+    upsert_table(spark, path, keyed(spark, 100, 101, 2), ["id"], expired=F.col("v") < 2)
+    left = [len(names) for names in files_by_folder(path).values()]
+    assert len(left) == 2 and 0 < read_table(spark, path).filter("v = 1").count() < 100
 
-    plain = str(tmp_path / "plain")
-    frame(spark, [("a", 1)]).write.parquet(plain)
-    os.remove(f"{plain}/_SUCCESS")
-    assert table_exists(spark, plain)
 
+def test_tables_written_otherwise_are_refused(spark, tmp_path):
+    flat = str(tmp_path / "flat")
+    frame(spark, [("a", 1)]).write.parquet(flat)
+    os.remove(f"{flat}/_SUCCESS")
+    assert table_exists(spark, flat)
+    with pytest.raises(RuntimeError, match="not written by a merge"):
+        upsert_table(spark, flat, frame(spark, [("b", 2)]), ["id"])
+    old = str(tmp_path / "old")
+    frame(spark, [("a", 1)]).write.parquet(f"{old}/snapshot-00000001")
+    with pytest.raises(RuntimeError, match="numbered snapshots"):
+        upsert_table(spark, old, frame(spark, [("b", 2)]), ["id"])
 
-def test_uncommitted_snapshots_are_not_a_new_table(spark, tmp_path):
+
+class Lost(Exception):
+    """The driver goes away."""
+
+
+@pytest.mark.parametrize("moment", ["before", "between"])
+def test_a_lost_driver_loses_nothing(spark, tmp_path, monkeypatch, moment):
+    """The merge stops when its rows are complete: before the first partition goes, or when one is gone already."""
     path = str(tmp_path / "t")
-    frame(spark, [("a", 1)]).write.parquet(f"{path}/snapshot-00000001")
-    os.remove(f"{path}/snapshot-00000001/_SUCCESS")
-    with pytest.raises(RuntimeError, match="none is committed"):
-        upsert_table(spark, path, frame(spark, [("b", 2)]), ["id"])
+    merge_daily(spark, path, [("a", 1, 0), ("b", 2, 1), ("c", 3, 2)])
+    write = tables.write_table
+
+    def lost(df, target, mode="append", *rest, **options):
+        if mode == "overwrite_partitions":
+            if moment == "between":
+                paths.delete(spark, f"{path}/day={DAYS[0]}")
+            raise Lost
+        write(df, target, mode, *rest, **options)
+
+    monkeypatch.setattr(tables, "write_table", lost)
+    with pytest.raises(Lost):
+        merge_daily(spark, path, [("a", 10, 0), ("b", 20, 1)])
+    assert ("c", 3, 2) in read_daily(spark, path)  # readers skip what waits
+    monkeypatch.undo()
+    # The next merge, of something else, finishes the lost one first.
+    merge_daily(spark, path, [("c", 30, 2)])
+    assert read_daily(spark, path) == [("a", 10, 0), ("b", 20, 1), ("c", 30, 2)]
+    assert tables.PENDING not in paths.child_dirs(spark, path)
+
+
+def test_incomplete_rows_are_dropped(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert_table(spark, path, keyed(spark, 0, 10, 1), ["id"], parts=2)
+    keyed(spark, 0, 5, 9).write.parquet(f"{path}/{tables.PENDING}/_key_of_2=0")
+    os.remove(f"{path}/{tables.PENDING}/_key_of_2=0/_SUCCESS")
+    assert read_table(spark, path).count() == 10
+    upsert_table(spark, path, keyed(spark, 0, 5, 2), ["id"])
+    assert read_table(spark, path).groupBy("v").count().orderBy("v").collect() == [(1, 5), (2, 5)]
 
 
 def test_columns_beyond_the_declared_ones_stay(spark, tmp_path):
@@ -65,7 +160,8 @@ def test_columns_beyond_the_declared_ones_stay(spark, tmp_path):
     declared = frame(spark, []).schema
     upsert_table(spark, path, frame(spark, [("a", 1), ("b", 2)]).withColumn("note", F.lit("x")), ["id"])
     upsert_table(spark, path, frame(spark, [("b", 3), ("c", 4)]), ["id"], schema=declared)
-    assert rows_of(read_table(spark, path), "id", declared.names[1], "note") == [("a", 1, "x"), ("b", 3, "x"), ("c", 4, None)]
+    whole = read_table(spark, path, merge_schema=True)
+    assert rows_of(whole, "id", declared.names[1], "note") == [("a", 1, "x"), ("b", 3, "x"), ("c", 4, None)]
 
     parted = str(tmp_path / "parted")
     merge_daily(spark, parted, [("a", 1, 0)])
@@ -87,25 +183,6 @@ def test_merge_statement_names_its_own_source(spark, monkeypatch):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("oreline_")]
 
 
-def test_an_unfinished_snapshot_is_ignored(spark, tmp_path):
-    path = str(tmp_path / "t")
-    write_snapshot(frame(spark, [("a", 1)]), path)
-    frame(spark, [("a", 2)]).write.parquet(f"{path}/snapshot-00000002")
-    os.remove(f"{path}/snapshot-00000002/_SUCCESS")
-    assert rows_of(read_table(spark, path)) == [("a", 1)]
-    write_snapshot(frame(spark, [("a", 3)]), path)
-    assert current_path(spark, path).endswith("snapshot-00000003")
-
-
-def test_a_reader_of_the_previous_snapshot_finishes(spark, tmp_path):
-    path = str(tmp_path / "t")
-    write_snapshot(frame(spark, [("a", 1)]), path)
-    reader = read_table(spark, path)
-    upsert_table(spark, path, frame(spark, [("a", 2)]), ["id"])
-    assert rows_of(reader) == [("a", 1)]
-    assert rows_of(read_table(spark, path)) == [("a", 2)]
-
-
 def test_upsert_table(spark, tmp_path):
     path = str(tmp_path / "t")
     assert upsert_table(spark, path, frame(spark, []), ["id"]) == 0
@@ -113,8 +190,9 @@ def test_upsert_table(spark, tmp_path):
     assert upsert_table(spark, path, frame(spark, [("a", 1), ("b", 2)]), ["id"]) == 2
     assert upsert_table(spark, path, frame(spark, [("b", 20), ("c", 30)]), ["id"]) == 2
     assert rows_of(read_table(spark, path)) == [("a", 1), ("b", 20), ("c", 30)]
+    before = files_by_folder(path)
     assert upsert_table(spark, path, frame(spark, []), ["id"]) == 0
-    assert len(snapshots(spark, path)) == 2
+    assert files_by_folder(path) == before
     with pytest.raises(PySparkException, match="several source rows"):
         upsert_table(spark, path, frame(spark, [("b", 1), ("b", 2)]), ["id"])
     with pytest.raises(PySparkException, match="NOT NULL"):
@@ -133,7 +211,7 @@ def test_upsert_table_with_deletes_and_new_columns(spark, tmp_path):
     upsert_table(spark, path, frame(spark, [("a", None, "d"), ("c", 3, "c")], schema), ["id"], delete_when=remove)
     assert rows_of(read_table(spark, path)) == [("b", 2), ("c", 3)]
     upsert_table(spark, path, frame(spark, [("c", 4, "x")], struct("id string, v int, w string")), ["id"], evolve=True)
-    assert rows_of(read_table(spark, path)) == [("b", 2, None), ("c", 4, "x")]
+    assert rows_of(read_table(spark, path, merge_schema=True), "id", "v", "w") == [("b", 2, None), ("c", 4, "x")]
 
 
 DAYS = [dt.date(2024, 1, d) for d in range(1, 6)]
@@ -200,66 +278,28 @@ def test_invalid_table_options(spark, tmp_path):
         upsert_table(spark, path, source, ["id"], partition_by="day")
     with pytest.raises(ValueError, match="partitioned"):
         upsert_table(spark, path, source, ["id", "day"], partition_by="day", delete_when=F.col("v") == 1)
-    with pytest.raises(ValueError, match="bucketed"):
-        upsert_table(spark, path, source, ["id", "day"], partition_by="day", buckets=2)
     with pytest.raises(ValueError, match="plain merge"):
         upsert_table(spark, path, source, ["id"], guard="v", fmt="delta")
 
 
-@pytest.mark.parametrize("options", [{}, {"not_null": ["id"], "on_duplicate": "trust"}, {"guard": "v"}])
-@pytest.mark.parametrize("threshold", ["10MB", "-1"])
-def test_bucketed_table_job_shuffles_only_the_source(spark, tmp_path, monkeypatch, threshold, options):
-    from oreline.sinks import tables
-
-    path = str(tmp_path / "t")
-    upsert_table(spark, path, frame(spark, [(str(i), 1) for i in range(100)]), ["id"], buckets=4, **options)
-    plans, write = [], tables.write_snapshot
-    monkeypatch.setattr(
-        tables, "write_snapshot", lambda df, *a: (plans.append(plan_of(df.repartition(4, "id"))), write(df, *a))
-    )
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    try:
-        upsert_table(spark, path, frame(spark, [(str(i), 2) for i in range(50, 150)]), ["id"], buckets=4, **options)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    (plan,) = plans
-    assert plan.splitlines()[1].startswith("+- Union"), plan
-    assert read_table(spark, path).groupBy("v").count().orderBy("v").collect() == [(1, 50), (2, 100)]
-
-
-@pytest.mark.parametrize("threshold", ["10MB", "-1"])
-def test_bucketed_merge_never_shuffles_the_table(spark, tmp_path, threshold):
-    path = str(tmp_path / "t")
-    keyed = lambda low, high, v: spark.range(low, high).select(
-        F.col("id").cast("string").alias("id"), F.lit(v).cast("int").alias("v")
-    )
-    upsert_table(spark, path, keyed(0, 1000, 1), ["id"], buckets=4)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    try:
-        with bucketed(spark, current_path(spark, path), SCHEMA, ["id"]) as table:
-            source = keyed(500, 1500, 2).repartition(4, "id")
-            for options in ({}, {"on_duplicate": "trust"}, {"guard": "v"}):
-                merged = upsert(table, source, ["id"], **options).repartition(4, "id")
-                plan = plan_of(merged)
-                # Every exchange sits on the source: between a table scan and the
-                # top of the plan there is none.
-                assert plan.splitlines()[1].startswith("+- Union"), plan
-                assert "Bucketed: false" not in plan
-        upsert_table(spark, path, keyed(500, 1500, 2), ["id"], buckets=4)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    got = read_table(spark, path)
-    assert got.groupBy("v").count().orderBy("v").collect() == [(1, 500), (2, 1000)]
-    assert len(part_files(current_path(spark, path))) == 4
-    assert spark.sql("show tables").filter("tableName like 'oreline%'").count() == 0
+@pytest.mark.parametrize("options", [{}, {"on_duplicate": "trust"}, {"guard": "v"}])
+def test_a_small_source_is_merged_without_a_shuffle_of_the_table(spark, tmp_path, monkeypatch, options):
+    path, plans, files = str(tmp_path / "t"), [], []
+    upsert_table(spark, path, keyed(spark, 0, 1000, 1), ["id"], parts=8, **options)
+    publish = tables.publish
 
+    def watched(df, *rest):
+        plans.append(plan_of(df))
+        files.extend(df.inputFiles())
+        return publish(df, *rest)
 
-def test_changing_the_bucket_count(spark, tmp_path):
-    path = str(tmp_path / "t")
-    rows = [(str(i), i) for i in range(50)]
-    for buckets in (0, 4, 2, 0):
-        upsert_table(spark, path, frame(spark, rows), ["id"], buckets=buckets)
-        assert rows_of(read_table(spark, path)) == sorted(rows)
+    monkeypatch.setattr(tables, "publish", watched)
+    few = keyed(spark, 5, 6, 2)
+    upsert_table(spark, path, few, ["id"], **options)
+    (plan,) = plans
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert len({f.split("/")[-2] for f in files if f"{path}/" in f}) == 1
+    assert read_table(spark, path).groupBy("v").count().orderBy("v").collect() == [(1, 999), (2, 1)]
 
 
 def test_compaction(spark, tmp_path):
@@ -271,10 +311,15 @@ def test_compaction(spark, tmp_path):
     assert read_daily(spark, path) == before
     assert [len(part_files(f"{path}/day={DAYS[d]}")) for d in range(3)] == [1, 1, 4]
     state = str(tmp_path / "s")
-    write_snapshot(frame(spark, [(str(i), i) for i in range(100)]).repartition(8), state)
+    upsert_table(spark, state, keyed(spark, 0, 100, 1), ["id"], parts=2)
+    for _ in range(3):
+        for file in spark.read.parquet(f"{state}/_key_of_2=1").inputFiles():
+            spark.read.parquet(file).limit(1).write.mode("append").parquet(f"{state}/_key_of_2=1")
+    rows = read_table(spark, state).count()
+    assert [len(names) for names in files_by_folder(state).values()] != [1, 1]
     compact(spark, state)
-    assert len(part_files(current_path(spark, state))) == 1
-    assert read_table(spark, state).count() == 100
+    assert [len(names) for names in files_by_folder(state).values()] == [1, 1]
+    assert read_table(spark, state).count() == rows and key_parts(spark, state) == 2
     with pytest.raises(ValueError):
         compact(spark, path)
 
@@ -323,38 +368,18 @@ def test_a_failed_swap_keeps_the_complete_rows(spark, tmp_path):
     assert not [d for d in paths.child_dirs(spark, folder) if d.startswith("gone-test")]
 
 
-def test_a_failed_move_keeps_the_merged_partitions(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "t")
-    merge_daily(spark, path, [("a", 1, 0), ("b", 2, 1)])
-    move, moved = paths.replace, []
-
-    def once(spark, source, target):
-        if moved:
-            raise OSError("gone")
-        moved.append(target)
-        move(spark, source, target)
-
-    monkeypatch.setattr(paths, "replace", once)
-    with pytest.raises(OSError):
-        merge_daily(spark, path, [("a", 10, 0), ("b", 20, 1)])
-    # One partition is new, the other as before; its rows wait beside it, unseen.
-    assert read_daily(spark, path) == [("a", 10, 0), ("b", 2, 1)]
-    (left,) = [d for d in paths.child_dirs(spark, path) if d.startswith("_merge-")]
-    assert [(r.id, r.v) for r in spark.read.parquet(f"{path}/{left}").collect()] == [("b", 20)]
-
-
 @pytest.mark.parametrize("threshold", ["-1", "1m"])
 def test_partitioned_merge_never_shuffles_the_table_by_date(spark, tmp_path, monkeypatch, threshold):
     path, plans, files = str(tmp_path / "t"), [], []
     merge_daily(spark, path, [("a", 1, 0), ("b", 2, 2), ("c", 3, 4)])
-    replace = tables._replace_partitions
+    publish = tables.publish
 
     def watched(df, *rest):
         plans.append(plan_of(df))
         files.extend(df.inputFiles())
-        replace(df, *rest)
+        return publish(df, *rest)
 
-    monkeypatch.setattr(tables, "_replace_partitions", watched)
+    monkeypatch.setattr(tables, "publish", watched)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
         merge_daily(spark, path, [("a", 10, 0), ("e", 5, 4)])
@@ -398,16 +423,6 @@ def test_catalog_tables_follow_the_data(spark, tmp_path):
     assert spark.sql("select study_program from gold.t1_student_session_report where learn_date = '2024-01-01'").collect() == [("p",)]
 
 
-def test_bucketed_catalog_table(spark, tmp_path):
-    spec = TableSpec("default", "bucketed_t", SCHEMA, str(tmp_path / "t"), bucket_by=("id",), buckets=4)
-    upsert_table(spark, spec.path, frame(spark, [(str(i), i) for i in range(100)]), ["id"], buckets=4)
-    ensure_table(spark, spec)
-    found = spark.table("default.bucketed_t").filter("id = '7'")
-    assert rows_of(found) == [("7", 7)]
-    described = {r.col_name: r.data_type for r in spark.sql("describe extended default.bucketed_t").collect()}
-    assert described["Num Buckets"] == "4"
-
-
 def test_views(spark):
     register_views(spark, {"one": frame(spark, [("a", 1)]), "two": frame(spark, [("a", 2)])})
     assert spark.sql("select one.v + two.v s from one join two using (id)").collect() == [(3,)]
