@@ -20,6 +20,7 @@ import itertools
 import json
 import math
 import os
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,6 +49,25 @@ MEMO_WORDS, MEMO_CHARS = 400_000, 48
 #: Pieces handed on at once.
 WHOLE_ROWS = 256
 
+#: Words that are encoded as one text, which costs half of encoding each by itself.
+JOINED = 200
+
+_LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
+# What a byte is: 0 white space, 1 letter or digit, 2 a mark that a word may be cut at, 3 anything else.
+_MARKS = b".,;:!?"
+_KINDS = np.array([0 if b == 0x20 or 0x09 <= b <= 0x0D else 2 if b in _MARKS else 1 if b < 128 and chr(b).isalnum() else 3 for b in range(256)], np.uint8)
+_TOKENS = 1 << 21
+#: Terms of a seed that are looked up, and neighbours that are ranked, as "more like this" searches have them.
+QUERY_TERMS, NEIGHBOURS = 32, 64
+K1, B = 1.2, 0.75
+#: Bytes of text that are encoded together; a longer text is taken whole.
+CHUNK_BYTES = 8 << 20
+#: Words remembered by one Python worker, and the longest that is remembered.
+MEMO_WORDS, MEMO_CHARS = 400_000, 48
+
+#: Pieces handed on at once.
+WHOLE_ROWS = 256
+
 _BLANK = bytes(0x20 if b == 0x20 or 0x09 <= b <= 0x0D else b for b in range(256))
 _TOKENS = "doc_id {id}, row long, first_window long, doc_tokens long, ids binary"
 _TAILS = "doc_id {id}, row long, start long, doc_tokens long, shard long, place long, ids binary"
@@ -58,7 +78,8 @@ def splits_at_blanks(spec: dict) -> bool:
     """Whether a tokenizer's ids of a text are those of its words, one after the other.
 
     So if its normalizer looks at single characters (white space, case) or composes, which white space has
-    no part in, and its pre-tokenizer takes matches that never hold white space, and nothing between them.
+    no part in, and its pre-tokenizer takes matches that never hold white space, nor a letter or digit next to
+    one of the marks that words are cut at, and nothing between them.
     """
     import regex
 
@@ -73,8 +94,9 @@ def splits_at_blanks(spec: dict) -> bool:
     if first["behavior"] != "Removed" or not first["invert"] or "Regex" not in first["pattern"]:
         return False
     added = [t["content"] for t in spec.get("added_tokens") or []]
-    matches = regex.findall(first["pattern"]["Regex"], "a b\t1\n!\r's \x0b-\x0c ")
-    return not any(any(c.isspace() for c in m) for m in [*matches, *added])
+    matches = regex.findall(first["pattern"]["Regex"], "a b\t1\n!\r's \x0b-\x0c a.b 1,2 c;! ?d 'll:m")
+    mixed = regex.compile(r"\s|[A-Za-z0-9][.,;:!?]|[.,;:!?][A-Za-z0-9]")
+    return not any(mixed.search(m) for m in [*matches, *added])
 
 
 class Encoder:
@@ -84,20 +106,46 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        spec = json.loads(definition)
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.by_word = splits_at_blanks(json.loads(definition))
-        self.memo: dict[str, list[int]] = {}
+        self.by_word = splits_at_blanks(spec)
+        normalizer = spec.get("normalizer") or {}
+        self.lowers = any(s.get("type") == "Lowercase" for s in normalizer.get("normalizers", [normalizer]))
+        # Which ids end a word, where the vocabulary says so.
+        suffix = spec["model"].get("end_of_word_suffix")
+        vocabulary = spec["model"]["vocab"]
+        self.ends = np.zeros(1 + max([END, *vocabulary.values(), *(t["id"] for t in spec.get("added_tokens") or [])]), bool)
+        if suffix:
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self.memo: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _flat(self, words: list[str]) -> list[list[int]]:
+    def _joined(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words of letters: each is one match of the pre-tokenizer, so it has one id that ends it."""
+        for at in range(0, len(words), JOINED):
+            part = words[at : at + JOINED]
+            ids = np.array(self._encode([" ".join(part)])[0], np.uint32)
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(part):
+                yield from (ids[a:b].tobytes() for a, b in zip([0, *stops[:-1]], stops))
+            else:
+                yield from self._single(part)
+
+    def _single(self, words: list[str]) -> Iterator[bytes]:
+        return (np.array(ids, np.uint32).tobytes() for ids in self._encode(words))
+
+    def _words(self, words: list[str]) -> list[bytes]:
         new = [w for w in words if w not in self.memo]
-        fresh = dict(zip(new, self._encode(new)))
-        if len(self.memo) + len(new) <= MEMO_WORDS:
-            self.memo.update((w, ids) for w, ids in fresh.items() if len(w) <= MEMO_CHARS)
+        plain = [w for w in new if w.isalpha() and w == w.lower() and unicodedata.is_normalized("NFC", w)]
+        fresh = dict(zip(plain, self._joined(plain)))
+        other = [w for w in new if w not in fresh]
+        fresh.update(zip(other, self._single(other)))
+        room = MEMO_WORDS - len(self.memo)
+        self.memo.update(itertools.islice(((w, ids) for w, ids in fresh.items() if len(w) <= MEMO_CHARS), max(0, room)))
         return [fresh[w] if w in fresh else self.memo[w] for w in words]
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -107,25 +155,30 @@ class Encoder:
             return np.fromiter(itertools.chain.from_iterable(lists), np.uint32), np.cumsum([len(x) for x in lists])
         offsets, data = _buffers(texts)
         bounds = offsets - offsets[0]
-        own = np.frombuffer(data[offsets[0] : offsets[-1]].tobytes().translate(_BLANK), np.uint8)
-        own = np.insert(own, bounds[1:], 0x20)
+        raw = data[offsets[0] : offsets[-1]].tobytes()
+        if self.lowers and b"<" not in raw:
+            # Not where a special token may stand: their case counts.
+            raw = raw.translate(_LOWER)
+        own = np.insert(np.frombuffer(raw, np.uint8), bounds[1:], 0x20)
         bounds = bounds + np.arange(len(bounds))
-        solid = np.zeros(len(own) + 1, bool)
-        np.not_equal(own, 0x20, out=solid[1:])
-        edges = np.flatnonzero(solid[1:] != solid[:-1]).astype(np.int64)
-        if not len(edges):
+        kinds = _KINDS[own]
+        before, after = np.insert(kinds, 0, 0), np.append(kinds, 0)
+        cuts = np.flatnonzero((before != after) & ((before == 0) | (after == 0) | (before + after == 3))).astype(np.int64)
+        if not len(cuts):
             return np.full(len(texts), END, np.uint32), np.arange(1, len(texts) + 1)
-        both = pa.LargeStringArray.from_buffers(len(edges) - 1, pa.py_buffer(edges), pa.py_buffer(own))
-        words = both.take(pa.array(np.arange(0, len(edges) - 1, 2))).dictionary_encode()
-        code, lists = np.asarray(words.indices).astype(np.int64), self._flat(words.dictionary.to_pylist())
-        flat = np.fromiter(itertools.chain.from_iterable(lists), np.uint32)
-        size = np.array([len(x) for x in lists], np.int64)
+        # Everything between two cuts as one array of texts, of which white space is left out.
+        both = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(own))
+        taken = np.flatnonzero(kinds[cuts[:-1]])
+        words = both.take(pa.array(taken)).dictionary_encode()
+        code, lists = np.asarray(words.indices).astype(np.int64), self._words(words.dictionary.to_pylist())
+        flat = np.frombuffer(b"".join(lists), np.uint32)
+        size = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
         begin = np.cumsum(size) - size
         count = size[code]
         ends = np.cumsum(count)
         ids = flat[np.repeat(begin[code] - (ends - count), count) + np.arange(ends[-1])]
         # A text's ids end where those of its last word do.
-        last = np.searchsorted(edges[::2], bounds[1:])
+        last = np.searchsorted(cuts[taken], bounds[1:])
         stops = np.concatenate([[0], ends])[last]
         return np.insert(ids, stops, END), stops + np.arange(1, len(stops) + 1)
 

@@ -44,9 +44,22 @@ ODD_TEXTS = [
     "x" * 9000,
     "word " * 9000,
     "''s 't'll--''  'RE",
+    "it's, IT'S. a.'s ,'s',s x'.s 3.14 1,000;two:three!?four \u2014, \u00e9,\u00e9 e\u0301.e n.\u0303 (a)b",
+    "lower and UPPER <|ENDOFTEXT|> <|endoftext|>, Done.",
+    "No specials, but Mixed CASE; \u0130stanbul stra\u00dfe \ufb01n \u01c5.",
 ]
 
 
+def test_any_text_as_the_library_has_it(definition):
+    rng = random.Random(11)
+    pieces = ["a", "B", "ll", "'s", "'", ".", ",", ";!", " ", "\t", "7", "\u00e9", "e\u0301", "\u0303", "\u2014", "<|endoftext|>", "<", "x" * 60, "\u0130", "\u4e2d"]
+    for specials in (True, False):
+        some = [p for p in pieces if specials or "<" not in p]
+        texts = ["".join(rng.choices(some, k=rng.randint(0, 30))) for _ in range(400)]
+        ids, ends = packing.Encoder(definition).texts(pa.array(texts, pa.large_string()))
+        assert [ids[a:b].tolist() for a, b in zip([0, *ends[:-1]], ends)] == [by_library(definition, t) for t in texts]
+
+
 @pytest.mark.parametrize("batch", [1, 3, len(ODD_TEXTS)])
 def test_ids_are_the_librarys(definition, batch):
     encoder = packing.Encoder(definition)
