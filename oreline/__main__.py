@@ -7,7 +7,7 @@ import logging
 
 from pyspark.sql import SparkSession
 
-from oreline.plans.jobs import build_gold_report, build_silver, ingest_bronze, run_window
+from oreline.plans.jobs import build_gold_changes, build_gold_report, build_silver, ingest_bronze, run_window
 from oreline.functions.dates import EPOCH_DAYS, YYYYMMDD
 from oreline.session import build_session
 from oreline.sinks.catalog import ensure_table
@@ -34,10 +34,15 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     silver.add_argument("entity", choices=sorted(ENTITIES))
     silver.add_argument("--deletes", choices=("drop", "apply"), default="drop", help="what a delete event does")
     silver.add_argument("--guard", action="store_true", help="never replace a row by an older one")
+    silver.add_argument("--unseen", action="store_true", help="take the batches no such run has merged, instead of a window")
     silver.add_argument("--compact", action="store_true", help="then fold the window's closed batches")
 
     gold = jobs.add_parser("gold", help="merge the student-session report")
     gold.add_argument("--date-filter", choices=("pre_join", "where"), default="pre_join")
+    gold.add_argument(
+        "--changes", action="store_true", help="recompute the dates that silver's changes reach, instead of a window"
+    )
+    gold.add_argument("--adopt", action="store_true", help="take the table for up to date: --changes goes on from there")
     gold.add_argument("--null-dates", choices=("keep", "drop"), default="keep", help="bookings without a session")
     gold.add_argument("--null-safe", action="store_true", help="match rows without a date with each other")
     gold.add_argument("--date-encoding", choices=(YYYYMMDD, EPOCH_DAYS), default=YYYYMMDD, help="of the integer learn dates")
@@ -66,12 +71,14 @@ def run_job(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "silver":
         entity = ENTITIES[args.entity]
         build_silver(
-            spark, entity, layout, args.start_date, args.end_date, args.deletes, args.guard, register=args.hive
+            spark, entity, layout, args.start_date, args.end_date, args.deletes, args.guard, args.hive, args.unseen
         )
         if args.compact:
             _fold(spark, entity, layout, args)
     elif args.job == "compact":
         _fold(spark, ENTITIES[args.entity], layout, args)
+    elif args.changes or args.adopt:
+        build_gold_changes(spark, layout, args.date_encoding, register=args.hive, adopt=args.adopt)
     else:
         build_gold_report(
             spark,
@@ -90,7 +97,8 @@ def run_job(spark: SparkSession, args: argparse.Namespace) -> None:
 def _fold(spark: SparkSession, entity: EntitySpec, layout: Layout, args: argparse.Namespace) -> None:
     if layout.fmt != "parquet":
         raise ValueError(f"format {layout.fmt} compacts its own tables")
-    compact_log(spark, layout.bronze_path(entity), entity, *run_window(args.start_date, args.end_date))
+    window = run_window(args.start_date, args.end_date)
+    compact_log(spark, layout.bronze_path(entity), entity, *window, layout.cursor_path(entity.name))
 
 
 def main(argv: list[str] | None = None) -> None:

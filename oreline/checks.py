@@ -43,7 +43,7 @@ from oreline.spec import (
     Layout,
     struct,
 )
-from oreline.streaming import run_until_stopped
+from oreline.streaming import BatchProgress, read_progress, run_until_stopped
 from oreline.streaming.bronze import AVAILABLE_NOW
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -626,11 +626,41 @@ def stream_resume(spark, sf_dir):
     + "select _event_date, count(*) as events, cast(3 as integer) as batches from bronze group by _event_date"
 )
 def stream_rate_limit(spark, sf_dir):
-    """A third of the files per batch: taken in by three batches."""
-    layout, (stream,) = _landed(spark, sf_dir)
-    batches = sum(1 for p in stream.recentProgress if p["numInputRows"] > 0)
+    """A third of the files per batch: taken in by three batches, as the listener's table has them."""
+    feed, share = _feed(spark, sf_dir)
+    layout, told = Layout(paths.scratch_path(spark, "lake")), paths.scratch_path(spark, "progress")
+    with BatchProgress(spark, told) as progress:
+        stream = _ingest(spark, layout, feed, files_per_trigger=share)
+        run_until_stopped(stream)
+        progress.wait(stream)
+    batches = read_progress(spark, told).filter(F.col("id") == str(stream.id)).agg(F.count(F.lit(1)).cast("int").alias("batches"))
     counted = _landed_log(spark, layout).groupBy(EVENT_DATE).agg(F.count(F.lit(1)).alias("events"))
-    return counted.withColumn("batches", F.lit(batches))
+    return counted.crossJoin(F.broadcast(batches))
+
+
+@query(
+    """
+select 1 as run, 3 as batches, count(*) as input_rows from events
+union all
+select 2, 1, count(*) from events where event_id % 3 = 0"""
+)
+def stream_progress(spark, sf_dir):
+    """What two runs of a stream took in, batch by batch, after both have ended: more records came in between."""
+    shared, share = _feed(spark, sf_dir)
+    feed, told = paths.scratch_path(spark, "feed"), paths.scratch_path(spark, "progress")
+    layout = Layout(paths.scratch_path(spark, "lake"))
+    write_table(spark.read.parquet(shared).repartitionByRange(FEED_BATCHES * share, "timestamp"), feed)
+    runs = []
+    with BatchProgress(spark, told, every=2) as progress:
+        for limit in (share, None):
+            stream = _ingest(spark, layout, feed, files_per_trigger=limit)
+            run_until_stopped(stream)
+            progress.wait(stream)
+            runs.append(str(stream.runId))
+            write_table(spark.read.parquet(shared).filter("partition = 0"), feed)
+    number = F.when(F.col("run_id") == runs[0], 1).when(F.col("run_id") == runs[1], 2)
+    counted = read_progress(spark, told).groupBy(number.alias("run"))
+    return counted.agg(F.count(F.lit(1)).cast("int").alias("batches"), F.sum("input_rows").alias("input_rows")).filter("run is not null")
 
 
 @query(LOG_SQL)

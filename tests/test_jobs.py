@@ -17,7 +17,7 @@ from oreline.sinks import compact_log, ensure_table, tables
 from oreline.sources import read_cdc_stream, read_table
 from oreline.sources.streams import kafka_options
 from oreline.spec import BATCH, ENTITIES, STREAM_RECORD, EntitySpec, Layout
-from oreline.streaming import append_bronze, run_until_stopped
+from oreline.streaming import BatchProgress, append_bronze, read_progress, run_until_stopped
 
 THING = EntitySpec("thing", "id string, n int", before_key=True)
 DAY = 86_400_000
@@ -156,6 +156,38 @@ def test_rate_limit(spark, lake, topic):
     assert sizes == [2, 2, 1]
 
 
+def test_progress_of_more_batches_than_a_query_remembers(spark, lake, tmp_path):
+    """A hundred is all that recentProgress keeps."""
+    topic, told = tmp_path / "many", str(tmp_path / "progress")
+    rows = [("cdc.thing", 0, i, dt.datetime(2024, 1, 1), message("c", 0, f"k{i}", i)) for i in range(110)]
+    spark.createDataFrame(rows, STREAM_RECORD).repartition(110, "offset").write.option("maxRecordsPerFile", 1).parquet(str(topic))
+    records = read_cdc_stream(spark, THING, "parquet", str(topic), files_per_trigger=1)
+    with BatchProgress(spark, told, every=25) as progress:
+        query = records.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+        run_until_stopped(query)
+        assert progress.wait(query)
+    assert len(query.recentProgress) <= 100
+    got = read_progress(spark, told)
+    assert got.count() == 110 and got.agg(F.sum("input_rows")).first()[0] == 110
+    assert got.select("batch").distinct().count() == 110
+
+
+def test_progress_that_cannot_be_written_is_kept(spark, tmp_path, monkeypatch):
+    from oreline.streaming import progress as module
+
+    progress = BatchProgress(spark, str(tmp_path / "p"))
+    progress._rows = [("n", "i", "r1", 0, 5, "2024-01-01T00:00:00.000Z", 9), ("n", "i", "r1", 1, 6, "2024-01-01T00:00:01.000Z", None)]
+    write = module.write_table
+    monkeypatch.setattr(module, "write_table", lambda *_: 1 / 0)
+    progress.flush()
+    monkeypatch.setattr(module, "write_table", write)
+    progress.flush()
+    # The last batch again, as a second run would report it after a crash before its commit.
+    progress._rows = [("n", "i", "r2", 1, 7, "2024-01-02T00:00:00.000Z", 9)]
+    progress.flush()
+    assert rows_of(read_progress(spark, progress.path), "run_id", "batch", "input_rows") == [("r1", 0, 5), ("r2", 1, 7)]
+
+
 def test_interrupt_stops_the_query():
     class Query:
         name, id, stopped = "q", 1, False
@@ -649,6 +681,8 @@ def test_command_line_options():
     assert (gold.date_filter, gold.null_dates, gold.null_safe, gold.on_duplicate, gold.date_encoding) == (
         "where", "drop", True, "keep_any", "epoch_days"
     )
+    assert parse_args(["--root", "/lake", "silver", "grade", "--unseen"]).unseen
+    assert parse_args(["--root", "/lake", "gold", "--changes"]).changes
     fold = parse_args(["--root", "/lake", "compact", "grade", "--start-date", "2026-04-01"])
     assert (fold.job, fold.entity, fold.start_date) == ("compact", "grade", "2026-04-01")
 
