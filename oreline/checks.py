@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreline import paths, samples
-from oreline.functions import decode_envelope, int_date, to_bronze, undecodable, with_event_date
+from oreline.functions import decode_envelope, image_columns, int_date, to_bronze, undecodable, with_event_date
 from oreline.operators import (
     drop_deletes,
     duplicate_keys,
@@ -27,7 +27,14 @@ from oreline.operators import (
     strip_columns,
     upsert,
 )
-from oreline.plans import build_gold_changes, build_gold_report, build_silver, ingest_bronze, student_session_report
+from oreline.plans import (
+    build_gold_changes,
+    build_gold_report,
+    build_silver,
+    ingest_bronze,
+    register_report_sql,
+    student_session_report,
+)
 from oreline.plans.jobs import read_silver, run_window
 from oreline.plans.report import attended, sessions_between
 from oreline.sinks import compact, compact_log, upsert_table, write_table
@@ -663,6 +670,32 @@ def stream_progress(spark, sf_dir):
     return counted.agg(F.count(F.lit(1)).cast("int").alias("batches"), F.sum("input_rows").alias("input_rows")).filter("run is not null")
 
 
+@query(FEED_SQL + "select _op, _kafka_partition, _kafka_offset, id, event_type, value, props from bronze")
+def decode_variant(spark, sf_dir):
+    """Only the key is declared: the rest of the image is landed all the same, and read from the stored log."""
+    entity = EntitySpec(samples.EVENTS.name, "id string", image=True)
+    feed, share = _feed(spark, sf_dir)
+    layout = Layout(paths.scratch_path(spark, "lake"))
+    run_until_stopped(_ingest(spark, layout, feed, entity, files_per_trigger=share))
+    log = read_table(spark, layout.bronze_path(entity), schema=entity.bronze_schema)
+    found = image_columns(log, struct("event_type string, value double, props string"))
+    return found.select("_op", "_kafka_partition", "_kafka_offset", *EVENT_COLUMNS)
+
+
+@query(LOG_SQL)
+def stream_redelivery(spark, sf_dir):
+    """The source delivers records again, in the same batch, in later ones and after a restart: each is landed once."""
+    records = samples.event_feed(spark, sf_dir)
+    early = F.col("timestamp") < F.lit("2024-01-16").cast("timestamp")
+    feed, layout = paths.scratch_path(spark, "feed"), Layout(paths.scratch_path(spark, "lake"))
+    again = records.filter(F.col("offset") % 3 == 0)
+    for part in (records.filter(early).unionByName(again.filter(early)), records):
+        for half in (F.col("partition") == 0, F.col("partition") > 0):
+            write_table(part.filter(half).unionByName(again.filter(early)), feed)
+        run_until_stopped(_ingest(spark, layout, feed, files_per_trigger=4, redelivery="1 hour"))
+    return _landed_log(spark, layout)
+
+
 @query(LOG_SQL)
 def compact_preserves_rows(spark, sf_dir):
     layout, _ = _landed(spark, sf_dir)
@@ -1078,6 +1111,28 @@ def snapshot_to_report(spark, sf_dir):
     return read_table(spark, table.path, schema=table.schema).drop("_gold_updated_at")
 
 
+@query(
+    f"""
+select 'window' as part, learn_date, student_id, cast(class_regular_session_id as varchar) as class_regular_session_id, study_program
+from {_report_sql(JANUARY)}
+union all
+select 'dated', learn_date, student_id, cast(class_regular_session_id as varchar), study_program
+from {_report_sql(ALWAYS)} where learn_date is not null"""
+)
+def report_function(spark, sf_dir):
+    """The report of a window through its table function, and all its dates through the permanent view."""
+    layout = Layout(_silver_star(spark, sf_dir).root, table_prefix=f"r{uuid.uuid4().hex}_")
+    function, view = register_report_sql(spark, layout, samples.STATUSES)
+    database = spark.catalog.currentDatabase()
+    spark.sql("USE gold")
+    report = spark.sql(
+        f"SELECT 'window' AS part, * FROM {function}(DATE'{JANUARY[0]}', DATE'{JANUARY[1]}') "
+        f"UNION ALL SELECT 'dated', * FROM {view}"
+    )
+    spark.sql(f"USE {database}")
+    return report
+
+
 @query(
     FEED_SQL
     + f"""

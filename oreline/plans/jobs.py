@@ -22,7 +22,7 @@ from oreline.sinks.cursors import add_marks, read_marks
 from oreline.sinks.tables import finish, replace_partitions, staged, upsert_table
 from oreline.sources.batches import Folder, batch_folders, highest, last_commit, read_batches
 from oreline.sources.batches import unseen as pick_unseen
-from oreline.sources.streams import read_cdc_stream
+from oreline.sources.streams import drop_redelivered, read_cdc_stream
 from oreline.sources.tables import read_table, table_exists
 from oreline.spec import (
     ENTITIES,
@@ -63,9 +63,15 @@ def ingest_bronze(
     bootstrap_servers: str | None = None,
     files_per_trigger: int | None = None,
     on_batch: Callable[[int, int], None] | None = None,
+    redelivery: str | None = None,
 ) -> StreamingQuery:
-    """Start the stream that lands an entity's change events in its bronze log."""
+    """Start the stream that lands an entity's change events in its bronze log.
+
+    ``redelivery`` (such as ``"1 hour"``) lands a record once that the source delivers again within that time.
+    """
     records = read_cdc_stream(spark, entity, source_fmt, source_path, bootstrap_servers, files_per_trigger)
+    if redelivery:
+        records = drop_redelivered(records, redelivery)
     return append_bronze(
         to_bronze(records, entity),
         layout.bronze_path(entity),

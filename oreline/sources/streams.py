@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from oreline.spec import STREAM_RECORD, EntitySpec
 
@@ -53,3 +54,15 @@ def read_cdc_stream(
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.load(path)
+
+
+def drop_redelivered(records: DataFrame, within: str = "1 hour") -> DataFrame:
+    """The first of several records with the same stream position that arrive within a time of each other.
+
+    Positions are kept in the state store, by arrival: an old event that arrives for the first time is never
+    late, and a position is forgotten when ``within`` has passed since it came. The state outlives
+    a restart with the same checkpoint. It holds the positions of that time only, dealt to
+    ``spark.sql.shuffle.partitions`` stores, a number that the checkpoint fixes.
+    """
+    arrived = records.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", within)
+    return arrived.dropDuplicatesWithinWatermark(["topic", "partition", "offset"]).drop("_arrived")

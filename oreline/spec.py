@@ -49,6 +49,7 @@ ENVELOPE_META = {
 EVENT_DATE = "_event_date"
 BATCH = "_batch"
 BEFORE_KEY = "_before_key"
+IMAGE = "_image"
 VERSION = "_version"
 
 # Everything bronze adds to the business columns; silver strips these.
@@ -66,6 +67,7 @@ BRONZE_META = (
     EVENT_DATE,
     BATCH,
     BEFORE_KEY,
+    IMAGE,
 )
 
 
@@ -78,6 +80,8 @@ class EntitySpec:
     carries its key; it is needed for ``deletes="apply"``. ``parts`` is the number of
     folders that silver is dealt to by the hash of its key when it is first written: a
     merge rewrites those that it has keys for. A gigabyte each is a good size.
+    ``image`` keeps the whole row image in bronze as well, declared or not, so that a
+    column the source has gained is not lost before it is declared.
     """
 
     name: str
@@ -85,6 +89,7 @@ class EntitySpec:
     key: str = "id"
     meta: tuple[str, ...] = ("op", "ts_ms")
     before_key: bool = False
+    image: bool = False
     parts: int = 16
     max_per_trigger: int = 50_000
     trigger: str = "60 seconds"
@@ -113,6 +118,8 @@ class EntitySpec:
         ]
         if self.before_key:
             fields.append(T.StructField(BEFORE_KEY, self.after_schema[self.key].dataType))
+        if self.image:
+            fields.append(T.StructField(IMAGE, T.VariantType()))
         fields += self.after_schema.fields
         fields += [
             T.StructField("_ingested_at", T.TimestampType()),

@@ -5,9 +5,10 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-from oreline.functions import decode_envelope, grade_band, int_date, int_date_between, to_bronze, undecodable
+from oreline.functions import decode_envelope, grade_band, image_columns, int_date, int_date_between, to_bronze, undecodable
 from oreline.functions.envelope import event_date
-from oreline.spec import ENTITIES, EntitySpec, struct
+from oreline.operators import strip_columns
+from oreline.spec import BATCH, ENTITIES, EntitySpec, struct
 
 THING = EntitySpec("thing", "id string, n int, label string")
 
@@ -154,3 +155,22 @@ def test_struct_declaration():
         "study_program": 15,
         "grade": 8,
     }
+
+
+def test_images_are_kept_whole(records):
+    entity = EntitySpec("thing", "id string", image=True)
+    texts = [
+        '{"payload": {"op": "c", "ts_ms": 1, "after": {"id": "a", "n": 7, "s": "x", "deep": {"y": [1, null]}, "z": null}}}',
+        '{"payload": {"op": "d", "ts_ms": 1, "after": null, "before": {"id": "a"}}}',
+        '{"payload": {"op": "c", "ts_ms": 1, "after": {"id": "b", "n": "not a number"}}}',
+        "garbage",
+        None,
+    ]
+    log = to_bronze(records(texts), entity)
+    assert [f.name for f in log.schema] == [f.name for f in entity.bronze_schema if f.name != BATCH]
+    found = image_columns(log, struct("n bigint, s string")).withColumn("whole", F.to_json("_image"))
+    assert rows_of(found, "id", "n", "s") == sorted(
+        [("a", 7, "x"), (None, None, None), ("b", None, None), (None, None, None), (None, None, None)], key=repr
+    )
+    assert rows_of(found.filter("id = 'a'"), "whole") == [('{"deep":{"y":[1,null]},"id":"a","n":7,"s":"x","z":null}',)]
+    assert "_image" not in strip_columns(log).columns

@@ -8,15 +8,23 @@ from pyspark.sql import functions as F
 
 from oreline import paths
 from oreline.__main__ import parse_args, run_job
-from oreline.functions import to_bronze
-from oreline.plans import build_gold_changes, build_gold_report, build_silver, ingest_bronze, run_window, student_session_report
+from oreline.functions import image_columns, to_bronze
+from oreline.plans import (
+    build_gold_changes,
+    build_gold_report,
+    build_silver,
+    ingest_bronze,
+    register_report_sql,
+    run_window,
+    student_session_report,
+)
 from oreline.plans.jobs import read_silver
 from oreline.plans.removed import remember_removed
 from oreline.plans.report import sessions_between
 from oreline.sinks import compact_log, ensure_table, tables
 from oreline.sources import read_cdc_stream, read_table
 from oreline.sources.streams import kafka_options
-from oreline.spec import BATCH, ENTITIES, STREAM_RECORD, EntitySpec, Layout
+from oreline.spec import BATCH, ENTITIES, STREAM_RECORD, EntitySpec, Layout, struct
 from oreline.streaming import BatchProgress, append_bronze, read_progress, run_until_stopped
 
 THING = EntitySpec("thing", "id string, n int", before_key=True)
@@ -188,6 +196,37 @@ def test_progress_that_cannot_be_written_is_kept(spark, tmp_path, monkeypatch):
     assert rows_of(read_progress(spark, progress.path), "run_id", "batch", "input_rows") == [("r1", 0, 5), ("r2", 1, 7)]
 
 
+def test_a_record_delivered_again_is_landed_once(spark, lake, topic):
+    """Within a batch, in a later one and after a restart; what comes late for the first time is kept."""
+    def send(*offsets, day=0):
+        rows = [("cdc.thing", 0, i, dt.datetime(2024, 1, 1) + dt.timedelta(day), message("c", day, f"k{i}", i)) for i in offsets]
+        spark.createDataFrame(rows, STREAM_RECORD).coalesce(1).write.mode("append").parquet(topic.path)
+
+    def run():
+        ingest(spark, lake, topic, files_per_trigger=1, redelivery="1 hour")
+        return [r[0] for r in rows_of(bronze(spark, lake), "id")]
+
+    send(1, 1, 2, day=20)
+    send(2, 3, day=20)
+    assert run() == ["k1", "k2", "k3"]
+    send(1, 3, 4, day=20)
+    send(0, day=1)
+    assert run() == ["k0", "k1", "k2", "k3", "k4"]
+
+
+def test_the_whole_image_survives_folding(spark, lake, topic):
+    entity = EntitySpec("thing", "id string", image=True)
+    for n in range(3):
+        topic.send(message("c", 0, f"a{n}", n), "garbage")
+    ingest(spark, lake, topic, entity, files_per_trigger=1)
+    assert compact_log(spark, lake.bronze_path(entity), entity, "2024-01-01", "2024-01-01") == 2
+    found = image_columns(bronze(spark, lake, entity).filter("id is not null"), struct("n int"))
+    assert rows_of(found, "id", "n") == [("a0", 0), ("a1", 1), ("a2", 2)]
+    # A column that is declared later is there from then on; silver takes declared ones only.
+    build_silver(spark, entity, lake, "2024-01-01", "2024-01-01")
+    assert read_silver(spark, entity, lake).columns == ["id", "_silver_updated_at"]
+
+
 def test_interrupt_stops_the_query():
     class Query:
         name, id, stopped = "q", 1, False
@@ -643,6 +682,28 @@ def test_gold_job_without_undated_rows(spark, lake):
         build_gold_report(spark, lake, null_dates="maybe")
 
 
+def test_report_function_prunes_its_scan(spark, tmp_path):
+    lake = Layout(str(tmp_path / "lake9"), table_prefix="t9_")
+    put_star(spark, lake)
+    function, view = register_report_sql(spark, lake)
+    spark.sql("USE gold")
+    try:
+        whole = spark.sql(f"SELECT * FROM {function}(DATE'2026-04-02', DATE'2026-04-03')")
+        some = spark.sql(f"SELECT student_id FROM {function}(DATE'2026-04-02', DATE'2026-04-03') WHERE learn_date IS NOT NULL")
+        bad = spark.sql(f"SELECT * FROM {function}(DATE'2026-01-01', DATE'2026-12-31') WHERE class_regular_session_id = 's9'")
+    finally:
+        spark.sql("USE default")
+    assert rows_of(whole) == sorted(
+        [(APRIL_2, 1, "s1", "Maths"), (None, 3, "s2", None), (None, 4, "s9", None), (None, 5, None, None)], key=repr
+    )
+    assert rows_of(some) == [(1,)] and rows_of(bad) == [(None, 4, "s9", None)]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(learn_date,20260402)" in plan and "LessThanOrEqual(learn_date,2026" in plan
+    (scan,) = [line for line in plan.splitlines() if "FileScan" in line and "class_regular_session_id" in line]
+    assert "notes" not in scan.split("ReadSchema")[1]
+    assert rows_of(spark.table(view), "student_id", "study_program") == [(1, "Maths"), (3, "English")]
+
+
 def test_gold_job_null_safe(spark, lake):
     put_star(spark, lake)
     for _ in range(2):
