@@ -174,25 +174,58 @@ def _word_counts(limit: int):
     return task
 
 
+#: Leaves on their way to a group: those that share a first word as one row, the rest of each phrase and its count.
+_LEAVES = "grp int, lang string, word string, rests string, counts array<int>"
+
+
 def _leaves(words: int, bits: np.ndarray, heavy: np.ndarray, groups: int, limit: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ask = _is_open(bits)
         for chunk in _chunks(batches, limit):
             at, counts = chunk.suffixes(words, ask)
+            if not len(at):
+                continue
             prefix = chunk.hashes(at, 1)
             prefix = np.where(np.isin(prefix, heavy), chunk.hashes(at, 2), prefix)
             group = ((prefix >> np.uint64(32)) % np.uint64(groups)).astype(np.int32)
-            lang, phrase = chunk.rows(at, words)
-            yield from _in_batches([pa.array(group), lang, phrase, pa.array(counts)], ["grp", "lang", "phrase", "f"])
+            order = np.lexsort((chunk.word[at], chunk.lang[at], group))
+            at, counts, group = at[order], counts[order], group[order]
+            same = (group[1:] == group[:-1]) & (chunk.word[at[1:]] == chunk.word[at[:-1]]) & (chunk.lang[at[1:]] == chunk.lang[at[:-1]])
+            first = np.flatnonzero(np.concatenate([[True], ~same]))
+            # "b c " of one phrase after that of another: a row is a run of them.
+            parts = [chunk.texts.take(pa.array(chunk.word[at + i])) for i in range(1, words)]
+            rests = pc.binary_join_element_wise(*parts, *(pa.scalar(x, pa.large_string()) for x in ("", " ")))
+            bounds = np.append(first, len(at))
+            text = np.frombuffer(rests.buffers()[1], np.int64)[: len(at) + 1]
+            runs_of = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(text[bounds]), rests.buffers()[2]).cast(pa.string())
+            lang, word = chunk.rows(at[first], 1)
+            yield from _in_batches(
+                [
+                    pa.array(group[first]),
+                    lang,
+                    word,
+                    runs_of,
+                    pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(counts.astype(np.int32))),
+                ],
+                ["grp", "lang", "word", "rests", "counts"],
+            )
 
     return task
 
 
-def _subtree(min_count: int):
+def _subtree(words: int, min_count: int):
     """The nodes of one level of a group's subtrees: equal suffixes meet, their leaves are added."""
 
     def build(leaves: pa.Table) -> pa.Table:
-        nodes = leaves.group_by(["lang", "phrase"]).aggregate([("f", "sum")])
+        leaves = leaves.combine_chunks()
+        counts = leaves["counts"].combine_chunks()
+        row = pc.list_parent_indices(counts)
+        # The last space of a row begins an empty word.
+        split = pc.list_flatten(pc.split_pattern(pc.utf8_rtrim(leaves["rests"].combine_chunks(), " "), " "))
+        rest = [split.take(pa.array(np.arange(i, len(split), words - 1))) for i in range(words - 1)]
+        phrase = pc.binary_join_element_wise(leaves["word"].combine_chunks().take(row), *rest, " ")
+        found = pa.table([leaves["lang"].combine_chunks().take(row), phrase, pc.list_flatten(counts).cast(pa.int64())], names=["lang", "phrase", "f"])
+        nodes = found.group_by(["lang", "phrase"]).aggregate([("f", "sum")])
         nodes = nodes.filter(pc.greater_equal(nodes["f_sum"], min_count))
         return pa.table([nodes["lang"], nodes["phrase"], nodes["f_sum"]], names=["lang", "phrase", "f"])
 
@@ -239,8 +272,8 @@ def phrase_counts(docs: DataFrame, max_words: int = 3, min_count: int = 10, text
     heavy = np.asarray(_hashes(levels[0].where(F.col("f") > leaves // 4)).toArrow()["h"]).astype(np.int64).view(np.uint64)
     for words in range(2, max_words + 1):
         bits = _open_bitmap(levels[-1].where(F.col("f") >= min_count))
-        suffixes = texts.mapInArrow(_leaves(words, bits, heavy, groups, CHUNK_BYTES), "grp int, lang string, phrase string, f long")
-        nodes = suffixes.groupBy("grp").applyInArrow(_subtree(min_count), "lang string, phrase string, f long")
+        suffixes = texts.mapInArrow(_leaves(words, bits, heavy, groups, CHUNK_BYTES), _LEAVES)
+        nodes = suffixes.groupBy("grp").applyInArrow(_subtree(words, min_count), "lang string, phrase string, f long")
         levels.append(staged(nodes, f"phrases-{words}"))
     return levels
 
