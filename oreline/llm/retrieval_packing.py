@@ -44,7 +44,7 @@ K1, B = 1.2, 0.75
 #: Bytes of text that are encoded together; a longer text is taken whole.
 CHUNK_BYTES = 8 << 20
 #: Words remembered by one Python worker, and the longest that is remembered.
-MEMO_WORDS, MEMO_CHARS = 400_000, 48
+MEMO_WORDS, MEMO_CHARS = 600_000, 48
 
 #: Pieces handed on at once.
 WHOLE_ROWS = 256
@@ -63,7 +63,7 @@ K1, B = 1.2, 0.75
 #: Bytes of text that are encoded together; a longer text is taken whole.
 CHUNK_BYTES = 8 << 20
 #: Words remembered by one Python worker, and the longest that is remembered.
-MEMO_WORDS, MEMO_CHARS = 400_000, 48
+MEMO_WORDS, MEMO_CHARS = 600_000, 48
 
 #: Pieces handed on at once.
 WHOLE_ROWS = 256
@@ -233,6 +233,13 @@ def _tokens(definition: str, kind: np.dtype, window: int, limit: int):
     return task
 
 
+def distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids, sorted, and how often each occurs. Short integers are sorted by their digits, in one go."""
+    ordered = np.sort(ids, kind="stable")
+    last = np.flatnonzero(np.append(ordered[1:] != ordered[:-1], len(ordered) > 0))
+    return ordered[last], np.diff(last, prepend=-1)
+
+
 def _sums(name: str, pairs: dict[int, int]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"term": pa.array(pairs, pa.int64()), name: pa.array(pairs.values(), pa.int64())})
 
@@ -242,7 +249,7 @@ def _frequencies(kind: np.dtype, terms: int):
         found, rows, tokens = np.zeros(terms, np.int64), 0, 0
         for batch in batches:
             for ids in _ids(batch.column(0), kind):
-                found[np.unique(ids[:-1])] += 1
+                found[distinct(ids[:-1])[0]] += 1
                 rows, tokens = rows + 1, tokens + len(ids)
         used = np.flatnonzero(found)
         yield _sums("value", dict(zip(used.tolist(), found[used].tolist())) | {-1: rows, -2: tokens})
@@ -264,8 +271,7 @@ class Weights:
 
     def terms(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct terms of a tail (its end is none) and how telling each one is."""
-        terms, tf = np.unique(ids[:-1], return_counts=True)
-        return terms, tf
+        return distinct(ids[:-1])
 
     def telling(self, ids: np.ndarray) -> int:
         terms, tf = self.terms(ids)

@@ -154,6 +154,15 @@ def test_scores_are_bm25():
         assert got[tail] == pytest.approx(idf(2) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / 3.5)), rel=1e-5)
 
 
+@pytest.mark.parametrize("kind", [np.uint16, np.uint32])
+def test_distinct(kind):
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 2, 500):
+        ids = rng.integers(0, 40, n).astype(kind)
+        terms, counts = packing.distinct(ids)
+        assert dict(zip(terms.tolist(), counts.tolist())) == Counter(ids.tolist()) and list(terms) == sorted(terms)
+
+
 def test_powers_of_two():
     parts = [(0, 5, 105), (1, 0, 60), (2, 0, 1)]
     pieces = list(packing._powers(parts, 161))
