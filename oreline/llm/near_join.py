@@ -214,10 +214,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Words are separated by ASCII white space and compared with A-Z in lower case. A text of one to four
     words is one shingle; a null or empty text has none and is linked with nothing, so its component is
     its own id. Rows that repeat an id are one document: where their texts differ, the largest set is
-    compared. Rows with a null id are left out, as they cannot be named; an empty table gives none. Only the two named columns are
-    read. Whole texts count, however long.
+    compared. Rows with a null id cannot be named: they are linked with nothing, and their component is null. An empty
+    table gives none. Only the two named columns are read. Whole texts count, however long.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
+    every = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows, nameless = every.where("id is not null"), every.where("id is null")
     signed = staged(rows.mapInArrow(_sign, SIGNATURE), "signatures")
     thin = signed.select("id", "n", "d1", "d2")
     # Equal sets are one node, named by its smallest id. Counts of copies are summed before the shuffle.
@@ -278,6 +279,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = nodes.join(found, F.col("node") == F.col("c_node"), "left").select(
         F.col("n").alias("m"), F.col("d1").alias("e1"), F.col("d2").alias("e2"), F.coalesce("component", "node").alias("component_id")
     )
-    return thin.join(named, F.expr("n = m and d1 = e1 and d2 = e2"), "left").select(
+    judged = thin.join(named, F.expr("n = m and d1 = e1 and d2 = e2"), "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")
     )
+    alone = nameless.mapInArrow(_sign, SIGNATURE).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
+    return judged.unionByName(alone)

@@ -238,8 +238,9 @@ def link_vectors(
     counted. What can be missed is a link that would be the only way between two components: two vectors
     that meet in none of the trees, nor are joined by others.
     Vectors that are null, empty, zero, or hold null or non-finite components, and rows with a null label
-    link with nothing. Vectors of unequal length are never compared. Rows that repeat an id and a vector
-    count once; a null id is never linked. An empty table gives none. Only the named columns are read.
+    link with nothing. Vectors of unequal length are never compared. Rows that repeat an id, a label and a vector
+    count once; one id with several vectors or labels is several vectors, each with its own links; a null id is
+    never linked. An empty table gives none. Only the named columns are read.
 
     Equal vectors of a label are one node with a count, so a vector that a third of the rows share costs
     one row per leaf. Comparing a component takes the square of its distinct vectors in multiplications, less
@@ -254,7 +255,12 @@ def link_vectors(
         " and exists(v, x -> x <> 0)"
     )
     nodes = staged(
-        rows.where(sound).groupBy("label", "v").agg(F.min("id").alias("node"), F.countDistinct("id").alias("copies")), "vectors"
+        # Numbered, not named: an id may stand on several vectors. The stored numbers are what later steps agree on.
+        rows.where(sound)
+        .groupBy("label", "v")
+        .agg(F.min("id").alias("name"), F.countDistinct("id").alias("copies"))
+        .withColumn("node", F.monotonically_increasing_id()),
+        "vectors",
     ).withColumn("size", F.size("v"))
     total = nodes.count()
     trees: dict[int, list] = {}
@@ -301,10 +307,12 @@ def link_vectors(
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
     links = staged(placed.groupBy("tree", "leaf", "size", "label").applyInPandas(compare, "a long, b long").distinct(), "links")
-    thin = nodes.select("node", "copies", "label", "v")
-    found = staged(components(links).join(thin, "node").select("node", "copies", "v", "component"), "members")
-    degree = _degrees(found, least, group_rows, seed)
-    found = found.select("node", "component")
+    thin = nodes.select("node", "name", "copies", "label", "v")
+    found = staged(components(links).join(thin, "node").select("node", "name", "copies", "v", "component"), "members")
+    degree = _degrees(found.drop("name"), least, group_rows, seed)
+    # A component is named by its smallest id.
+    names = found.groupBy("component").agg(F.min("name").alias("least_name"))
+    found = found.join(names, "component").select("node", "least_name")
     judged = (
         thin.join(degree, "node", "left")
         .join(found, "node", "left")
@@ -312,7 +320,7 @@ def link_vectors(
             F.col("label").alias("n_label"),
             F.col("v").alias("n_v"),
             (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-            F.coalesce("component", "node").alias("component_id"),
+            F.coalesce("least_name", "name").alias("component_id"),
         )
     )
     good = rows.where(sound).join(judged, (F.col("label") == F.col("n_label")) & (F.col("v") == F.col("n_v")))

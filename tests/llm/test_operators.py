@@ -65,6 +65,13 @@ def test_near_duplicates_of_odd_rows(odd, nothing):
     assert near_join.near_duplicates(nothing).count() == 0
 
 
+def test_near_duplicates_without_an_id(odd):
+    """One row out per row in; what cannot be named has its size and no component."""
+    got = near_join.near_duplicates(odd)
+    assert got.count() == odd.count()
+    assert rows_of(got.where("doc_id is null")) == [(None, 1, None)]
+
+
 def test_near_duplicates_in_a_chain(spark):
     """A component whose ends are not alike, around a group of copies."""
     base = [f"w{i}" for i in range(120)]
@@ -213,6 +220,15 @@ def test_vectors_with_nulls_copies_and_odd_values(spark):
     assert vector_links.link_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
 
+def test_an_id_that_stands_on_several_vectors(spark):
+    rows = [(1, [1.0, 0.0], "a"), (2, [0.99, 0.05], "a"), (2, [0.0, 1.0], "b"), (3, [0.05, 0.99], "b"), (2, [-1.0, 0.0], "a"), (None, [1.0, 0.0], "a")]
+    got = vector_links.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string"))
+    # One row out per row in, and no link between labels.
+    assert rows_of(got) == sorted(
+        [(1, 1, 1, True), (2, 1, 1, False), (2, 1, 2, True), (3, 1, 2, False), (2, 0, 2, True), (None, 0, None, True)], key=repr
+    )
+
+
 @pytest.mark.parametrize("group_rows", [200, vector_links.GROUP_ROWS])
 def test_vector_recall(spark, monkeypatch, group_rows):
     """Trees split on a small sample and leaves split further: recall against all pairs."""
@@ -362,3 +378,24 @@ def test_pipeline_on_odd_rows(spark, odd, sf_dir):
     near = corpus_pipeline.near(spark, docs, sf_dir)
     assert sorted(r[0] for r in near.where("doc_id is not null").select("doc_id").distinct().collect()) == [1, 3, 4, 5, 7, 9]
     assert corpus_pipeline.mixture(spark, docs, sf_dir).count() == 11
+
+
+def test_pipeline_tells_rows_apart_by_id_and_text(spark, sf_dir):
+    """Rows without an id, and one id on several texts: what is a copy or holds an item goes, its namesakes stay."""
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").where("size(split(text, ' ')) > 12").first()["text"]
+    clean = [f"clean text {' '.join(f'{w}{i}' for i in range(20))}" for w in "pqr"]
+    rows = [
+        (None, f"before {item} after"), (None, clean[0]), (None, clean[0]), (5, clean[1]), (5, f"leak {item}"),
+        (5, clean[2]), (6, clean[2]), (None, clean[1]), (None, None), (None, None), (None, ""),
+    ]
+    # The two leaks are no copies of each other.
+    rows = [(i, f"{t} {' '.join(f'z{n}' for n in range(30))}" if t and t.startswith("leak") else t) for i, t in rows]
+    leak = next(t for _, t in rows if t and t.startswith("leak"))
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near(spark, docs, sf_dir)
+    assert rows_of(kept, "doc_id", "text") == sorted(
+        [(None, f"before {item} after"), (None, clean[0]), (5, clean[1]), (5, leak), (5, clean[2]), (None, None), (None, None), (None, "")], key=repr
+    )
+    assert rows_of(corpus_pipeline.benchmark(spark, kept, sf_dir), "doc_id", "text") == sorted(
+        [(None, clean[0]), (5, clean[1]), (5, clean[2]), (None, None), (None, None), (None, "")], key=repr
+    )
