@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from oreline.llm.common import row_key, staged, table, without  # noqa: E402
+from oreline.llm.common import bitmap, row_key, sift, staged, table, without  # noqa: E402
 from oreline.llm.decontaminate import benchmark_matches  # noqa: E402
 from oreline.llm.language_id import identify  # noqa: E402
 from oreline.llm.line_dedup import dedup_lines  # noqa: E402
@@ -38,15 +38,34 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id."""
-    copies = near_duplicates(docs).where("doc_id <> component_id").select("doc_id")
-    return without(docs, "doc_id", staged(copies, "copies"))
+    """One document of each group of near-duplicates, the one with the smallest id.
+
+    Rows are told apart by their id and text, as an id may be null or stand on several texts. Of rows that agree in
+    both, one stays if it has words.
+    """
+    rows = docs.withColumn("__row", row_key("doc_id", "text"))
+    linked = staged(near_duplicates(rows, id_col="__row"), "linked")
+    ids = rows.select("__row", "doc_id").distinct()
+    first = (
+        linked.distinct()
+        .join(ids, "__row")
+        .groupBy("component_id")
+        .agg(F.expr("min(struct(doc_id is null, doc_id, __row)).__row").alias("__first"))
+    )
+    copies = linked.join(first, "component_id").where("__row <> __first").select("__row")
+    again = linked.where("n_shingles > 0").groupBy("__row").count().where("count > 1").select("__row")
+    kept = without(rows, "__row", staged(copies, "copies"))
+    maybe, surely = sift(kept, "__row", bitmap(again, "__row"))
+    repeated = maybe.join(again, "__row", "left_semi").dropDuplicates(["__row"])
+    single = maybe.join(again, "__row", "left_anti")
+    return surely.unionByName(single).unionByName(repeated).select(*docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    leaks = benchmark_matches(docs, table(spark, sf_dir, "benchmark")).select("doc_id")
-    return without(docs, "doc_id", staged(leaks, "leaks"))
+    """Documents that hold no benchmark item. Rows are told apart by their id and text."""
+    rows = docs.withColumn("__row", row_key("doc_id", "text"))
+    leaks = benchmark_matches(rows, table(spark, sf_dir, "benchmark"), id_col="__row").select("__row")
+    return without(rows, "__row", staged(leaks, "leaks")).select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
