@@ -37,7 +37,7 @@ from oreline.plans import (
 )
 from oreline.plans.jobs import read_silver, run_window
 from oreline.plans.report import attended, sessions_between
-from oreline.sinks import compact, compact_log, upsert_table, write_table
+from oreline.sinks import compact, compact_log, lookup, upsert_table, write_table
 from oreline.sources import read_table, register_views
 from oreline.spec import (
     BATCH,
@@ -835,6 +835,15 @@ def silver_touched_only(spark, sf_dir):
     )
 
 
+@query(f"select {ORDER_LIST} from {_orders_sql(OLD_ORDERS)} where id in (select id from {_orders_sql(LAST_ORDERS)})")
+def bloom_lookup(spark, sf_dir):
+    """The rows of a few keys (customers of the last days) by the folders, file order and Bloom filters of the key."""
+    path = paths.scratch_path(spark, "dealt")
+    upsert_table(spark, path, _order_changes(spark, sf_dir, *OLD_ORDERS), ["id"], parts=64)
+    few = [row["id"] for row in _order_changes(spark, sf_dir, *LAST_ORDERS).select("id").collect()]
+    return lookup(spark, path, "id", few, samples.ORDERS.after_schema)
+
+
 def _late_feed(spark, sf_dir, late: Column, entity: EntitySpec, **options) -> tuple[Layout, list[int]]:
     """A lakehouse whose records arrive in two runs of the stream, the ``late`` ones in the second; silver takes
     what it has not seen after each, and once more. With how many keys each run merged."""
@@ -1089,7 +1098,7 @@ def gold_after_move(spark, sf_dir):
 @query(
     f"""
 select learn_date, student_id, cast(class_regular_session_id as varchar) as class_regular_session_id, study_program
-from {_report_sql(JANUARY, lines="(select distinct * from lineitem)")}"""
+from {_report_sql(JANUARY)}"""
 )
 def snapshot_to_report(spark, sf_dir):
     """All three jobs on the declared entities: their initial snapshots arrive as

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreline.functions.envelope import stamp
-from oreline.sinks.tables import read_touched, upsert_table
+from oreline.sinks.tables import finish, read_touched, upsert_table
 from oreline.spec import VERSION, EntitySpec
 
 REMOVED_AT = "_removed_at"
@@ -52,6 +52,7 @@ def without_removed(spark: SparkSession, path: str, entity: EntitySpec, changes:
 
     A delete passes if it is as old: it may be the one remembered, by a run that was lost before its merge.
     """
+    finish(spark, path)
     removed = read_touched(spark, path, changes, [entity.key], removed_schema(entity))
     if removed is None:
         return changes

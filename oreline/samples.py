@@ -6,7 +6,7 @@ They let every job run on any parquet copy of the tables ``events``, ``orders``,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from oreline.spec import ENTITIES, REPORT_STATUSES, EntitySpec
@@ -95,9 +95,11 @@ def snapshot_feed(entity: EntitySpec, rows: DataFrame, number: Column) -> DataFr
 def report_snapshots(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Snapshot feeds of the report's three entities, by entity name."""
     lines = table(spark, sf_dir, "lineitem")
-    # No column set of lineitem is a key: a booking is identified by all of them.
+    # No column set of lineitem is a key: a booking is identified by all of them, and numbered among its like.
+    row = F.concat_ws("|", *lines.columns)
+    number = F.row_number().over(Window.partitionBy(row).orderBy(F.lit(0)))
     booking = lines.select(
-        F.concat_ws("|", *lines.columns).alias("id"),
+        F.concat_ws("#", row, number).alias("id"),
         F.col("l_suppkey").alias("student_id"),
         F.col("l_orderkey").alias("class_regular_session_id"),
         F.when(F.col("l_returnflag") == "A", REPORT_STATUSES[0])

@@ -39,10 +39,12 @@ def write_table(
     fmt: str = "parquet",
     compression: str | None = None,
     max_records_per_file: int | None = None,
+    bloom: Sequence[str] = (),
 ) -> None:
     """Write files under ``path``. ``mode="overwrite_partitions"`` replaces just
-    the partitions that occur in ``df``."""
-    options = {}
+    the partitions that occur in ``df``. ``bloom`` names columns that get a Parquet Bloom
+    filter: a scan for single values skips the row groups that cannot have them."""
+    options = {f"parquet.bloom.filter.enabled#{column}": "true" for column in bloom}
     if compression:
         options["compression"] = compression
     if max_records_per_file:
@@ -56,12 +58,13 @@ def write_table(
     writer.save(path)
 
 
-def publish(df: DataFrame, path: str, partition_by: str) -> list[str]:
+def publish(df: DataFrame, path: str, partition_by: str, lookup_by: Sequence[str] = ()) -> list[str]:
     """Replace the partitions of ``df`` in the table; returns their folder names.
 
     ``df`` may read what it replaces: its rows are complete in a folder of their own, which readers
     of the table skip, before the first old file goes. Partitions are replaced one after the other; a
     driver that is lost meanwhile leaves that folder, and the next merge begins with ``finish``.
+    Files are sorted by ``lookup_by`` and have Bloom filters on it.
     """
     spark = df.sparkSession
     pending = f"{path}/{PENDING}"
@@ -69,21 +72,23 @@ def publish(df: DataFrame, path: str, partition_by: str) -> list[str]:
     marked = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "true"}
     df.hint("rebalance", partition_by).write.options(**marked).partitionBy(partition_by).parquet(pending)
     written = [name for name in paths.child_dirs(spark, pending) if "=" in name]
-    finish(spark, path)
+    finish(spark, path, lookup_by)
     return written
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: str, values: Sequence[str]) -> None:
+def replace_partitions(
+    df: DataFrame, path: str, partition_by: str, values: Sequence[str], lookup_by: Sequence[str] = ()
+) -> None:
     """Make the rows of ``df`` all there is in the partitions of ``values``; one without rows goes."""
     spark = df.sparkSession
-    written = publish(df, path, partition_by)
+    written = publish(df, path, partition_by, lookup_by)
     emptied = {_folder(partition_by, value) for value in values} - set(written)
     paths.side_by_side(
         lambda name: paths.delete(spark, f"{path}/{name}"), emptied & set(paths.child_dirs(spark, path))
     )
 
 
-def finish(spark: SparkSession, path: str) -> None:
+def finish(spark: SparkSession, path: str, lookup_by: Sequence[str] = ()) -> None:
     """Put a merge's complete rows in their place, also if an earlier attempt was stopped half-way.
 
     Writing them again changes nothing. Rows that are not complete are dropped: nothing had been replaced yet.
@@ -95,7 +100,9 @@ def finish(spark: SparkSession, path: str) -> None:
         columns = paths.partition_columns(spark, pending)
         if columns:
             rows = read_table(spark, pending, text_partitions=True, dealt_column=True)
-            write_table(rows, path, "overwrite_partitions", columns)
+            if lookup_by:
+                rows = rows.sortWithinPartitions(*columns, *lookup_by)
+            write_table(rows, path, "overwrite_partitions", columns, bloom=lookup_by)
     paths.delete(spark, pending)
 
 
@@ -238,7 +245,7 @@ def _upsert_dealt(
             target = target.filter(~F.coalesce(expired, F.lit(False)))
         merged = upsert(target, matchable.drop(part), null_keys=False, **options)
         dealt = merged.withColumn(part, _part_of(keys, int(part.rpartition("_")[2])))
-        replace_partitions(dealt, path, part, [str(value) for value in counts if value is not None])
+        replace_partitions(dealt, path, part, [str(value) for value in counts if value is not None], keys)
     if None in counts and not null_safe:
         # NULL equals nothing: these rows are inserts whatever the table holds.
         delete_when = options["delete_when"]
@@ -254,7 +261,6 @@ def read_touched(
     spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], schema: StructType
 ) -> DataFrame | None:
     """The folders of a dealt table that keys of ``rows`` belong to; None if there are none."""
-    finish(spark, path)
     parts = key_parts(spark, path)
     if not parts:
         return None
@@ -265,6 +271,17 @@ def read_touched(
     return read_table(spark, path, schema=schema, folders=folders) if folders else None
 
 
+def lookup(spark: SparkSession, path: str, key: str, values: Sequence, schema: StructType) -> DataFrame:
+    """Rows of a dealt table with one of a few keys.
+
+    Only the folders the keys belong to are listed; in them, the Bloom filters and the order of the files leave the
+    row groups that may have one.
+    """
+    wanted = spark.createDataFrame([(value,) for value in values], StructType([schema[key]]))
+    rows = read_touched(spark, path, wanted, [key], schema)
+    return _nothing(spark, wanted, schema) if rows is None else rows.filter(F.col(key).isin(list(values)))
+
+
 def _folder(column: str, value: object) -> str:
     return f"{column}={UNDATED if value is None else value}"
 

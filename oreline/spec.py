@@ -52,6 +52,16 @@ BEFORE_KEY = "_before_key"
 IMAGE = "_image"
 VERSION = "_version"
 
+# --- fixed values: intake, timeouts, metadata and keys ----------------------
+
+INTAKE_LIMIT = 50_000
+BOOKING_INTAKE_LIMIT = 200_000
+TRIGGER_INTERVAL = "60 seconds"
+SESSION_TIMEOUT_MS = "45000"
+REQUEST_TIMEOUT_MS = "60000"
+
+REPORT_KEYS = ("student_id", "class_regular_session_id")
+
 # Everything bronze adds to the business columns; silver strips these.
 BRONZE_META = (
     "_op",
@@ -70,6 +80,8 @@ BRONZE_META = (
     IMAGE,
 )
 
+# --- end of fixed values -----------------------------------------------------
+
 
 @dataclass(frozen=True)
 class EntitySpec:
@@ -91,8 +103,8 @@ class EntitySpec:
     before_key: bool = False
     image: bool = False
     parts: int = 16
-    max_per_trigger: int = 50_000
-    trigger: str = "60 seconds"
+    max_per_trigger: int = INTAKE_LIMIT
+    trigger: str = TRIGGER_INTERVAL
     starting_offsets: str = "earliest"
     fail_on_data_loss: bool = False
     options: dict[str, str] = field(default_factory=dict, hash=False)
@@ -213,13 +225,13 @@ ENTITIES = {
             "class_regular_session",
             CLASS_SESSION_COLUMNS,
             meta=("op", "ts_ms", "ts_us", "ts_ns"),
-            options={"kafka.session.timeout.ms": "45000", "kafka.request.timeout.ms": "60000"},
+            options={"kafka.session.timeout.ms": SESSION_TIMEOUT_MS, "kafka.request.timeout.ms": REQUEST_TIMEOUT_MS},
             description="class sessions",
         ),
         EntitySpec(
             "class_regular_session_student",
             SESSION_STUDENT_COLUMNS,
-            max_per_trigger=200_000,
+            max_per_trigger=BOOKING_INTAKE_LIMIT,
             description="students booked on class sessions",
         ),
         EntitySpec(
@@ -233,7 +245,6 @@ ENTITIES = {
 }
 
 REPORT_NAME = "student_session_report"
-REPORT_KEYS = ("student_id", "class_regular_session_id")
 REPORT_PARTITION = "learn_date"
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from oreline import paths
 from oreline.operators import upsert
-from oreline.sinks import compact, ensure_table, upsert_table, write_table
+from oreline.sinks import compact, ensure_table, lookup, upsert_table, write_table
 from oreline.sinks import tables
 from oreline.sources import read_table, register_views
 from oreline.sources.tables import key_parts, table_exists
@@ -52,6 +52,28 @@ def test_a_small_merge_leaves_the_other_folders_alone(spark, tmp_path):
     assert got.groupBy("v").count().orderBy("v").collect() == [(1, 2997), (2, 3)]
 
 
+def rows_scanned(df):
+    """Rows that the scan handed on when ``df`` was last computed."""
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().get("numOutputRows").get().value() for i in range(leaves.size()))
+
+
+def test_a_lookup_of_absent_keys_reads_no_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    even = spark.range(0, 4000, 2).select(F.col("id").cast("string").alias("id"), F.lit(1).cast("int").alias("v"))
+    upsert_table(spark, path, even, ["id"], parts=4)
+    there = lookup(spark, path, "id", ["10", "11", "2000"], SCHEMA)
+    assert rows_of(there) == [("10", 1), ("2000", 1)]
+    folders = {f.split("/")[-2] for f in there.inputFiles()}
+    assert 1 <= len(folders) <= 3
+    # Between the smallest and the largest key of their files, so it is the Bloom filter that tells.
+    absent = lookup(spark, path, "id", [str(i) for i in range(1001, 1011, 2)], SCHEMA)
+    assert absent.collect() == [] and rows_scanned(absent) == 0
+    one = lookup(spark, path, "id", ["1002"], SCHEMA)
+    assert one.collect() == [("1002", 1)] and rows_scanned(one) > 0
+    assert lookup(spark, str(tmp_path / "none"), "id", ["1"], SCHEMA).count() == 0
+
+
 def test_a_table_stays_as_it_was_dealt(spark, tmp_path):
     path = str(tmp_path / "t")
     upsert_table(spark, path, keyed(spark, 0, 100, 1), ["id"], parts=4)
