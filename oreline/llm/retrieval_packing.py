@@ -235,9 +235,16 @@ def _tokens(definition: str, kind: np.dtype, window: int, limit: int):
 
 def distinct(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct ids, sorted, and how often each occurs. Short integers are sorted by their digits, in one go."""
+    if not len(ids):
+        return ids, np.zeros(0, np.int64)
     ordered = np.sort(ids, kind="stable")
-    last = np.flatnonzero(np.append(ordered[1:] != ordered[:-1], len(ordered) > 0))
-    return ordered[last], np.diff(last, prepend=-1)
+    inner = np.flatnonzero(ordered[1:] != ordered[:-1])
+    last = np.empty(len(inner) + 1, np.int64)
+    last[:-1], last[-1] = inner, len(ids) - 1
+    counts = last.copy()
+    counts[1:] -= inner
+    counts[0] += 1
+    return ordered[last], counts
 
 
 def _sums(name: str, pairs: dict[int, int]) -> pa.RecordBatch:
