@@ -174,8 +174,19 @@ def _word_counts(limit: int):
     return task
 
 
-#: Leaves on their way to a group: those that share a first word as one row, the rest of each phrase and its count.
-_LEAVES = "grp int, lang string, word string, rests string, counts array<int>"
+#: Leaves on their way to a group: a row for each chunk and language, with first words, how many leaves each of
+#: them has, and the rest and the count of each leaf. Words end with a space.
+_LEAVES = "grp int, lang string, words string, leaves array<int>, rests string, counts array<int>"
+
+
+def _joined(texts: pa.Array, bounds: np.ndarray) -> pa.Array:
+    """Runs of texts as one text each, without a copy: those from one of ``bounds`` to the next."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[: len(texts) + 1]
+    return pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(offsets[bounds]), texts.buffers()[2]).cast(pa.string())
+
+
+def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.astype(np.int32)))
 
 
 def _leaves(words: int, bits: np.ndarray, heavy: np.ndarray, groups: int, limit: int):
@@ -190,41 +201,46 @@ def _leaves(words: int, bits: np.ndarray, heavy: np.ndarray, groups: int, limit:
             group = ((prefix >> np.uint64(32)) % np.uint64(groups)).astype(np.int32)
             order = np.lexsort((chunk.word[at], chunk.lang[at], group))
             at, counts, group = at[order], counts[order], group[order]
-            same = (group[1:] == group[:-1]) & (chunk.word[at[1:]] == chunk.word[at[:-1]]) & (chunk.lang[at[1:]] == chunk.lang[at[:-1]])
-            first = np.flatnonzero(np.concatenate([[True], ~same]))
-            # "b c " of one phrase after that of another: a row is a run of them.
-            parts = [chunk.texts.take(pa.array(chunk.word[at + i])) for i in range(1, words)]
-            rests = pc.binary_join_element_wise(*parts, *(pa.scalar(x, pa.large_string()) for x in ("", " ")))
-            bounds = np.append(first, len(at))
-            text = np.frombuffer(rests.buffers()[1], np.int64)[: len(at) + 1]
-            runs_of = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(text[bounds]), rests.buffers()[2]).cast(pa.string())
-            lang, word = chunk.rows(at[first], 1)
+            apart = (group[1:] != group[:-1]) | (chunk.lang[at[1:]] != chunk.lang[at[:-1]])
+            row = np.flatnonzero(np.concatenate([[True], apart]))
+            word = np.flatnonzero(np.concatenate([[True], apart | (chunk.word[at[1:]] != chunk.word[at[:-1]])]))
+            # "b c " of one phrase after that of another: a row has a run of them.
+            ends = [pa.scalar(x, pa.large_string()) for x in ("", " ")]
+            rests = pc.binary_join_element_wise(*[chunk.texts.take(pa.array(chunk.word[at + i])) for i in range(1, words)], *ends)
+            heads = pc.binary_join_element_wise(chunk.texts.take(pa.array(chunk.word[at[word]])), *ends)
+            bounds, word_bounds = np.append(row, len(at)), np.append(np.searchsorted(word, row), len(word))
             yield from _in_batches(
                 [
-                    pa.array(group[first]),
-                    lang,
-                    word,
-                    runs_of,
-                    pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(counts.astype(np.int32))),
+                    pa.array(group[row]),
+                    chunk.langs.take(pa.array(chunk.lang[at[row]])),
+                    _joined(heads, word_bounds),
+                    _lists(np.diff(np.append(word, len(at))), word_bounds),
+                    _joined(rests, bounds),
+                    _lists(counts, bounds),
                 ],
-                ["grp", "lang", "word", "rests", "counts"],
+                ["grp", "lang", "words", "leaves", "rests", "counts"],
             )
 
     return task
 
 
+def _split(texts: pa.Array) -> pa.Array:
+    """The words of all texts; each ends with a space, the last one's begins an empty word."""
+    return pc.list_flatten(pc.split_pattern(pc.utf8_rtrim(texts, " "), " "))
+
+
 def _subtree(words: int, min_count: int):
     """The nodes of one level of a group's subtrees: equal suffixes meet, their leaves are added."""
 
     def build(leaves: pa.Table) -> pa.Table:
-        leaves = leaves.combine_chunks()
-        counts = leaves["counts"].combine_chunks()
-        row = pc.list_parent_indices(counts)
-        # The last space of a row begins an empty word.
-        split = pc.list_flatten(pc.split_pattern(pc.utf8_rtrim(leaves["rests"].combine_chunks(), " "), " "))
-        rest = [split.take(pa.array(np.arange(i, len(split), words - 1))) for i in range(words - 1)]
-        phrase = pc.binary_join_element_wise(leaves["word"].combine_chunks().take(row), *rest, " ")
-        found = pa.table([leaves["lang"].combine_chunks().take(row), phrase, pc.list_flatten(counts).cast(pa.int64())], names=["lang", "phrase", "f"])
+        columns = {name: leaves[name].combine_chunks() for name in leaves.column_names}
+        lang = columns["lang"].take(pc.list_parent_indices(columns["counts"]))
+        sizes = np.asarray(pc.list_flatten(columns["leaves"]))
+        word = _split(columns["words"]).take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
+        parts = _split(columns["rests"])
+        rest = [parts.take(pa.array(np.arange(i, len(parts), words - 1))) for i in range(words - 1)]
+        phrase = pc.binary_join_element_wise(word, *rest, " ")
+        found = pa.table([lang, phrase, pc.list_flatten(columns["counts"]).cast(pa.int64())], names=["lang", "phrase", "f"])
         nodes = found.group_by(["lang", "phrase"]).aggregate([("f", "sum")])
         nodes = nodes.filter(pc.greater_equal(nodes["f_sum"], min_count))
         return pa.table([nodes["lang"], nodes["phrase"], nodes["f_sum"]], names=["lang", "phrase", "f"])
