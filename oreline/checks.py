@@ -807,7 +807,7 @@ def silver_job(spark, sf_dir):
     return read_silver(spark, samples.EVENTS, layout).drop("_silver_updated_at")
 
 
-LAST_ORDERS = ("1998-08-01", "2100-01-01")
+LAST_ORDERS = ("2001-08-01", "2100-01-01")
 
 
 def _files(spark, path: str) -> set[str]:
