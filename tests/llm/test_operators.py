@@ -300,6 +300,16 @@ def test_mentions_of_phones_and_addresses(spark, times):
     assert not any("_ref" in x for i in range(1, 60) for x in found[i])
 
 
+def test_spans_do_not_depend_on_how_rows_are_dealt(spark):
+    plain = "Please contact the office about the meeting, the plan and number 111 222 3333 of the report. " * 40
+    rows = [(i, f"{plain} Mail {'office' if i == 20 else f'desk{i}'}@example.org or ring +49 30 {1000000 + i}. {plain}") for i in range(59)]
+    rows[7] = (7, f"Write to bob.smith@mail.example.com or call +1 (784) 555-8120. {plain} Ask bob.smith or ring 784 555 8120.")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [sorted(map(tuple, pii.personal_data(docs.repartition(n)).collect())) for n in (1, 7, 59)]
+    assert found[0] == found[1] == found[2]
+    assert [(r[0], r[-1].count("_ref")) for r in found[0] if "_ref" in r[-1]] == [(7, 2)]
+
+
 def test_url_rules_and_reputation(spark):
     urls = ["http://a.org/x", "http://Example.ORG/es/1", "http://example.org/en/17?q", "http://example.org", "http://x.com/fr/", "http://x.com/de/a#b",
             "x.com/de/", None, "", "http://notorg/", "http://bad.host.net/1", "http://fine.net/1"]
