@@ -214,6 +214,16 @@ def test_a_record_delivered_again_is_landed_once(spark, lake, topic):
     assert run() == ["k0", "k1", "k2", "k3", "k4"]
 
 
+def test_a_stream_with_state_writes_few_files(spark, lake, topic):
+    """One file per event date and batch while they are small, not one for each state store."""
+    for first in (0, 500):
+        rows = [("cdc.thing", 0, i, dt.datetime(2024, 1, 1), message("c", i % 3, f"k{i}", i)) for i in range(first, first + 600)]
+        spark.createDataFrame(rows, STREAM_RECORD).coalesce(1).write.mode("append").parquet(topic.path)
+    ingest(spark, lake, topic, files_per_trigger=1, redelivery="1 hour")
+    log = bronze(spark, lake)
+    assert log.count() == 1100 and len(log.inputFiles()) == 6
+
+
 def test_the_whole_image_survives_folding(spark, lake, topic):
     entity = EntitySpec("thing", "id string", image=True)
     for n in range(3):
