@@ -1,9 +1,13 @@
 import datetime as dt
+import json
 import random
 
+import pytest
 from conftest import plan_of, rows_of
 from pyspark.sql import functions as F
 
+from oreline import samples
+from oreline.functions import to_bronze
 from oreline.operators import (
     drop_deletes,
     in_window,
@@ -13,8 +17,10 @@ from oreline.operators import (
     silver_changes,
     strip_columns,
 )
-from oreline.sinks import write_table
-from oreline.spec import EntitySpec
+from oreline.operators.changes import split_repeated
+from oreline.plans import jobs
+from oreline.sinks import tables, write_table
+from oreline.spec import BATCH, EVENT_DATE, EntitySpec, Layout
 
 THING = EntitySpec("thing", "id string, n int", before_key=True)
 
@@ -105,3 +111,50 @@ def test_window_without_any_partition(spark, tmp_path):
     write_table(rows.unionByName(undated), path, partition_by=["_event_date"])
     assert read_changes(spark, path, "2025-01-01", "2025-01-31").count() == 0
     assert read_changes(spark, path, "2020-01-01", "2030-01-31").count() == 3
+
+
+@pytest.mark.parametrize("few", [0, 1_000_000])
+def test_rows_alone_with_their_key_need_no_rank(spark, monkeypatch, few):
+    monkeypatch.setattr(tables, "FEW", few)
+    rows = [(f"k{i % 90}" if i else None, i % 7, i, 0) for i in range(100)]
+    log = spark.createDataFrame(rows, "id string, _ts_ms long, _kafka_offset long, _kafka_partition int")
+    repeated = tables.repeated_hashes(log, ["id"])
+    assert (repeated is None) == (few == 0)
+    if repeated is not None:
+        assert repeated.count() == 9  # k1 to k9; k0 and the null are alone
+        once, several = split_repeated(log, ["id"], repeated)
+        assert (once.count(), several.count()) == (82, 18)
+        assert "Exchange hashpartitioning" not in plan_of(once)
+    assert rows_of(latest_per_key(log, ["id"], repeated=repeated)) == rows_of(latest_per_key(log, ["id"]))
+
+
+@pytest.mark.parametrize("few", [0, 1_000_000])
+def test_bookings_are_numbered_among_their_like(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(tables, "FEW", few)
+    rows = [(1, 5, "A"), (1, 5, "A"), (1, 5, "A"), (2, 5, "R"), (None, 5, "R"), (None, 5, "R"), (3, None, None)]
+    lines = spark.createDataFrame(rows, "l_orderkey long, l_suppkey long, l_returnflag string")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, dt.datetime(2024, 1, 1), 1)], "o_orderkey long, o_orderdate timestamp, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(1, "c")], "c_custkey long, c_name string").write.parquet(f"{tmp_path}/customer.parquet")
+    feed = samples.report_snapshots(spark, str(tmp_path))["class_regular_session_student"]
+    ids = feed.select(F.get_json_object("value", "$.payload.after.id").alias("id"))
+    assert [r[0] for r in rows_of(ids)] == ["1|5|A#1", "1|5|A#2", "1|5|A#3", "2|5|R#1", "3#1", "5|R#1", "5|R#2"]
+    assert feed.select("offset", "partition").distinct().count() == 7
+    if few:
+        assert "Window" not in plan_of(feed).split("Union")[0]
+
+
+def test_a_snapshot_ends_up_in_silver_without_a_shuffle_of_its_log(spark, tmp_path, monkeypatch):
+    """The rows are shuffled once, to be dealt to the table's folders."""
+    seen = []
+    merge = jobs.upsert_table
+    monkeypatch.setattr(jobs, "upsert_table", lambda s, path, rows, *rest, **options: seen.append(plan_of(rows)) or merge(s, path, rows, *rest, **options))
+    layout, entity = Layout(str(tmp_path / "lake")), EntitySpec("thing", "id string, n int")
+    rows = [(json.dumps({"payload": {"after": {"id": f"k{i % 999}", "n": i}, "op": "r", "ts_ms": 0}}), i) for i in range(1000)]
+    records = spark.createDataFrame(rows, "value string, offset long").selectExpr("'t' as topic", "0 as partition", "offset", "timestamp'1970-01-01' as timestamp", "value")
+    write_table(to_bronze(records, entity).withColumn(BATCH, F.lit("b-0")), layout.bronze_path(entity), partition_by=[EVENT_DATE, BATCH])
+    assert jobs.build_silver(spark, entity, layout, "1970-01-01", "1970-01-01") == 999
+    found = {r["id"]: r["n"] for r in jobs.read_silver(spark, entity, layout).collect()}
+    assert found == {f"k{i}": i for i in range(1, 999)} | {"k0": 999}
+    # Of the two branches only the one of repeated keys has an exchange.
+    assert seen[0].count("Exchange hashpartitioning") == 1 and seen[0].count("BroadcastHashJoin") == 2

@@ -324,6 +324,27 @@ def test_a_small_source_is_merged_without_a_shuffle_of_the_table(spark, tmp_path
     assert read_table(spark, path).groupBy("v").count().orderBy("v").collect() == [(1, 999), (2, 1)]
 
 
+@pytest.mark.parametrize("options", [{}, {"on_duplicate": "trust"}, {"guard": "v"}, {"null_safe": True}])
+def test_a_new_table_is_written_once(spark, tmp_path, monkeypatch, options):
+    """Straight to its folders: neither staged nor kept aside, as it replaces nothing."""
+    path = str(tmp_path / "t")
+    nothing = keyed(spark, 0, 1, 7).withColumn("id", F.lit(None).cast("string"))
+    rows = keyed(spark, 0, 1000, 1).unionByName(nothing)
+
+    def unwanted(*_, **__):
+        raise AssertionError("written twice")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "publish", unwanted)
+        patched.setattr(tables, "staged", unwanted)
+        assert upsert_table(spark, path, rows.limit(0), ["id"], parts=4, **options) == 0 and not tables.table_exists(spark, path)
+        assert upsert_table(spark, path, rows, ["id"], parts=4, **options) == 1001
+    assert [len(names) for names in files_by_folder(path).values()] == [1] * 5 and key_parts(spark, path) == 4
+    assert read_table(spark, path).groupBy("v").count().orderBy("v").collect() == [(1, 1000), (7, 1)]
+    assert upsert_table(spark, path, keyed(spark, 0, 10, 2), ["id"], **options) == 10
+    assert read_table(spark, path).groupBy("v").count().orderBy("v").collect() == [(1, 990), (2, 10), (7, 1)]
+
+
 def test_compaction(spark, tmp_path):
     path = str(tmp_path / "t")
     for i in range(4):
